@@ -20,31 +20,30 @@ def cppcheck_id(line):
     return F.when((found != "") & ~found.isin(*NOTICES), found)
 
 
-def _last_index(c, char):
-    """1-based position of the last occurrence, 0 when absent."""
-    back = F.locate(char, F.reverse(c))
-    return F.when(back == 0, F.lit(0)).otherwise(F.length(c) - back + 1)
-
-
 def clang_issue(line):
-    """``struct(id, message)`` of a clang-tidy line; null for a line without a finding."""
+    """``struct(id, message)`` of a clang-tidy line; null for a line without a finding.
+
+    The id stands between the last ``[`` and the last ``]``, the message between
+    ``warning:`` or ``error:`` and that bracket.
+    """
     absent_file = line.contains("'#include' file not found") | (
         line.contains("fatal error:") & (line.contains("file not found") | line.contains("no such file"))
     )
-    warning, error = F.locate("warning:", line), F.locate("error:", line)
-    opening, closing = _last_index(line, "["), _last_index(line, "]")
-    begin = F.greatest(warning, error)
+    begin = F.greatest(F.locate("warning:", line), F.locate("error:", line))
+    after_bracket = F.substring_index(line, "[", -1)
+    closed = F.length(after_bracket) - F.length(F.substring_index(after_bracket, "]", -1)) - 1
+    before_bracket = F.left(line, F.length(line) - F.length(after_bracket) - 1)
     named = F.struct(
-        F.substr(line, opening + 1, F.greatest(closing - opening - 1, F.lit(0))).alias("id"),
-        py_strip(F.substr(line, begin, F.greatest(opening - begin, F.lit(0)))).alias("message"),
+        F.left(after_bracket, closed).alias("id"),
+        py_strip(F.substr(before_bracket, begin)).alias("message"),
     )
-    rest = F.substr(line, warning + len("warning:"), F.length(line))
     generic = F.struct(
         F.lit("generic-warning").alias("id"),
-        py_strip(F.substring_index(rest, "warning:", 1)).alias("message"),
+        py_strip(F.split(line, "warning:")[1]).alias("message"),
     )
     return (
-        F.when(absent_file | (begin == 0), None)
-        .when((opening > 0) & (closing > 0), named)
-        .when(warning > 0, generic)
+        F.when(begin == 0, None)
+        .when(absent_file, None)
+        .when(line.contains("[") & line.contains("]"), named)
+        .when(line.contains("warning:"), generic)
     )

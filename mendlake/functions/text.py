@@ -8,7 +8,7 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-LINE_BREAK = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}])"
+LINE_BREAKS = ("\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029")
 
 # File endings of C++ headers and implementations, in lookup order.
 HEADER_EXTENSIONS = (".h", ".hpp")
@@ -24,10 +24,15 @@ def py_rstrip(c):
 
 
 def py_lines(c):
-    """``str.splitlines``: one final line break adds no line, empty text has none."""
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(
-        F.split(F.regexp_replace(c, LINE_BREAK + r"\z", ""), LINE_BREAK)
-    )
+    """``str.splitlines``: one final line break adds no line, empty text has none.
+
+    Plain replacements and a one-character split are several times faster than
+    one regular expression with all the breaks.
+    """
+    for mark in LINE_BREAKS:
+        c = F.replace(c, F.lit(mark), F.lit("\n"))
+    lines = F.split(c, "\n")
+    return F.when(F.element_at(lines, -1) == "", F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
 
 
 def sha256_hex(c):

@@ -22,24 +22,34 @@ DEFAULT_START = "2020-01-01 00:00:00"
 PYTHON_FLAGS = "(?imuUd)"
 
 
-def message_matches(message, regexes):
-    """Any pattern is found in the message; no patterns match everything.
+def with_patterns(rules):
+    """Adds to each rule ``alternation`` and ``alone``, the forms its patterns are tried in.
 
     All patterns are tried as one alternation, which the regex engine compiles
-    once per rule. Patterns with groups that are referred to are tried alone,
-    since joining would renumber their groups.
+    once for a run of rows with the same rule. Patterns that refer to their
+    groups are tried alone, since joining would renumber the groups.
     """
     refers = F.lit(r"\\[1-9]|\\k<|\(\?<[A-Za-z]")
-    alone = F.filter(regexes, lambda r: F.regexp_like(r, refers))
-    joined = F.filter(regexes, lambda r: ~F.regexp_like(r, refers))
+    patterns = F.coalesce("fix_regexes", F.array().cast("array<string>"))
+    joined = F.filter(patterns, lambda r: ~F.regexp_like(r, refers))
     alternation = F.concat(
         F.lit(PYTHON_FLAGS),
         F.array_join(F.transform(joined, lambda r: F.concat(F.lit("(?:"), r, F.lit(")"))), "|"),
     )
-    return (
-        (F.size(F.coalesce(regexes, F.array().cast("array<string>"))) == 0)
-        | ((F.size(joined) > 0) & F.regexp_like(message, alternation))
-        | F.exists(alone, lambda r: F.regexp_like(message, F.concat(F.lit(PYTHON_FLAGS), r)))
+    return rules.withColumn(
+        "alone", F.transform(
+            F.filter(patterns, lambda r: F.regexp_like(r, refers)), lambda r: F.concat(F.lit(PYTHON_FLAGS), r)
+        )
+    ).withColumn(
+        # A rule without patterns matches every message.
+        "alternation", F.when(F.size(patterns) == 0, F.lit("")).when(F.size(joined) > 0, alternation)
+    )
+
+
+def message_matches(message, alternation, alone):
+    """Any pattern of ``with_patterns`` is found in the message."""
+    return F.coalesce(F.regexp_like(message, alternation), F.lit(False)) | F.exists(
+        alone, lambda r: F.regexp_like(message, r)
     )
 
 
@@ -60,16 +70,16 @@ def fix_commits(commits, rules, now=None):
     size estimate is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     now = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    own = rules.select(
+    own = with_patterns(rules).select(
         X.repo_slug("url").alias("repo_slug"),
-        F.col("url").alias("rule_url"), "start_date", "end_date", "fix_regexes",
+        F.col("url").alias("rule_url"), "start_date", "end_date", "alternation", "alone",
     ).filter("repo_slug IS NOT NULL")
     return (
         commits.filter(F.size("parents") > 0)
         .withColumn("repo_slug", X.repo_slug("repo_url"))
         .join(own, "repo_slug")
         .filter(in_date_range(F.col("author_date"), F.col("start_date"), F.col("end_date"), now))
-        .filter(message_matches(F.col("message"), F.col("fix_regexes")))
+        .filter(message_matches(F.col("message"), F.col("alternation"), F.col("alone")))
         .groupBy("repo_url", "sha")
         # One row per commit also where several rules name its repository.
         .agg(
@@ -173,7 +183,9 @@ def attach_contents(pairs, blobs):
     identity = ("repo_url", "sha", "stem")
     carried = [c for c in pairs.columns if c not in identity]
     contents = [F.max(F.when(F.col("_role") == role, F.col("content"))).alias(role) for role, _, _ in roles]
-    gathered = answered.groupBy(*identity).agg(F.min(F.struct(*carried)).alias("_pair"), *contents)
+    # The rows of a pair come from different tasks: combining them before the
+    # shuffle would sort all texts for nothing.
+    gathered = answered.repartition(*identity).groupBy(*identity).agg(F.min(F.struct(*carried)).alias("_pair"), *contents)
     return gathered.select(
         *identity, "_pair.*", *[F.coalesce(role, F.lit("")).alias(role) for role, _, _ in roles]
     )
@@ -192,9 +204,13 @@ def changed_code(contents):
 
 def candidates(commits, commit_files, repo_tree, blobs, rules, now=None, tree_keys=("repo_url", "sha")):
     """Candidate pairs of all repositories, with the keys that later steps use."""
-    files = first_file_per_stem(
-        source_files(commit_files).join(fix_commits(commits, rules, now), ["repo_url", "sha"])
-    ).drop("ordinal", "status")
+    # Files are reduced per stem before they meet their commit: a commit with very
+    # many files then comes into one join partition only, which can be split.
+    files = (
+        first_file_per_stem(source_files(commit_files))
+        .join(fix_commits(commits, rules, now), ["repo_url", "sha"])
+        .drop("ordinal", "status")
+    )
     code = changed_code(attach_contents(header_impl_pairs(files, repo_tree, tree_keys), blobs))
     return code.select(
         "code_original", "code_fixed",

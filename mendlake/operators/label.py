@@ -25,20 +25,22 @@ def output_lines(outputs, column="output"):
 
 
 def issue_ids(diagnostics, keys=("pair_id", "side")):
-    """Sorted distinct issue ids of each analysed side."""
+    """Sorted distinct issue ids of each analysed side.
+
+    Repeats go before the second shuffle, so a side with very many lines reaches
+    its group with its distinct ids only.
+    """
     found = cppcheck_id(F.col("line"))
-    return diagnostics.groupBy(*keys).agg(
-        F.array_sort(F.collect_set(F.when(~found.isin(*UNNAMED), found))).alias("issues")
-    )
+    distinct = diagnostics.select(*keys, F.when(~found.isin(*UNNAMED), found).alias("_id")).distinct()
+    return distinct.groupBy(*keys).agg(F.array_sort(F.collect_list("_id")).alias("issues"))
 
 
 def clang_issues(diagnostics):
     """Findings in clang-tidy output, one row each."""
-    return (
-        diagnostics.withColumn("_issue", clang_issue(F.col("line")))
-        .filter("_issue IS NOT NULL")
-        .select(*[c for c in diagnostics.columns if c != "line"], "_issue.id", "_issue.message")
-    )
+    found = F.filter(F.array(clang_issue(F.col("line"))), lambda x: x.isNotNull())
+    return diagnostics.filter(
+        F.col("line").contains("warning:") | F.col("line").contains("error:")
+    ).select(*[c for c in diagnostics.columns if c != "line"], F.inline(found))
 
 
 def filter_issues(issues, taxonomy):

@@ -106,6 +106,7 @@ AND_WITH urls AS (SELECT sha, repo_url FROM p_commits UNION ALL SELECT page_id,
 SELECT sha, repo_url, CASE WHEN {SLUG.format('repo_url', 1)} <> '' THEN {SLUG.format('repo_url', 1)} || '/' || {SLUG.format('repo_url', 2)} END AS slug FROM urls
 """, "p_commits")
 
+# Line breaks as one pattern, unlike the replacements in the library.
 BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 check("code_lines", f"""
 WITH parts AS (SELECT doc_id, CASE WHEN text = '' THEN CAST([] AS VARCHAR[])

@@ -55,10 +55,7 @@ def wire_from_json(texts, column="value"):
         wrong("repo.commit_date", "STRING"), wrong("ingest_timestamp", "STRING"),
         wrong("labels.cppcheck", "ARRAY"), wrong("labels.clang", "OBJECT"), wrong("labels.groups", "OBJECT"),
     )
-    groups = F.try_variant_get(doc, "$.labels.groups", "map<string,string>")
-    parsed = texts.withColumn("_doc", F.try_parse_json(column))
-    return parsed.select(
-        *[c for c in texts.columns if c != column],
+    entry = F.struct(
         doc.isNotNull().alias("readable"),
         code("code_original").alias("code_original"),
         code("code_fixed").alias("code_fixed"),
@@ -72,10 +69,14 @@ def wire_from_json(texts, column="value"):
         F.struct(
             F.try_variant_get(doc, "$.labels.cppcheck", "array<string>").alias("cppcheck"),
             F.when(kind("labels.clang") == "OBJECT", F.to_json(part("labels.clang"))).alias("clang"),
-            groups.alias("groups"),
+            F.try_variant_get(doc, "$.labels.groups", "map<string,string>").alias("groups"),
         ).alias("labels"),
         F.filter(errors, lambda e: e.isNotNull()).alias("type_errors"),
     )
+    kept = [c for c in texts.columns if c != column]
+    # As a generator the fields are computed once per document: later filters on
+    # them are not rewritten into filters on the text.
+    return texts.withColumn("_doc", F.try_parse_json(column)).select(*kept, F.inline(F.array(entry)))
 
 
 def read_json_documents(spark, path):
