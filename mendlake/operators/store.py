@@ -9,7 +9,7 @@ joins by shuffle beyond that.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from mendlake.schema import EDIT_ALIASES, GROUPS, WIRE_SCHEMA, entry_id, group_flag
+from mendlake.schema import EDIT_ALIASES, GROUPS, REPO_TYPE, WIRE_SCHEMA, entry_id, group_flag
 
 # Form of a content hash, and of date texts that are accepted.
 HASH_PATTERN = r"\A[a-fA-F0-9]{64}\z"
@@ -170,16 +170,23 @@ UPDATABLE = {
 
 
 def _with_paths(entries, new_values):
-    """Entries with the leaf at each dotted path replaced by a Column."""
-    for top in dict.fromkeys(p.split(".")[0] for p in new_values):
-        value = F.col(top)
-        for path, new in new_values.items():
-            if path == top:
-                value = new
-            elif path.startswith(top + "."):
-                value = value.withField(path[len(top) + 1:], new)
-        entries = entries.withColumn(top, value)
-    return entries
+    """Entries with the leaf at each dotted path replaced by a Column.
+
+    Structs are put together anew from their leaves; chained ``withField`` calls
+    on nested paths would double the expression with each call.
+    """
+    def leaf(path, name):
+        return new_values.get(path, F.col(path)).alias(name)
+
+    changed = {
+        "repo": F.struct(*[leaf(f"repo.{f}", f) for f in REPO_TYPE.names]),
+        "labels": F.struct(
+            leaf("labels.cppcheck", "cppcheck"), leaf("labels.clang", "clang"),
+            F.struct(*[leaf(f"labels.groups.{g}", g) for g in GROUPS]).alias("groups"),
+        ),
+    }
+    changed.update({path: c for path, c in new_values.items() if "." not in path})
+    return entries.withColumns(changed)
 
 
 def latest_settings(updates):
