@@ -29,7 +29,7 @@ def label_distribution(rows, *by):
     return rows.groupBy(*by, "label").agg(F.count(F.lit(1)).alias("n_samples"))
 
 
-def test_quotas(counts, test_size=0.2):
+def split_quotas(counts, test_size=0.2):
     """Test rows per label: the test share of all rows, rounded up, spread by largest remainder.
 
     ``counts`` is ``label, n`` with one row per label.
@@ -51,7 +51,7 @@ def stratified_split(rows, test_size=0.2, seed=42, labels=tuple(TITLES.values())
     """Adds ``split`` (``train`` / ``test``), each label in the same proportion.
 
     Within a label the rows with the smallest hash of seed and ``sample_id`` form
-    the test part, exactly as many as ``test_quotas`` says. No label is sorted as
+    the test part, exactly as many as ``split_quotas`` says. No label is sorted as
     a whole: hashes are counted in ``buckets``, the bucket that holds the last
     test row of a label is ranked on its own, and its hash is the threshold that
     all rows are compared with. ``sample_id`` must be unique.
@@ -72,7 +72,7 @@ def stratified_split(rows, test_size=0.2, seed=42, labels=tuple(TITLES.values())
         "_key", bucket.alias("_bucket"),
     )
     counted = narrow.groupBy("label", "_bucket").agg(F.count(F.lit(1)).alias("n"))
-    quotas = test_quotas(counted.groupBy("label").agg(F.sum("n").alias("n")), test_size)
+    quotas = split_quotas(counted.groupBy("label").agg(F.sum("n").alias("n")), test_size)
     upto = Window.partitionBy("label").orderBy("_bucket")
     cut_buckets = (
         counted.withColumn("_upto", F.sum("n").over(upto))

@@ -37,16 +37,22 @@ def top_issues(counts, n=10):
     return counts.orderBy(F.desc("n_issues"), "issue_id").limit(n)
 
 
-def label_totals(entries):
-    """Entries with and without labels, all issues, and distinct issue ids, in one row."""
-    with_labels = F.col("labels").isNotNull()
-    # Per issue first: the distinct count then needs no second copy of the rows.
-    rows = entries.select(with_labels.alias("_has"), F.posexplode_outer("labels.cppcheck").alias("_at", "issue_id"))
-    per_issue = rows.groupBy("issue_id").agg(
-        # An entry counts at its first issue, or at its only row when it has none.
-        F.count_if(F.coalesce(F.col("_at") == 0, F.lit(True))).alias("_entries"),
-        F.count_if(F.coalesce(F.col("_at") == 0, F.lit(True)) & F.col("_has")).alias("_labelled"),
-        F.count("issue_id").alias("_issues"),
+def label_totals(entries, issues=None):
+    """Entries with and without labels, all issues, and distinct issue ids, in one row.
+
+    ``issues`` is an array of (issue_id, n), by default each listed issue once.
+    Rows are counted per issue first: the distinct count then needs no second
+    copy of them.
+    """
+    if issues is None:
+        issues = F.transform("labels.cppcheck", lambda i: F.struct(i.alias("issue_id"), F.lit(1).alias("n")))
+    rows = entries.select(F.col("labels").isNotNull().alias("_has"), F.posexplode_outer(issues).alias("_at", "_i"))
+    # An entry counts at its first issue, or at its only row when it has none.
+    once = F.coalesce(F.col("_at") == 0, F.lit(True))
+    per_issue = rows.groupBy(F.col("_i.issue_id").alias("issue_id")).agg(
+        F.count_if(once).alias("_entries"),
+        F.count_if(once & F.col("_has")).alias("_labelled"),
+        F.sum("_i.n").alias("_issues"),
     )
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return per_issue.agg(

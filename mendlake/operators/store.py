@@ -136,22 +136,36 @@ def insert_outcomes(batch, store):
     )
 
 
-def import_outcomes(validated, store, unreadable=None):
-    """How many imported documents were inserted, duplicate, rejected or unreadable."""
-    per_hash = insert_outcomes(accepted(validated), store)
-    counts = per_hash.agg(
-        F.coalesce(F.sum("inserted"), F.lit(0)).alias("inserted"),
-        F.coalesce(F.sum("duplicates"), F.lit(0)).alias("duplicate"),
-    ).select(F.inline(F.array(
-        F.struct(F.lit("inserted").alias("outcome"), F.col("inserted").alias("n_documents")),
-        F.struct(F.lit("duplicate").alias("outcome"), F.col("duplicate").alias("n_documents")),
-    )))
-    out = counts.unionByName(rejected(validated).agg(
-        F.count(F.lit(1)).alias("n_documents")).withColumn("outcome", F.lit("rejected")))
-    if unreadable is not None:
-        out = out.unionByName(unreadable.agg(
-            F.count(F.lit(1)).alias("n_documents")).withColumn("outcome", F.lit("unreadable")))
-    return out.withColumn("is_error", F.col("outcome") != "inserted")
+def import_outcomes(validated, store):
+    """How many imported documents were inserted, duplicate, rejected or unreadable.
+
+    ``validated`` is read once: its rows are counted per content hash and state,
+    and only these counts meet the hashes of the store.
+    """
+    good = F.size("reasons") == 0
+    state = F.when(good, "accepted").otherwise("rejected")
+    if "readable" in validated.columns:
+        state = F.when(~F.col("readable"), "unreadable").otherwise(state)
+    counted = (
+        validated.select(state.alias("state"), F.when(good, F.col("code_hash")).alias("code_hash"))
+        .groupBy("state", "code_hash").agg(F.count(F.lit(1)).alias("n"))
+    )
+    known = store.select("code_hash").distinct().withColumn("_known", F.lit(1))
+    fresh = (F.col("state") == "accepted") & F.col("_known").isNull()
+
+    def total(condition, n):
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    totals = counted.join(known, "code_hash", "left").agg(
+        total(fresh, F.lit(1)).alias("inserted"),
+        total(F.col("state") == "accepted", F.col("n") - fresh.cast("long")).alias("duplicate"),
+        total(F.col("state") == "rejected", F.col("n")).alias("rejected"),
+        total(F.col("state") == "unreadable", F.col("n")).alias("unreadable"),
+    )
+    return totals.select(F.inline(F.array(*[
+        F.struct(F.lit(o).alias("outcome"), F.col(o).alias("n_documents"), F.lit(o != "inserted").alias("is_error"))
+        for o in ("inserted", "duplicate", "rejected", "unreadable")
+    ])))
 
 
 # Dotted paths that an update may set, with their types.

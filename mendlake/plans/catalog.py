@@ -372,6 +372,49 @@ def json_documents(spark, sf_dir):
     return _stored_form(store.accepted(store.validate(io.wire_from_json(texts))))
 
 
+@registered
+def csv_files(spark, sf_dir):
+    """Entries written to flat CSV files, read back and checked."""
+    path = shared_dir(spark, "csv-files")
+    io.write_csv(P.entries(spark, sf_dir), path)
+    return _stored_form(store.accepted(store.validate(io.read_csv(spark, path))))
+
+
+@registered
+def json_lines_files(spark, sf_dir):
+    """Entries exported in order as JSON lines, read back and checked."""
+    path = shared_dir(spark, "json-lines-files")
+    io.write_json_lines(P.entries(spark, sf_dir), path)
+    return _stored_form(store.accepted(store.validate(io.read_json_lines(spark, path))))
+
+
+@registered
+def document_report(spark, sf_dir):
+    """Totals over JSON documents: labels in list form, in old map form, and none."""
+    stored = P.view(spark, sf_dir, "p_entries")
+    issues = F.filter(F.array("issue_1", "issue_2", "issue_3"), lambda i: i.isNotNull())
+    listed = F.concat(F.lit('{"labels":{"groups":{},"cppcheck":'), F.to_json(issues), F.lit("}}"))
+    texts = stored.select(
+        F.when(F.col("doc_id") % 5 == 4, F.lit('{"labels":{}}'))
+        .when(F.col("doc_id") % 5 == 3, F.lit('{"labels":{"cppcheck":{"old":2},"groups":{"code_style":1}}}'))
+        .otherwise(listed).alias("value")
+    )
+    documents = io.report_documents(texts)
+    return report.label_totals(documents, report.issue_map(F.col("cppcheck_json")))
+
+
+@registered
+def entry_defaults(spark, sf_dir):
+    """Labels that were never set read as no issues, no clang findings and no flags."""
+    stored = P.entries(spark, sf_dir).withColumn(
+        "labels", F.when(F.substring("entry_id", -1, 1).cast("int") % 2 == 0, F.col("labels"))
+    )
+    return store.with_defaults(stored).select(
+        "entry_id", _joined("labels.cppcheck").alias("cppcheck"), "labels.clang",
+        "labels.groups.memory_management", "labels.groups.code_style",
+    )
+
+
 def _stored_form(entries):
     return entries.select(
         "code_hash", F.length("code_original").alias("n_original"), F.length("code_fixed").alias("n_fixed"),

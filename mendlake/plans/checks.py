@@ -277,6 +277,7 @@ check("import_outcomes", CHECKED + ", good AS (SELECT * FROM reasoned WHERE reas
 SELECT 'inserted' AS outcome, CAST(coalesce(sum(inserted), 0) AS BIGINT) AS n_documents, false AS is_error FROM per_hash
 UNION ALL SELECT 'duplicate', CAST(coalesce(sum(duplicates), 0) AS BIGINT), true FROM per_hash
 UNION ALL SELECT 'rejected', count(*), true FROM reasoned WHERE reasons <> ''
+UNION ALL SELECT 'unreadable', 0, true
 """, "p_wire", "p_store_hashes")
 
 check("update_entries", """
@@ -376,6 +377,18 @@ def rejoined(c):
 
 check("json_documents", STORED.format(n_original=rejoined("code_original"), n_fixed=rejoined("code_fixed")), "p_entries")
 
+check("csv_files", STORED.format(n_original="length(code_original)", n_fixed="length(nullif(code_fixed, ''))"), "p_entries")
+check("json_lines_files", STORED.format(n_original="length(code_original)", n_fixed="length(code_fixed)"), "p_entries")
+check("document_report", """
+SELECT count(*) AS n_entries, count(*) FILTER (doc_id % 5 <> 4) AS n_with_labels, count(*) FILTER (doc_id % 5 = 4) AS n_without_labels,
+  CAST(coalesce(sum((issue_1 IS NOT NULL)::INT + (issue_2 IS NOT NULL)::INT + (issue_3 IS NOT NULL)::INT) FILTER (doc_id % 5 NOT IN (3, 4)), 0)
+    + 2 * count(*) FILTER (doc_id % 5 = 3) AS BIGINT) AS total_issues, 4 AS issue_types FROM p_entries
+""", "p_entries")
+check("entry_defaults", """
+SELECT entry_id, CASE WHEN doc_id % 2 = 0 THEN concat_ws(',', issue_1, issue_2, issue_3) ELSE '' END AS cppcheck, '{}' AS clang,
+  doc_id % 2 = 0 AND memory_management AS memory_management, doc_id % 2 = 0 AND code_style AS code_style FROM p_entries
+""", "p_entries")
+
 # --- training and evaluation -------------------------------------------------------
 
 LABEL = "CASE " + " ".join(

@@ -98,23 +98,22 @@ def report_documents(texts, column="value"):
     A document without labels, or with empty ones, has null ``labels``.
     ``cppcheck_json`` is the issue field as JSON text, a list or a map.
     """
-    doc = F.try_parse_json(column)
-    labels = F.variant_get(doc, "$.labels", "variant")
-    flags = [
-        F.coalesce(F.try_variant_get(doc, f"$.labels.groups.{g}", "boolean"), F.lit(False)).alias(g)
-        for g in GROUPS
-    ]
-    has_labels = labels.isNotNull() & ~F.to_json(labels).isin("{}", "null", "[]", '""', "false", "0")
-    return texts.select(
-        F.when(has_labels, F.coalesce(
-            F.to_json(F.variant_get(doc, "$.labels.cppcheck", "variant")), F.lit("[]")
-        )).alias("cppcheck_json"),
-        F.when(has_labels, F.struct(
-            F.coalesce(F.try_variant_get(doc, "$.labels.cppcheck", "array<string>"),
-                       F.array().cast("array<string>")).alias("cppcheck"),
-            F.struct(*flags).alias("groups"),
-        )).alias("labels"),
+    doc = F.col("_doc")
+
+    def part(path):
+        return F.to_json(F.variant_get(doc, path, "variant"))
+
+    def filled(path):
+        # Present and neither null, false, zero nor empty.
+        return F.coalesce(~part(path).isin("null", "false", "0", "0.0", '""', "[]", "{}"), F.lit(False))
+
+    flags = [filled(f"$.labels.groups.{g}").alias(g) for g in GROUPS]
+    listed = F.coalesce(F.try_variant_get(doc, "$.labels.cppcheck", "array<string>"), F.array().cast("array<string>"))
+    fields = F.struct(
+        F.when(filled("$.labels"), F.coalesce(part("$.labels.cppcheck"), F.lit("[]"))).alias("cppcheck_json"),
+        F.when(filled("$.labels"), F.struct(listed.alias("cppcheck"), F.struct(*flags).alias("groups"))).alias("labels"),
     )
+    return texts.select(F.try_parse_json(column).alias("_doc")).select(F.inline(F.array(fields)))
 
 
 # --- flat CSV ----------------------------------------------------------------
@@ -175,7 +174,7 @@ def unflatten_rows(flat):
     )
 
 
-def read_csv(spark, path, first_row_only=False, scheme="fine13"):
+def read_csv(spark, path, first_row_only=False):
     """Flat CSV files as rows to validate, all rows or the first of each file.
 
     Columns are taken by their header names, in any order.
@@ -183,9 +182,8 @@ def read_csv(spark, path, first_row_only=False, scheme="fine13"):
     reader = spark.read.options(**CSV_READ).option("pathGlobFilter", "*.csv")
     flat = reader.csv(path)
     if first_row_only:
-        flat = flat.withColumn("_file", F.col("_metadata.file_path")).withColumn("_at", F.col("_metadata.file_block_start"))
-        flat = flat.withColumn("_row", F.monotonically_increasing_id())
-        named = [c for c in flat.columns if not c.startswith("_") or c == "_id"]
+        named = flat.columns
+        flat = flat.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
         # A multi-line file is read by one task, in order; one row per file is kept.
         flat = flat.groupBy("_file").agg(F.min_by(F.struct(*named), "_row").alias("_r")).select("_r.*")
     return unflatten_rows(flat)

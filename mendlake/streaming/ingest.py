@@ -6,6 +6,7 @@ inserted, so no streaming state grows with it: each micro-batch is joined
 against the content hashes of the store.
 """
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,7 +63,8 @@ def insert_batch(batch, batch_id, path, taxonomy, target=None, now=None, strict=
     """
     spark = batch.sparkSession
     stored = open_store(spark, path).filter(F.col("batch_id") < batch_id)
-    once = first_per_pair(batch)
+    # Read by the labelling and by the entries; a lost copy is computed again.
+    once = first_per_pair(batch).persist(StorageLevel.MEMORY_AND_DISK)
     labels = label_pairs(diagnostic_rows(once), taxonomy, strict=strict)
     columns = [c for c in batch.columns if c not in ("before_lines", "after_lines")]
     entries = build_entries(label_candidates(once.select(*columns), labels), now)
@@ -71,6 +73,7 @@ def insert_batch(batch, batch_id, path, taxonomy, target=None, now=None, strict=
         room = target - stored.count()
         fresh = store.first_entries(fresh, max(room, 0))
     fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    once.unpersist()
 
 
 def ingest_stream(candidates, path, checkpoint, taxonomy, target=None, now=None, strict=True, trigger=None):

@@ -45,9 +45,15 @@ def test_scans_read_only_what_they_need(spark):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert os.path.isdir(shared_dir(spark, "x"))
-    spark.conf.set("spark.checkpoint.dir", "/mnt/shared/cp/")
+    before = spark.conf.get("spark.checkpoint.dir", None)
     try:
+        spark.conf.set("spark.checkpoint.dir", "/mnt/shared/cp/")
         assert shared_dir(spark, "x").startswith("/mnt/shared/cp/x-")
-    finally:
         spark.conf.unset("spark.checkpoint.dir")
+        if spark.conf.get("spark.checkpoint.dir", None) is None:
+            assert os.path.isdir(shared_dir(spark, "x"))
+    finally:
+        if before:
+            spark.conf.set("spark.checkpoint.dir", before)
+        else:
+            spark.conf.unset("spark.checkpoint.dir")

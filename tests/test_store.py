@@ -98,12 +98,14 @@ def test_copies_that_fill_most_of_a_batch(spark):
 
 def test_import_outcomes(spark):
     checked = store.validate(wire(
-        spark, {}, {}, {"code_hash": sha("b")}, {"code_hash": sha("c")}, {"code_hash": "bad"},
-    ))
+        spark, {}, {}, {"code_hash": sha("b")}, {"code_hash": sha("c")}, {"code_hash": "bad"}, {"code_original": None},
+    ).withColumn("readable", F.col("code_original").isNotNull()))
     stored = spark.createDataFrame([(sha("c"),)], "code_hash string")
-    unreadable = spark.createDataFrame([("x.json",)], "file_name string")
-    got = {r["outcome"]: r["n_documents"] for r in store.import_outcomes(checked, stored, unreadable).collect()}
-    assert got == {"inserted": 2, "duplicate": 2, "rejected": 1, "unreadable": 1}
+    got = {r["outcome"]: (r["n_documents"], r["is_error"]) for r in store.import_outcomes(checked, stored).collect()}
+    assert got == {
+        "inserted": (2, False), "duplicate": (2, True), "rejected": (1, True), "unreadable": (1, True)}
+    nothing = {r["outcome"]: r["n_documents"] for r in store.import_outcomes(checked.limit(0), stored).collect()}
+    assert set(nothing.values()) == {0}
 
 
 def test_update(spark):

@@ -92,7 +92,7 @@ def test_split_of_uneven_labels_with_any_number_of_buckets(spark):
     rows = [(f"s{n}", rng.choice(titles[:1] * 6 + titles)) for n in range(503)]
     df = spark.createDataFrame(rows, "sample_id string, label string")
     n_test = math.ceil(0.2 * len(rows))
-    want_counts = {r["label"]: r["n_test"] for r in dataset.test_quotas(df.groupBy("label").agg(F.count("*").alias("n"))).collect()}
+    want_counts = {r["label"]: r["n_test"] for r in dataset.split_quotas(df.groupBy("label").agg(F.count("*").alias("n"))).collect()}
     assert sum(want_counts.values()) == n_test
     for title, n in want_counts.items():
         assert abs(n - 0.2 * sum(1 for r in rows if r[1] == title)) <= 1
