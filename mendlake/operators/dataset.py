@@ -39,8 +39,10 @@ def split_quotas(counts, test_size=0.2):
     return (
         counts.withColumn("_all", F.sum("n").over(everything))
         .withColumn("_train", F.col("_all") - F.ceil(F.col("_all") * F.lit(test_size)))
-        .withColumn("_base", F.expr("(_train * n) div _all"))
-        .withColumn("_remainder", F.expr("(_train * n) % _all"))
+        # As decimals: the product of two row counts may not fit a bigint.
+        .withColumn("_product", F.col("_train").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)"))
+        .withColumn("_base", F.expr("_product div _all"))
+        .withColumn("_remainder", F.expr("cast(_product % _all as bigint)"))
         .withColumn("_left", F.col("_train") - F.sum("_base").over(everything))
         .withColumn("_extra", (F.row_number().over(by_remainder) <= F.col("_left")).cast("long"))
         .select("label", "n", (F.col("n") - F.col("_base") - F.col("_extra")).alias("n_test"))

@@ -6,6 +6,8 @@ to one row per entry first; Catalyst broadcasts them while they are small and
 joins by shuffle beyond that.
 """
 
+import json
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -203,22 +205,63 @@ def _with_paths(entries, new_values):
     return entries.withColumns(changed)
 
 
+# Parts of an entry that an update may replace as a whole: leaf and default of each field.
+REPLACEABLE = {
+    "repo": {f: (f"repo.{f}", None) for f in REPO_TYPE.names},
+    "labels.groups": {g: (f"labels.groups.{g}", "false") for g in GROUPS},
+    "labels": {
+        "cppcheck": ("labels.cppcheck", "[]"), "clang": ("labels.clang", "{}"),
+        **{f"groups.{g}": (f"labels.groups.{g}", "false") for g in GROUPS},
+    },
+}
+
+
+def as_update(spark, entry_id, data, seq=0):
+    """One update, of dotted paths to Python values, as a row for ``update_entries``."""
+    def as_text(v):
+        if v is None or isinstance(v, str):
+            return v
+        return v.isoformat() if hasattr(v, "isoformat") else json.dumps(v, ensure_ascii=False)
+
+    fields = {path: as_text(v) for path, v in data.items()}
+    return spark.createDataFrame([(entry_id, seq, fields)], "entry_id string, seq bigint, fields map<string,string>")
+
+
+def as_edit(spark, entry_id, add=(), remove=(), seq=0):
+    """One label edit as a row for ``patch_labels``."""
+    if not add and not remove:
+        raise ValueError("a label edit needs labels to add or to remove")
+    return spark.createDataFrame(
+        [(entry_id, seq, list(add), list(remove))],
+        "entry_id string, seq bigint, add array<string>, remove array<string>",
+    )
+
+
 def latest_settings(updates):
     """One row per entry with its last value per path.
 
     ``updates`` has ``entry_id, seq, fields``; ``fields`` maps a dotted path to
-    the new value as text (JSON for the issue list; null sets null).
+    the new value as text (JSON for lists and for whole parts; null sets null).
+    Replacing a whole part sets all its fields. An unknown path is an error.
     """
-    settings = updates.select("entry_id", "seq", F.explode("fields").alias("path", "value"))
-    unknown = ~F.col("path").isin(*UPDATABLE)
+    path, value = F.col("path"), F.col("value")
+    leaves = F.when(path.isin(*UPDATABLE), F.array(F.struct(path.alias("leaf"), value.alias("text"))))
+    for part, fields in REPLACEABLE.items():
+        leaves = leaves.when(path == part, F.array(*[
+            F.struct(
+                F.lit(leaf).alias("leaf"),
+                F.coalesce(F.get_json_object(value, f"$.{field}"), F.lit(default).cast("string")).alias("text"),
+            )
+            for field, (leaf, default) in fields.items()
+        ]))
+    leaves = leaves.otherwise(F.raise_error(F.concat(F.lit("cannot set "), path)))
     return (
-        settings.withColumn("path", F.when(
-            unknown, F.raise_error(F.concat(F.lit("cannot set "), F.col("path")))
-        ).otherwise(F.col("path")))
-        .groupBy("entry_id", "path")
-        .agg(F.max(F.struct("seq", "value"))["value"].alias("value"))
+        updates.select("entry_id", "seq", F.explode("fields").alias("path", "value"))
+        .select("entry_id", "seq", F.inline(leaves))
+        .groupBy("entry_id", "leaf")
+        .agg(F.max(F.struct("seq", "text"))["text"].alias("text"))
         .groupBy("entry_id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("path", "value"))).alias("_set"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("leaf", "text"))).alias("_set"))
     )
 
 

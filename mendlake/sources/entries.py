@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from mendlake.functions.text import py_lines, safe_name
+from mendlake.operators.store import one_per_hash
 from mendlake.schema import ENTRY_SCHEMA, GROUPS, group_flag, scheme_groups
 
 # Code keeps its blanks, quotes and line breaks only with these options.
@@ -218,8 +219,9 @@ def write_json_lines(entries, path, mode="errorifexists"):
 
 
 def file_name(entry_id, code_hash):
-    """Name of an entry's file: identifier, else content hash."""
-    return safe_name(F.coalesce(F.nullif(entry_id, F.lit("")), F.nullif(code_hash, F.lit("")), F.lit("entry")))
+    """Name of an entry's file: identifier, else content hash, else a number."""
+    numbered = F.concat(F.lit("entry_"), F.monotonically_increasing_id())
+    return safe_name(F.coalesce(F.nullif(entry_id, F.lit("")), F.nullif(code_hash, F.lit("")), numbered))
 
 
 def write_json_documents(entries, path, one_per_file=False, mode="errorifexists"):
@@ -245,7 +247,8 @@ def readable_documents(entries):
 
 
 def write_readable_json(entries, path, mode="errorifexists"):
-    readable_documents(entries).write.options(**JSON_WRITE).mode(mode).json(path)
+    """Readable documents; of several with one content hash the last replaces the others."""
+    readable_documents(one_per_hash(entries, "last")).write.options(**JSON_WRITE).mode(mode).json(path)
 
 
 # --- Parquet store -----------------------------------------------------------

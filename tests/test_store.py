@@ -127,6 +127,40 @@ def test_update(spark):
     assert [r["entry_id"] for r in store.unmatched(updates, df).collect()] == [f"{99:024x}"]
 
 
+def test_update_of_whole_parts_and_from_python(spark):
+    df = entries(spark, entry(1, cppcheck=["a"], concurrency=True, code_style=True), entry(2))
+    update = store.as_update(spark, f"{1:024x}", {
+        "repo": {"url": "v", "commit_hash": "w", "commit_date": "2021-01-01T00:00:00Z"},
+        "labels": {"cppcheck": ["n"], "groups": {"code_style": True}}, "labels.clang": {"k": 1}, "code_fixed": None,
+    })
+    later = store.as_update(spark, f"{1:024x}", {
+        "labels.groups": {"logic_error": True}, "ingest_timestamp": T0 + dt.timedelta(hours=1)}, seq=5)
+    got = store.update_entries(df, update.union(later)).filter("matched").collect()[0]
+    assert (got["repo"]["url"], got["repo"]["commit_hash"], got["repo"]["commit_date"]) == ("v", "w", dt.datetime(2021, 1, 1))
+    assert list(got["labels"]["cppcheck"]) == ["n"] and got["code_fixed"] is None
+    assert [g for g in GROUPS if got["labels"]["groups"][g]] == ["logic_error"]
+    assert got["ingest_timestamp"] == T0 + dt.timedelta(hours=1)
+
+
+def test_update_of_an_unknown_path_is_an_error(spark):
+    import pytest
+
+    with pytest.raises(Exception, match="cannot set nothing.here"):
+        store.update_entries(entries(spark, entry(1)), store.as_update(spark, f"{1:024x}", {"nothing.here": 1})).collect()
+
+
+def test_edit_from_python(spark):
+    import pytest
+
+    df = entries(spark, entry(1, memory_management=True), entry(2))
+    edit = store.as_edit(spark, f"{1:024x}", ["LogicError", "own"], ["MemError"])
+    row = store.patch_labels(df, edit).filter("matched").collect()[0]
+    assert [g for g in GROUPS if row["labels"]["groups"][g]] == ["logic_error"]
+    assert list(row["labels"]["cppcheck"]) == ["own"]
+    with pytest.raises(ValueError):
+        store.as_edit(spark, f"{1:024x}")
+
+
 def test_delete(spark):
     df = entries(spark, entry(1), entry(2))
     gone = spark.createDataFrame([(f"{2:024x}",), (f"{2:024x}",), (f"{5:024x}",)], "entry_id string")
