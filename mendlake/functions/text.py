@@ -54,8 +54,9 @@ def base_name(path):
 
 
 def dir_name(path):
-    head = F.regexp_extract(path, r"(?s)\A(.*/)", 1)
-    return F.when(F.regexp_like(head, F.lit(r"\A/*\z")), head).otherwise(F.rtrim(head, F.lit("/")))
+    head = F.left(path, F.length(path) - F.length(base_name(path)))
+    trimmed = F.rtrim(head, F.lit("/"))
+    return F.when(trimmed == "", head).otherwise(trimmed)
 
 
 def join_path(directory, name):
@@ -66,12 +67,13 @@ def join_path(directory, name):
 
 def extension(path):
     """``os.path.splitext``: leading dots of the file name start no extension."""
-    return F.regexp_extract(base_name(path), r"(?s)[^.].*(\.[^.]*)\z", 1)
+    name = F.ltrim(base_name(path), F.lit("."))
+    return F.when(name.contains("."), F.concat(F.lit("."), F.substring_index(name, ".", -1))).otherwise(F.lit(""))
 
 
 def stem(path):
     name = base_name(path)
-    return F.substr(name, F.lit(1), F.length(name) - F.length(extension(path)))
+    return F.left(name, F.length(name) - F.length(extension(path)))
 
 
 def safe_name(c):

@@ -312,49 +312,54 @@ def label_changes(edits):
     Everything is reduced per (entry, label) by aggregates that combine within
     tasks, so an entry with very many edits does not gather in one task.
     """
-    steps = edits.select("entry_id", "seq", F.inline(F.concat(
-        F.transform("add", lambda x, i: F.struct(
-            x.alias("label"), F.lit(False).alias("removing"), i.alias("at"))),
-        F.transform("remove", lambda x, i: F.struct(
-            x.alias("label"), F.lit(True).alias("removing"), i.alias("at"))),
-    )))
     aliases = F.create_map(*[F.lit(x) for pair in EDIT_ALIASES.items() for x in pair])
-    steps = steps.withColumn("field", F.element_at(aliases, F.col("label")))
-    flags = (
-        steps.filter("field IS NOT NULL")
-        .groupBy("entry_id", "field")
-        .agg(F.max(F.struct("seq", "removing"))["removing"].alias("off"))
-        .groupBy("entry_id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("field", ~F.col("off")))).alias("flags"))
+
+    def step(removing):
+        return lambda x, i: F.struct(
+            F.coalesce(aliases[x], x).alias("label"), aliases[x].isNotNull().alias("is_flag"),
+            F.lit(removing).alias("removing"), i.alias("at"),
+        )
+
+    steps = edits.select(
+        "entry_id", "seq", F.inline(F.concat(F.transform("add", step(False)), F.transform("remove", step(True))))
+    ).filter("label IS NOT NULL")
+    per_label = steps.groupBy("entry_id", "label", "is_flag").agg(
+        F.max(F.when(F.col("removing"), F.col("seq"))).alias("last_removal"),
+        F.max(F.when(~F.col("removing"), F.col("seq"))).alias("last_addition"),
     )
-    listed = steps.filter("field IS NULL AND label IS NOT NULL")
-    removals = listed.filter("removing").groupBy("entry_id", "label").agg(F.max("seq").alias("last_removal"))
-    additions = (
-        listed.filter("NOT removing")
-        .groupBy("entry_id", "label", "seq").agg(F.min("at").alias("at"))
-        .join(removals, ["entry_id", "label"], "left")
+    # Within one edit the removal comes last, so only a later edit adds again.
+    present = F.col("last_addition").isNotNull() & (
+        F.col("last_removal").isNull() | (F.col("last_addition") > F.col("last_removal"))
+    )
+    places = (
+        steps.filter("NOT removing AND NOT is_flag")
+        .join(per_label.filter(~F.col("is_flag") & present).select("entry_id", "label", "last_removal"),
+              ["entry_id", "label"])
         .filter("last_removal IS NULL OR seq > last_removal")
         .groupBy("entry_id", "label")
         .agg(F.min(F.struct("seq", "at")).alias("place"))
     )
-    per_entry = (
-        removals.select("entry_id", F.col("label").alias("dropped"), F.lit(None).alias("added"))
-        .unionByName(additions.select(
-            "entry_id", F.lit(None).alias("dropped"), F.struct("place", "label").alias("added")))
-        .groupBy("entry_id")
-        .agg(
-            F.collect_list("dropped").alias("dropped"),
-            F.transform(F.array_sort(F.collect_list("added")), lambda x: x["label"]).alias("appended"),
-        )
+    is_flag, none = F.col("is_flag"), F.lit(None)
+    effects = per_label.select(
+        "entry_id",
+        F.when(is_flag, F.struct("label", present)).alias("flag"),
+        F.when(~is_flag & F.col("last_removal").isNotNull(), F.col("label")).alias("dropped"),
+        none.alias("added"),
+    ).unionByName(places.select(
+        "entry_id", none.alias("flag"), none.alias("dropped"), F.struct("place", "label").alias("added")
+    ))
+    return effects.groupBy("entry_id").agg(
+        F.map_from_entries(F.collect_list("flag")).alias("flags"),
+        F.collect_list("dropped").alias("dropped"),
+        F.transform(F.array_sort(F.collect_list("added")), lambda x: x["label"]).alias("appended"),
     )
-    return flags.join(per_entry, "entry_id", "full_outer")
 
 
 def patch_labels(store, edits):
     """New snapshot after label edits, with ``matched`` for entries that had one."""
     joined = store.join(label_changes(edits).withColumn("matched", F.lit(True)), "entry_id", "left")
-    none = F.array().cast("array<string>")
-    dropped, appended = F.coalesce("dropped", none), F.coalesce("appended", none)
+    nothing = F.array().cast("array<string>")
+    dropped, appended = F.coalesce("dropped", nothing), F.coalesce("appended", nothing)
     kept = F.filter("labels.cppcheck", lambda x: ~F.array_contains(dropped, x))
     new_values = {
         "labels.cppcheck": F.concat(kept, F.filter(appended, lambda x: ~F.array_contains(kept, x))),
