@@ -298,7 +298,7 @@ def label_filter(spark, sf_dir):
 @registered
 def param_filter(spark, sf_dir):
     wanted = query.params_filter(
-        repo_url="https://github.com/o/src7", has_memory_management="Yes", has_concurrency="0",
+        repo_url="https://github.com/o/src6", has_memory_management="Yes", has_concurrency="0",
         has_logic_error="perhaps", has_code_quality_performance="true",
     )
     return P.entries(spark, sf_dir).filter(wanted).select("entry_id")

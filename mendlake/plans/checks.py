@@ -330,7 +330,7 @@ WHERE nth = 1 ORDER BY {ORDER.format('ASC')} LIMIT 50
 
 check("label_filter", f"SELECT entry_id FROM p_entries WHERE memory_management AND {QUALITY_OR} AND issue_2 = 'nullPointer'", "p_entries")
 check("param_filter", f"""
-SELECT entry_id FROM p_entries WHERE repo_url = 'https://github.com/o/src7' AND memory_management AND NOT concurrency AND {QUALITY_OR}
+SELECT entry_id FROM p_entries WHERE repo_url = 'https://github.com/o/src6' AND memory_management AND NOT concurrency AND {QUALITY_OR}
 """, "p_entries")
 check("document_filter", """
 SELECT entry_id FROM p_entries

@@ -44,16 +44,21 @@ def test_scans_read_only_what_they_need(spark):
     assert plan.count("BroadcastHashJoin") == 2 and plan.count("Exchange hashpartitioning") == 2
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", "/mnt/shared/cp/")
-        assert shared_dir(spark, "x").startswith("/mnt/shared/cp/x-")
-        spark.conf.unset("spark.checkpoint.dir")
-        if spark.conf.get("spark.checkpoint.dir", None) is None:
-            assert os.path.isdir(shared_dir(spark, "x"))
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
-        else:
-            spark.conf.unset("spark.checkpoint.dir")
+class Session:
+    """The two settings that decide on the shared folder."""
+
+    def __init__(self, folder, master):
+        self.conf = self
+        self.sparkContext = self
+        self.folder, self.master = folder, master
+
+    def get(self, key, default):
+        return self.folder if key == "spark.checkpoint.dir" and self.folder else default
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_dir(Session("/mnt/shared/cp/", "spark://host:7077"), "x").startswith("/mnt/shared/cp/x-")
+    assert shared_dir(Session("/mnt/shared/cp", "local[4]"), "x").startswith("/mnt/shared/cp/x-")
+    assert os.path.isdir(shared_dir(Session(None, "local[4]"), "x"))
+    with pytest.raises(ValueError):
+        shared_dir(Session(None, "spark://host:7077"), "x")
