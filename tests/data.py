@@ -3,8 +3,6 @@
 import datetime as dt
 import hashlib
 
-from pyspark.sql import Row
-
 from mendlake.schema import ENTRY_SCHEMA, GROUPS
 
 T0 = dt.datetime(2024, 1, 15, 9, 30)
@@ -39,4 +37,4 @@ def ids(df):
     return sorted(int(r["entry_id"], 16) for r in df.select("entry_id").collect())
 
 
-__all__ = ["Row", "T0", "TAXONOMY", "TAXONOMY_SCHEMA", "entries", "entry", "ids", "sha"]
+__all__ = ["T0", "TAXONOMY", "TAXONOMY_SCHEMA", "entries", "entry", "ids", "sha"]
