@@ -4,8 +4,10 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import connect, differences
+from mendlake.plans.catalog import QUERIES
+from mendlake.plans.checks import CHECKS
 from mendlake.session import shared_dir
 
 SMALL = "/root/testdata/sf0.001"
@@ -18,7 +20,7 @@ def duck():
 
 
 def test_every_query_has_a_check():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(CHECKS)
 
 
 def test_entry(spark):
@@ -26,20 +28,20 @@ def test_entry(spark):
     assert len(rows) == 13 and {"group_name", "n_entries", "percent"} == set(rows[0].asDict())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_duckdb(spark, duck, name):
     assert differences(spark, duck, SMALL, name) == ""
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n != "stream_ingest"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "stream_ingest"])
 def test_plan(spark, name):
-    plan = queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert unwanted not in plan
 
 
 def test_scans_read_only_what_they_need(spark):
-    plan = queries()["fixes_by_category"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["fixes_by_category"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in plan and "l_comment" not in plan
     assert plan.count("BroadcastHashJoin") == 2 and plan.count("Exchange hashpartitioning") == 2
 
