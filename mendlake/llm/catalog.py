@@ -1,15 +1,16 @@
 """Registered queries of this subpackage and their checks in SQL."""
 
-from mendlake.llm import bpe, html_text, kd_search, line_dedup, mixing, quality, sharding
+from mendlake.llm import bpe, html_text, kd_search, line_dedup, mixing, ngram_join, quality, sharding
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
     "op2_line_windows": line_dedup.op2_line_windows,
     "op3_text_density": html_text.op3_text_density,
     "op4_quality_divergence": quality.op4_quality_divergence,
+    "op5_prefix_tree_join": ngram_join.op5_prefix_tree_join,
     "op8_kd_search": kd_search.op8_kd_search,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_bpe_round_trip": bpe.op10_bpe_round_trip,
 }
 
-CHECKS = {**line_dedup.SQL, **quality.SQL, **kd_search.SQL}
+CHECKS = {**line_dedup.SQL, **quality.SQL, **ngram_join.SQL, **kd_search.SQL}
