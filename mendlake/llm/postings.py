@@ -16,6 +16,12 @@ def bucket_count(n_tokens):
     return int(max(8, -(-n_tokens // BUCKET_TOKENS)))
 
 
+def coded(tokens, n_buckets):
+    """Tokens as bucket and 32 bits of their own. Unlike tokens may share a code; that adds candidates and loses none."""
+    bucket = ((tokens * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % n_buckets
+    return (bucket << 32) | (tokens & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def pack(batches, n_buckets):
     """Deals tokens out to buckets, many to a row.
 
@@ -25,24 +31,20 @@ def pack(batches, n_buckets):
     """
     for owners, lengths, tokens in batches:
         at = np.repeat(np.arange(len(owners)), lengths)
-        start = 0
-        while start < len(tokens):
-            part, who = tokens[start:start + SLICE_TOKENS], at[start:start + SLICE_TOKENS]
-            bucket = ((part * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % n_buckets
-            order = np.argsort(bucket, kind="stable")
-            part, who, bucket = part[order], who[order], bucket[order]
-            base = who.min()
-            known = owners[base:who.max() + 1].astype("<i8")
-            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-            ends = [*cuts[1:], len(bucket)]
+        codes, start = coded(tokens, n_buckets), 0
+        while start < len(codes):
+            end = min(start + SLICE_TOKENS, int(np.searchsorted(at, at[start] + 65536)))
+            order = np.argsort(codes[start:end] >> 32, kind="stable")
+            code, who = codes[start:end][order], at[start:end][order]
+            start, cuts = end, np.flatnonzero(np.diff(code >> 32, prepend=-1))
             rows = []
-            for a, b in zip(cuts, ends):
-                used, local = np.unique(who[a:b] - base, return_inverse=True)
-                rows.append((int(bucket[a]), part[a:b].astype("<u8").tobytes(), local.astype("<u4").tobytes(), known[used].tobytes()))
+            for a, b in zip(cuts, [*cuts[1:], len(code)]):
+                used, local = np.unique(who[a:b], return_inverse=True)
+                rows.append((int(code[a] >> 32), (code[a:b] & 0xFFFFFFFF).astype("<u4").tobytes(),
+                             local.astype("<u2").tobytes(), owners[used].astype("<i8").tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3))],
                 names=["bucket", "tokens", "local", "owners"])
-            start += SLICE_TOKENS
 
 
 PACKED = "bucket int, tokens binary, local binary, owners binary"
@@ -51,19 +53,20 @@ PACKED = "bucket int, tokens binary, local binary, owners binary"
 def unpack(group):
     """(tokens, owners) of a bucket, each pair once, sorted by token."""
     columns = [group.column(c).to_pylist() for c in ("tokens", "local", "owners")]
-    tokens = np.concatenate([np.frombuffer(t, "<u8") for t in columns[0]])
-    owners = np.concatenate([np.frombuffer(o, "<i8")[np.frombuffer(i, "<u4")] for _, i, o in zip(*columns)])
+    tokens = np.concatenate([np.frombuffer(t, "<u4") for t in columns[0]])
+    owners = np.concatenate([np.frombuffer(o, "<i8")[np.frombuffer(i, "<u2")] for _, i, o in zip(*columns)])
     order = np.lexsort((owners, tokens))
     tokens, owners = tokens[order], owners[order]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (owners[1:] != owners[:-1])
-    return tokens[new], owners[new]
+    bucket = group.column("bucket")[0].as_py()
+    return (np.int64(bucket) << 32) | tokens[new].astype(np.int64), owners[new]
 
 
 def shared_by_owner(group):
     """Of one bucket, the tokens that two owners or more have, listed per owner with the number of owners."""
     tokens, owners = unpack(group)
-    first = np.flatnonzero(np.diff(tokens, prepend=tokens[:1] + np.uint64(1)))
+    first = np.flatnonzero(np.diff(tokens, prepend=-1))
     counts = np.diff([*first, len(tokens)])
     n = np.repeat(counts, counts)
     tokens, owners, n = tokens[n > 1], owners[n > 1], n[n > 1]
@@ -73,7 +76,7 @@ def shared_by_owner(group):
     offsets = pa.array([*cuts, len(owners)], pa.int32())
     return pa.table({
         "owner": pa.array(owners[cuts] if len(owners) else np.empty(0, np.int64)),
-        "tokens": pa.ListArray.from_arrays(offsets, pa.array(tokens.view(np.int64))),
+        "tokens": pa.ListArray.from_arrays(offsets, pa.array(tokens)),
         "counts": pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int64))),
     })
 
