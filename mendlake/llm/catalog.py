@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and their checks in SQL."""
 
-from mendlake.llm import bpe, html_text, kd_search, line_dedup, mixing, ngram_join, quality, sharding, suffix_dedup
+from mendlake.llm import bpe, html_text, kd_search, line_dedup, mixing, ngram_join, pseudo_likelihood, quality, sharding, suffix_dedup
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_text_density": html_text.op3_text_density,
     "op4_quality_divergence": quality.op4_quality_divergence,
     "op5_prefix_tree_join": ngram_join.op5_prefix_tree_join,
+    "op6_pseudo_likelihood": pseudo_likelihood.op6_pseudo_likelihood,
     "op7_bwt_dedup": suffix_dedup.op7_bwt_dedup,
     "op8_kd_search": kd_search.op8_kd_search,
     "op9_mix_sources": mixing.op9_mix_sources,
