@@ -12,7 +12,8 @@ from mendlake.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[4]", spark__sql__shuffle__partitions=4, spark__ui__enabled="false",
-        spark__driver__memory="4g", spark__driver__bindAddress="127.0.0.1",
+        spark__driver__memory="4g", spark__driver__bindAddress="127.0.0.1", spark__driver__host="127.0.0.1",
+        spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
