@@ -1,0 +1,479 @@
+"""Operators of the training-data pipeline against plain versions, on small tables with every awkward case."""
+
+import hashlib
+import itertools
+import os
+
+import brute
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+import corpus_pipeline
+from mendlake.llm import anchors, bpe, html_text, kd_search, line_dedup, mixing, ngram_join, pseudo_likelihood
+from mendlake.llm import postings, quality, sharding, suffix_dedup
+from mendlake.llm.catalog import CHECKS, QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+DOCS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()),
+                  ("n_chars", pa.int64())])
+#: Names that operators use themselves.
+EXTRA = ("size", "shard", "slot", "rank", "token", "tokens", "bucket", "owner", "component", "window", "row", "key", "kept",
+         "n_words", "text_id", "first", "ids", "_key", "curve", "epoch", "target", "score", "vector", "place")
+
+
+def write(folder, name, schema, rows, extra=()):
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    data = pa.table([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+    for e in extra:
+        data = data.append_column(e, pa.array(["extra"] * len(rows)))
+    pq.write_table(data, f"{folder}/{name}.parquet", row_group_size=40)
+
+
+PAGES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())])
+VECTORS = pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())])
+
+
+def vectors():
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist(), 0) for i in range(600)]
+    rows[3] = (3, None, 0)
+    rows[4] = (4, [1.0, None, 0, 0, 0, 0], 0)
+    rows[5] = (5, [float("nan")] * 6, 0)
+    rows[100] = (100, [float("inf")] * 6, 0)
+    rows[7] = (7, rows[8][1], 0)  # a tie
+    rows[200] = (200, rows[0][1], 0)
+    rows[400] = (400, [1.0, 2.0], 0)  # of another length
+    rows[401] = (401, [3.0, 2.0], 0)
+    rows[402] = (402, [], 0)
+    return rows + [rows[9], rows[300]]
+
+
+@pytest.fixture(scope="module")
+def sf(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("tables")
+    write(folder, "documents", DOCS, brute.documents(), EXTRA)
+    pages = [(1, "u", "<html><body><nav>menu</nav><article><h1>T &amp; t</h1><p>one\n two</p></article></body></html>"),
+             (2, None, None), (3, "u", ""), (None, "u", "plain"), (1, "u", "<p>x<br>y")]
+    write(folder, "pages", PAGES, pages, EXTRA)
+    write(folder, "embeddings", VECTORS, vectors(), EXTRA[:-3])
+    return str(folder)
+
+
+@pytest.fixture(scope="module")
+def empty(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("empty")
+    for name, schema in (("documents", DOCS), ("pages", PAGES), ("embeddings", VECTORS)):
+        write(folder, name, schema, [])
+    return str(folder)
+
+
+def rows_of(spark, name, folder):
+    return QUERIES[name](spark, folder).collect()
+
+
+@pytest.mark.parametrize("name", [*QUERIES, "pipeline"])
+def test_empty_tables(spark, empty, name):
+    query = corpus_pipeline.run if name == "pipeline" else QUERIES[name]
+    assert query(spark, empty).collect() == []
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the driver tables")
+@pytest.mark.parametrize("name", list(CHECKS))
+def test_query_equals_duckdb(spark, monkeypatch, name):
+    import check
+
+    monkeypatch.setattr(check, "queries", lambda: QUERIES)
+    monkeypatch.setattr(check, "oracle_sql", lambda: CHECKS)
+    assert check.differences(spark, check.connect(SMALL), SMALL, name) == ""
+
+
+def test_null_ids(spark, tmp_path):
+    text = "some words that are here for a document without any id at all, twice and more"
+    rows = [(None, text, None, None, None), (1, text, None, None, None), (None, None, None, None, None)]
+    write(tmp_path, "documents", DOCS, rows)
+    for name, query in QUERIES.items():
+        if name not in ("op3_text_density", "op8_kd_search"):
+            assert len(query(spark, str(tmp_path)).collect()) == 3, name
+    got = {(r["doc_id"], r["component_id"]) for r in rows_of(spark, "op5_prefix_tree_join", str(tmp_path))}
+    assert got == {(None, None), (1, 1)}
+
+
+# --- sharding ---------------------------------------------------------------
+
+@pytest.mark.parametrize("dimensions,bits", [(1, 5), (2, 3), (3, 3), (4, 2)])
+def test_curve_visits_neighbouring_cells(dimensions, bits):
+    cells = np.array(list(itertools.product(range(2**bits), repeat=dimensions)))
+    index = sharding.hilbert_index(cells, bits)
+    assert sorted(index) == list(range(len(cells)))
+    path = cells[np.argsort(index)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_shards(spark, sf):
+    rows, docs = rows_of(spark, "op1_hilbert_shards", sf), brute.documents()
+    import zlib
+    want = sorted((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in docs)
+    assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == want
+    slots = {}
+    for r in rows:
+        slots.setdefault(r["shard"], []).append((r["slot"], r["curve"]))
+    assert set(slots) == set(range(8)) and {len(s) for s in slots.values()} <= {len(docs) // 8, len(docs) // 8 + 1}
+    order = [c for s in sorted(slots) for _, c in sorted(slots[s])]
+    assert all([n for n, _ in sorted(s)] == list(range(len(s))) for s in slots.values()) and order == sorted(order)
+
+
+def test_fewer_rows_than_shards_and_ranges(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id long, name string")
+    sharded = sharding.hilbert_shards(df, ["id", "name"], ["id"], 8)
+    assert sorted((r["shard"], r["slot"]) for r in sharded.collect()) == [(0, 0), (1, 0), (2, 0)]
+    assert sharding.shard_ranges(sharded, ["id"]).count() == 3
+    sharding.write_shards(sharded, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    with pytest.raises(ValueError):
+        sharding.hilbert_shards(df, ["id"] * 8, ["id"], 2)
+
+
+# --- line windows -----------------------------------------------------------
+
+def test_line_windows(spark, sf):
+    docs = brute.documents()
+    want = brute.line_dedup([(i, t) for i, t, *_ in docs])
+    got = sorted((r["doc_id"], r["text"] or "", r["n_lines"], r["n_removed"]) for r in rows_of(spark, "op2_line_windows", sf))
+    assert got == sorted((i, want[i, t][0] or "", *want[i, t][1:]) for i, t, *_ in docs)
+
+
+def test_overlapping_windows_merge(spark):
+    rows = [(1, "a\nb\nc\nd\ne"), (2, "x\na\nb\nc\nd\ny"), (3, "\n\n\n\n"), (4, "\n\n\n"), (5, "p\np\np\np\np")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeated_lines(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "a\nb\nc\nd\ne", 2: "x\ny", 3: "\n\n\n\n", 4: "\n\n\n", 5: "p"}
+
+
+# --- HTML -------------------------------------------------------------------
+
+PAGES_AND_TEXTS = [
+    ("<body><div class='menu'><a href=x>home</a></div><div><p>Long text of an article, with words.</p><p>More &lt;of&gt; it"
+     "&nbsp;here.</p></div><div id=comments>me too</div><footer>f</footer></body>",
+     "Long text of an article, with words.\n\nMore <of> it here."),
+    ("<body><article><h1>Title</h1><p><b>bold<br><p>a <i>b</i> c<script>if (a<b) '</p>'</script></p></article>"
+     "<aside>no</aside>", "Title\n\nbold\n\na b c"),
+    ("<ul><li>one<li>two</ul>", "one\n\ntwo"),
+    ("text <!-- no --> a < b & c", "text a < b & c"),
+    ("<body><script>only", ""), ("<", "<"), ("<a", ""), ("", ""), ("</p></div>", ""), ("<p>é</p>", "é"),
+    ("<body><form>f</form><p class='advert'>ad</p></body>", ""),
+]
+
+
+@pytest.mark.parametrize("page,text", PAGES_AND_TEXTS)
+def test_main_text(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_dense_part_wins_over_links():
+    links = "".join(f"<p><a href=/{i}>link {i} to another page</a></p>" for i in range(40))
+    text = "A long paragraph of an article that has many words and no links in it at all. " * 5
+    page = f"<body><div>{links}</div><div><p>{text}</p><p>{text}</p><p>{text}</p></div></body>"
+    assert html_text.main_text(page) == "\n\n".join([text.strip()] * 3)
+
+
+def test_deep_and_long_pages():
+    assert html_text.main_text("<div>" * 20000 + "deep" + "</div>" * 20000) == "deep"
+    assert len(html_text.main_text("<p>word " * 50000)) == 50000 * 6 - 2
+
+
+def test_pages_query(spark, sf):
+    got = [(r["page_id"], r["url"], r["text"], r["n_chars"]) for r in rows_of(spark, "op3_text_density", sf)]
+    want = [(1, "u", "T & t\n\none two", 14), (2, None, "", 0), (3, "u", "", 0), (None, "u", "plain", 5), (1, "u", "x y", 3)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+# --- quality ----------------------------------------------------------------
+
+def test_quality(spark, sf):
+    docs = brute.documents()
+    want = sorted((i, *q) for (i, *_), q in zip(docs, brute.quality([(i, t, lang) for i, t, lang, *_ in docs])))
+    assert sorted(tuple(r) for r in rows_of(spark, "op4_quality_divergence", sf)) == want
+    assert {w[-1] for w in want} == {True, False}
+
+
+def test_quality_runs_no_python(spark, sf):
+    plan = QUERIES["op4_quality_divergence"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_distance(spark):
+    df = spark.createDataFrame([([1, 0], [0, 1]), ([2, 2], [1, 1]), ([0, 0], [1, 1])], "p array<long>, q array<long>")
+    got = [r[0] for r in df.select(quality.js_distance(df.p, df.q)).collect()]
+    assert got[0] == pytest.approx(1) and got[1] == pytest.approx(0) and got[2] is None
+
+
+# --- n-gram join ------------------------------------------------------------
+
+def test_components(spark, sf):
+    docs = brute.documents()
+    want = brute.components([(i, t) for i, t, *_ in docs])
+    got = rows_of(spark, "op5_prefix_tree_join", sf)
+    assert {r["doc_id"]: r["component_id"] for r in got} == want and len(got) == len(docs)
+    sizes = {i: len(brute.shingles(t)) for i, t, *_ in docs}
+    assert {r["doc_id"]: r["n_shingles"] for r in got} == sizes
+    assert len(set(want.values())) < len(set(want)) - 10
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_tree_finds_all_groups(seed):
+    rng = np.random.default_rng(seed)
+    sets = []
+    for _ in range(12):
+        base = rng.choice(600, rng.integers(1, 60), replace=False)
+        for _ in range(rng.integers(1, 9)):
+            edits = rng.integers(0, 1 + len(base) // 6)
+            sets.append(np.unique(np.concatenate([rng.permutation(base)[edits:], rng.integers(0, 600, edits)])).astype(np.uint64))
+    sets = [s for s in sets if len(s)]
+
+    def groups(pairs):
+        group = list(range(len(sets)))
+        for a, b in pairs:
+            x, y = group[a], group[b]
+            group = [min(x, y) if g in (x, y) else g for g in group]
+        return group
+
+    links = [(i, j) for j in range(len(sets)) for i in range(j)
+             if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))]
+    assert groups(ngram_join.tree_links(sets)) == groups(links)
+
+
+def test_large_components_in_blocks(spark, monkeypatch, sf):
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 2)
+    test_components(spark, sf)
+
+
+def test_connected_components(spark):
+    rng = np.random.default_rng(1)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 120, (70, 2))] + [(i, i + 1) for i in range(200, 260)]
+    got = {r["node"]: r["component"] for r in postings.components(
+        spark.createDataFrame(pairs, "a long, b long"), "test").collect()}
+    group = {n: n for p in pairs for n in p}
+    for _ in group:
+        for a, b in pairs:
+            group[a] = group[b] = min(group[a], group[b])
+    linked = {n for a, b in pairs if a != b for n in (a, b)}
+    assert got == {n: g for n, g in group.items() if n in linked}
+
+
+# --- language model ---------------------------------------------------------
+
+def test_pseudo_likelihood(spark):
+    rng = np.random.default_rng(2)
+    words = [f"w{i}" for i in range(30)]
+
+    def ordered(n):
+        start = rng.integers(0, 30)
+        return " ".join(words[(start + i) % 30] for i in range(n))
+
+    train = spark.createDataFrame([(ordered(60),) for _ in range(600)] + [(None,), ("",)], "text string").repartition(3)
+    model = pseudo_likelihood.train(train)
+    held_out = [(i, ordered(40)) for i in range(20)]
+    mixed = [(100 + i, " ".join(rng.permutation(t.split()))) for i, t in held_out]
+    asked = spark.createDataFrame([*held_out, *mixed, (-1, None), (-2, " ")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pseudo_likelihood.score(asked, *model).collect()}
+    assert got[-1]["n_tokens"] == 0 == got[-2]["log_prob"] and got[-1]["mean_log_prob"] is None
+    uniform = -np.log(30)
+    assert np.mean([got[i]["mean_log_prob"] for i, _ in held_out]) > uniform / 2
+    assert all(got[i]["mean_log_prob"] > got[100 + i]["mean_log_prob"] for i, _ in held_out)
+
+
+def test_probabilities_sum_to_one():
+    net = pseudo_likelihood.new_network(np.arange(pseudo_likelihood.VOCABULARY, dtype=float))
+    ids = np.zeros(5, np.int32)
+    total = 0
+    for word in range(pseudo_likelihood.VOCABULARY):
+        ids[2] = word
+        total += np.exp(pseudo_likelihood.log_probabilities(net, ids, np.array([2]))[0])
+    assert total == pytest.approx(1, abs=1e-3)
+
+
+# --- repeated bytes ---------------------------------------------------------
+
+@pytest.mark.parametrize("hot,merge", [(5000, 2_000_000), (1, 2_000_000), (5000, 3000)])
+def test_repeats(spark, sf, monkeypatch, hot, merge):
+    monkeypatch.setattr(suffix_dedup, "HOT_WINDOWS", hot)
+    monkeypatch.setattr(suffix_dedup, "MERGE_BYTES", merge)
+    want = brute.repeats([(i, t) for i, t, *_ in brute.documents()])
+    got = rows_of(spark, "op7_bwt_dedup", sf)
+    assert len(got) == len(brute.documents())
+    for r in got:
+        assert tuple(r)[1:] in want[r["doc_id"]], r
+    assert sum(r["n_removed"] for r in got) > 5000
+
+
+def test_ids_with_several_texts(spark, tmp_path):
+    a, b = "x" * 30 + "0123456789" * 6, "0123456789" * 6 + "y"
+    rows = [(2, a), (2, b), (1, "0123456789" * 5), (3, a), (3, None)]
+    write(tmp_path, "documents", DOCS, [(i, t, None, None, None) for i, t in rows])
+    want = brute.repeats(rows)
+    assert all(tuple(r)[1:] in want[r["doc_id"]] for r in rows_of(spark, "op7_bwt_dedup", str(tmp_path)))
+
+
+@pytest.mark.parametrize("shards", [1, 2, 5])
+def test_merge_equals_sorting(shards):
+    rng = np.random.default_rng(shards)
+    strings = [bytes(rng.integers(0, 3, rng.integers(1, 90)).astype(np.uint8)) for _ in range(60)]
+    strings += [s[:40] + strings[i][:30] for i, s in enumerate(strings[:20])]
+    dealt = [strings[i::shards] for i in range(shards)]
+    parts = [suffix_dedup.transform(d) for d in dealt]
+    source, common, block = suffix_dedup.merge_transforms([p[0] for p in parts])
+    at, suffixes = [0] * shards, []
+    for j in source:
+        _, string, offset = parts[j]
+        suffixes.append(dealt[j][string[at[j]]][offset[at[j]]:][:50])
+        at[j] += 1
+    longest = [s for s in suffixes if len(s) == 50]
+    assert longest == sorted(longest)
+    for i in range(1, len(suffixes)):
+        a, b = suffixes[i - 1], suffixes[i]
+        if len(a) == len(b) == 50:
+            assert common[i] == next((k for k in range(50) if a[k] != b[k]), 50)
+            assert (block[i] == block[i - 1]) == (a == b)
+
+
+def test_anchors_depend_on_the_string_alone():
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 4, 400).astype(np.uint8)
+    shifted = np.concatenate([rng.integers(0, 4, 17).astype(np.uint8), data[100:300]])
+    assert (anchors.anchors(data)[100:251] == anchors.anchors(shifted)[17:168]).all()
+    first, count = anchors.runs(np.array([7] * 150 + [8, 9], np.uint64))
+    assert count.tolist() == [64, 64, 22, 1, 1] and first.tolist() == [0, 64, 128, 150, 151]
+    assert len(anchors.anchors(data[:49])) == 0 and len(anchors.anchors(data[:50])) == 1
+
+
+# --- search -----------------------------------------------------------------
+
+def test_search(spark, sf, monkeypatch):
+    monkeypatch.setattr(kd_search, "SHARD_ROWS", 100)
+    fit = {i: tuple(np.floor(1024 * np.array(e, float)).astype(int).tolist()) for i, e, _ in vectors()
+           if e and None not in e and np.isfinite(np.array(e, float)).all()}
+    want = set()
+    for q in fit:
+        if q % 100 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(fit[q], v)), i) for i, v in fit.items() if i != q and len(v) == len(fit[q]))
+            want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:10])}
+    got = [tuple(r) for r in kd_search.top_k(*_asked(spark, sf), shard_rows=100).collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert set(map(tuple, rows_of(spark, "op8_kd_search", sf))) == want
+
+
+def _asked(spark, sf):
+    v = kd_search.quantised(spark.read.parquet(f"{sf}/embeddings.parquet"))
+    return v, v.filter("vec_id % 100 = 0")
+
+
+def test_scores_beyond_exact_doubles(spark):
+    big = 2**29
+    v = spark.createDataFrame([(0, [big, 1]), (1, [big, 1]), (2, [big, 2]), (3, [-big, 0])], "vec_id long, vector array<long>")
+    got = [tuple(r) for r in kd_search.top_k(v, v.filter("vec_id = 0")).collect()]
+    assert sorted(got) == [(0, 1, 2, big * big + 2), (0, 2, 1, big * big + 1), (0, 3, 3, -big * big)]
+
+
+# --- mixing -----------------------------------------------------------------
+
+def test_mix(spark, sf):
+    docs = brute.documents()
+    rows = rows_of(spark, "op9_mix_sources", sf)
+    sizes, sources = {}, {}
+    for i, t, _, s, _ in docs:
+        sizes[s] = sizes.get(s, 0) + len(brute.words(t))
+        sources[i] = s
+    want, taken = brute.targets(sizes), {}
+    assert sorted((r["doc_id"], r["size"]) for r in rows) == sorted((i, len(brute.words(t))) for i, t, *_ in docs)
+    for r in rows:
+        s = sources[r["doc_id"]]
+        assert r["source_size"] == sizes[s] and r["target"] == pytest.approx(want[s])
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[s] = taken.get(s, 0) + r["taken"]
+    assert all(abs(taken[s] - want[s]) <= 3 + 0.02 * want[s] for s in want)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, rows_of(spark, "op9_mix_sources", sf)))
+
+
+def test_any_stretch_of_the_mix_is_near_the_weights(spark):
+    docs = spark.createDataFrame([(i, f"s{i % 3}", "w " * 50) for i in range(300)], "doc_id long, source string, text string")
+    placed, slices = mixing.mix(docs)
+    rows = slices.join(placed.select("row", "source"), "row").groupBy("slot", "source").sum("last").collect()
+    by_slot = {r["slot"]: r["source"] for r in rows}
+    for start in range(0, 2000, 250):
+        part = [by_slot[k] for k in range(start, start + 250)]
+        assert part.count("s0") / 250 == pytest.approx(5 / 8, abs=0.03)
+
+
+# --- tokens -----------------------------------------------------------------
+
+def _tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_str(bpe.read_definition())
+
+
+def test_tokens(spark, sf):
+    docs, tokenizer = brute.documents(), _tokenizer()
+    want = []
+    for i, t, *_ in docs:
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids
+        text = tokenizer.decode(ids, skip_special_tokens=False)
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                     hashlib.sha256(text.encode()).hexdigest()))
+    assert sorted(map(tuple, rows_of(spark, "op10_bpe_round_trip", sf))) == sorted(want)
+
+
+def test_odd_characters():
+    words, tokenizer = bpe.WordTable(bpe.read_definition()), _tokenizer()
+    texts = ["a<|endoftext|>b <|endoftext|>", "<|endoftext|>", "՘x ՘ ࢏1", " \n \t   x", "don't I'LL", "\0�", "😀👍🏽 中文 1²"]
+    assert words.encode(texts) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_a_full_table_is_begun_anew(monkeypatch):
+    monkeypatch.setattr(bpe, "TABLE_WORDS", 2)
+    words, tokenizer = bpe.WordTable(bpe.read_definition()), _tokenizer()
+    for t in ("a b c d", "e f a", "b c"):
+        assert words.encode([t]) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()]
+
+
+# --- pipeline ---------------------------------------------------------------
+
+def _pieces(text, first, last):
+    import re
+    return "".join(re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", text)[first:last]).rstrip(" ")
+
+
+def test_pipeline(spark, sf):
+    docs = brute.documents()
+    verdicts = brute.quality([(i, t, lang) for i, t, lang, *_ in docs])
+    rows = [d for d, q in zip(docs, verdicts) if q[-1]]
+    left = brute.line_dedup([(i, t) for i, t, *_ in rows])
+    rows = [(i, left[i, t][0], lang, s) for i, t, lang, s, _ in rows if left[i, t][2] < left[i, t][1] or not left[i, t][2]]
+    group = brute.components([(i, t) for i, t, *_ in rows])
+    rows = {i: (i, t, lang, s) for i, t, lang, s in rows if group[i] == i}
+    kept = spark.createDataFrame(list(rows.values()), "doc_id long, text string, lang string, source string")
+    # The mix itself has a test of its own; here its slices say which pieces come out.
+    keyed = kept.withColumn("_key", corpus_pipeline.row_key("doc_id", "text", "lang"))
+    placed, slices = mixing.mix(keyed, keys=("doc_id", "_key"))
+    place = {r["row"]: r["doc_id"] for r in placed.collect()}
+    taken = {}
+    for r in slices.collect():
+        a, b = taken.get((r["row"], r["epoch"]), (1 << 60, 0))
+        taken[r["row"], r["epoch"]] = (min(a, r["first"]), max(b, r["last"]))
+    want, tokenizer = [], _tokenizer()
+    for (row, _), (first, last) in taken.items():
+        i, t, lang, s = rows[place[row]]
+        text = t if (first, last) == (0, len(brute.words(t))) else _pieces(t, first, last)
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        want.append((i, lang or "", s or "", len(ids), np.array(ids, "<u4").tobytes(), hashlib.sha256(text.encode()).hexdigest()))
+    got = [(r["doc_id"], r["lang"] or "", r["source"] or "", r["n_tokens"], bytes(r["ids"]), r["decoded_sha256"])
+           for r in corpus_pipeline.run(spark, sf).collect()]
+    assert sorted(got) == sorted(want) and len(got) > 10
+
+
+def test_stages_return_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, sf).columns == ["doc_id", "text", "lang", "source", "n_chars"]
