@@ -144,7 +144,6 @@ class PrefixTree:
         self.ranks, self.sizes, self.mark = ranks, sizes, np.zeros(n_ranks + 1, bool)
         self.root = Node(np.empty(0, np.int64), 1 << 60, 0, None)
         self.group = list(range(len(ranks)))
-        self.links = []
 
     def find(self, i):
         while self.group[i] != i:
@@ -181,7 +180,6 @@ class PrefixTree:
                     a, b = self.find(i), self.find(j)
                     if a != b:
                         self.group[max(a, b)] = min(a, b)
-                        self.links.append((i, j))
             todo.extend((child, overlap, depth) for child in node.children.values())
         self.mark[x] = False
 
@@ -211,7 +209,7 @@ class PrefixTree:
 
 
 def tree_links(sets):
-    """Links that connect the groups of linked sets (sorted arrays), as pairs of positions."""
+    """For each of the linked sets (sorted arrays) a pair of its position and that of the first set of its group."""
     everything = np.concatenate(sets) if sets else np.empty(0, np.uint64)
     tokens, places, counts = np.unique(everything, return_inverse=True, return_counts=True)
     order = np.lexsort((tokens, -counts))
@@ -222,7 +220,7 @@ def tree_links(sets):
     tree = PrefixTree(ranks, [len(s) for s in sets], n_shared)
     for i in range(len(sets)):
         tree.add(i)
-    return tree.links
+    return [(i, tree.find(i)) for i in range(len(sets)) if tree.find(i) != i]
 
 
 def _group_links(group):

@@ -94,24 +94,19 @@ def components(links, name):
 
     Alternates two steps until nothing changes: each node's larger neighbours
     link to the least neighbour, then its smaller ones do. Hot nodes are
-    pre-aggregated; the links stay in tables, and a count and a checksum per
-    round reach the driver.
+    pre-aggregated, and the links stay in tables.
     """
     def stars(pairs):
         least = pairs.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
         return pairs.join(least, "u")
 
-    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges, before = settle(edges, name), None
-    while True:
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == before or not now[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                edges.select("v", "v").distinct())
-        before = now
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = stars(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        starred = stars(large)
-        small = starred.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            starred.select("u", F.col("m").alias("v")))
-        edges = settle(small.filter("u <> v").distinct(), name)
+    edges = settle(links.filter("a <> b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
+    # Done when nothing is linked to a node that is itself linked to a smaller one.
+    while edges.select("v").join(edges.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count():
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
+        large = stars(both.select("e.u", "e.v")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # Each node gets the least of its smaller neighbours, and so do these.
+        starred = stars(settle(large, name)).select(F.explode(F.array(F.col("u"), F.col("v"))).alias("u"), F.col("m").alias("v"))
+        edges = settle(starred.filter("u <> v").distinct(), name)
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
