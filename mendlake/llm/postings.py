@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from mendlake.llm.common import settle
 
-#: Tokens that one bucket should hold; a bucket is the most that one task keeps.
-BUCKET_TOKENS = 1_000_000
+#: Tokens that one bucket should hold; a bucket is the most that one task keeps. Few tokens are dealt out as well.
+BUCKET_TOKENS, MIN_BUCKETS = 1_500_000, 32
 #: Tokens that are packed at a time.
 SLICE_TOKENS = 400_000
 
 
 def bucket_count(n_tokens):
-    return int(max(8, -(-n_tokens // BUCKET_TOKENS)))
+    return int(max(MIN_BUCKETS, -(-n_tokens // BUCKET_TOKENS)))
 
 
 def coded(tokens, n_buckets):
