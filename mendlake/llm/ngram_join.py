@@ -254,7 +254,8 @@ def similar_groups(docs):
     blocks = chosen.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)).cast("int").alias("n_blocks"))
     chosen = chosen.join(blocks, "component").withColumn(
         "block", F.pmod(F.xxhash64("text_id", F.lit(7)), "n_blocks").cast("int"))
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text").join(chosen, ["doc_id", "text_id"])
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text").join(
+        chosen.hint("merge"), ["doc_id", "text_id"])
     fields = [T.StructField(n, T.LongType()) for n in ("component", "doc_id")]
     fields += [T.StructField(n, T.IntegerType()) for n in ("block", "n_blocks")]
 
