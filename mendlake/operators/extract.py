@@ -22,15 +22,35 @@ DEFAULT_START = "2020-01-01 00:00:00"
 PYTHON_FLAGS = "(?imuUd)"
 
 
+def java_pattern(pattern):
+    """Named groups as Java writes them."""
+    return F.regexp_replace(F.regexp_replace(pattern, r"\(\?P<", "(?<"), r"\(\?P=(\w+)\)", r"\\k<$1>")
+
+
+def compiles(pattern):
+    """Whether the pattern is one; the test matches it with an empty text."""
+    tried = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("matches"), F.concat(F.lit(PYTHON_FLAGS), pattern), F.lit(""))
+    return tried.isNotNull()
+
+
+def broken_rules(rules):
+    """``url`` and ``pattern`` of patterns that do not compile."""
+    each = rules.select("url", F.explode("fix_regexes").alias("pattern"))
+    return each.filter(~compiles(java_pattern(F.col("pattern"))))
+
+
 def with_patterns(rules):
     """Adds to each rule ``alternation`` and ``alone``, the forms its patterns are tried in.
 
     All patterns are tried as one alternation, which the regex engine compiles
     once for a run of rows with the same rule. Patterns that refer to their
-    groups are tried alone, since joining would renumber the groups.
+    groups are tried alone, since joining would renumber the groups. A rule with
+    a pattern that does not compile finds nothing; ``broken_rules`` names it.
     """
     refers = F.lit(r"\\[1-9]|\\k<|\(\?<[A-Za-z]")
-    patterns = F.coalesce("fix_regexes", F.array().cast("array<string>"))
+    patterns = F.transform(F.coalesce("fix_regexes", F.array().cast("array<string>")), java_pattern)
+    broken = F.exists(patterns, lambda r: ~compiles(r))
+    patterns = F.when(broken, F.array(F.lit("(?!)"))).otherwise(patterns)
     joined = F.filter(patterns, lambda r: ~F.regexp_like(r, refers))
     alternation = F.concat(
         F.lit(PYTHON_FLAGS),

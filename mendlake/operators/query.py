@@ -108,6 +108,8 @@ def _compare(c, kind, value, op):
 
 
 def _equals(path, value):
+    if value is None:
+        return (F.col(path) if path in STRUCTS else _field(path)[0]).isNull()
     if path in STRUCTS:
         fields = STRUCTS[path]
         if not isinstance(value, dict) or tuple(value) != fields:
@@ -225,12 +227,16 @@ def sort_columns(sort):
     return columns
 
 
-def find(entries, query=None, sort=None, limit=100):
-    """Filtered entries in the given order; a limit of zero or less means all."""
+def find(entries, query=None, sort=None, limit=None):
+    """Filtered entries in the given order, all of them or the first ``limit``.
+
+    A limit of zero or less means all; without a sort, the first by identifier.
+    """
     out = entries.filter(document_filter(query)) if query else entries
-    if sort:
-        out = out.orderBy(*sort_columns(sort), "entry_id")
-    return out.limit(limit) if limit > 0 else out
+    limited = limit is not None and limit > 0
+    if sort or limited:
+        out = out.orderBy(*sort_columns(sort or {}), "entry_id")
+    return out.limit(limit) if limited else out
 
 
 def get_entry(entries, entry_id):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from mendlake.schema import group_flag, scheme_groups
+from mendlake.schema import QUALITY, group_flag, scheme_groups
 
 
 def issue_map(cppcheck_json):
@@ -64,6 +64,13 @@ def label_totals(entries, issues=None):
     )
 
 
+def _flag(entries, name):
+    """A category flag; documents that carry the coarse flag themselves have it or one of the finer ones."""
+    flag = group_flag(name)
+    own = name == QUALITY and QUALITY in entries.schema["labels"].dataType["groups"].dataType.names
+    return flag | F.coalesce(F.col(f"labels.groups.{QUALITY}"), F.lit(False)) if own else flag
+
+
 def group_share(entries, scheme="coarse8"):
     """Entries per category and their percentage of the entries with labels.
 
@@ -71,7 +78,7 @@ def group_share(entries, scheme="coarse8"):
     """
     names = scheme_groups(scheme)
     counts = entries.filter("labels IS NOT NULL").agg(
-        F.count(F.lit(1)).alias("_total"), *[F.count_if(group_flag(g)).alias(g) for g in names]
+        F.count(F.lit(1)).alias("_total"), *[F.count_if(_flag(entries, g)).alias(g) for g in names]
     )
     rows = F.array(*[F.struct(F.lit(g).alias("group_name"), F.col(g).alias("n_entries")) for g in names])
     return counts.select("_total", F.inline(rows)).select(

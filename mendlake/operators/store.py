@@ -205,6 +205,8 @@ def _with_paths(entries, new_values):
     return entries.withColumns(changed)
 
 
+NOT_NULL = frozenset(UPDATABLE) - {"code_fixed"}
+
 # Parts of an entry that an update may replace as a whole: leaf and default of each field.
 REPLACEABLE = {
     "repo": {f: (f"repo.{f}", None) for f in REPO_TYPE.names},
@@ -242,7 +244,8 @@ def latest_settings(updates):
 
     ``updates`` has ``entry_id, seq, fields``; ``fields`` maps a dotted path to
     the new value as text (JSON for lists and for whole parts; null sets null).
-    Replacing a whole part sets all its fields. An unknown path is an error.
+    Replacing a whole part sets all its fields. An unknown path stays as it is
+    and is refused by ``update_entries``.
     """
     path, value = F.col("path"), F.col("value")
     leaves = F.when(path.isin(*UPDATABLE), F.array(F.struct(path.alias("leaf"), value.alias("text"))))
@@ -254,7 +257,7 @@ def latest_settings(updates):
             )
             for field, (leaf, default) in fields.items()
         ]))
-    leaves = leaves.otherwise(F.raise_error(F.concat(F.lit("cannot set "), path)))
+    leaves = leaves.otherwise(F.array(F.struct(path.alias("leaf"), value.alias("text"))))
     return (
         updates.select("entry_id", "seq", F.explode("fields").alias("path", "value"))
         .select("entry_id", "seq", F.inline(leaves))
@@ -268,11 +271,15 @@ def latest_settings(updates):
 def update_entries(store, updates):
     """New snapshot after setting fields by entry id; other entries stay as they are.
 
-    Adds ``matched`` and ``modified``: an update that changes nothing matches
-    its entry without modifying it.
+    Adds ``matched``, ``modified`` and ``refused``: an update that changes nothing
+    matches its entry without modifying it. Where a path is unknown, a value is
+    of the wrong form, a field that must be there would become null, or a new
+    content hash is taken, the entry stays as it is and ``refused`` lists the
+    paths. Of several entries that get one hash, none does.
     """
-    joined = store.join(latest_settings(updates), "entry_id", "left")
-    new_values, changed = {}, F.lit(False)
+    settings = latest_settings(updates)
+    joined = store.join(settings, "entry_id", "left").join(_taken_hashes(store, settings), "entry_id", "left")
+    new_values, changed, wrong = {}, F.lit(False), []
     for path, kind in UPDATABLE.items():
         text = F.element_at("_set", path)
         if kind == "timestamp":
@@ -283,11 +290,35 @@ def update_entries(store, updates):
             value = F.from_json(text, kind)
         else:
             value = text
-        new = F.when(F.coalesce(F.map_contains_key("_set", path), F.lit(False)), value).otherwise(F.col(path))
+        given = F.coalesce(F.map_contains_key("_set", path), F.lit(False))
+        new = F.when(given & (F.size("_refused") == 0), value).otherwise(F.col(path))
         new_values[path] = new
         changed = changed | ~new.eqNullSafe(F.col(path))
-    flagged = joined.withColumn("matched", F.col("_set").isNotNull()).withColumn("modified", changed)
-    return _with_paths(flagged, new_values).select(*store.columns, "matched", "modified")
+        bad = value.isNull() if path in NOT_NULL else text.isNotNull() & value.isNull()
+        if path == "code_hash":
+            bad = bad | ~F.regexp_like(value, F.lit(HASH_PATTERN)) | F.coalesce("_hash_taken", F.lit(False))
+        elif path == "labels.clang":
+            bad = bad | F.from_json(value, "map<string,string>").isNull()
+        elif path == "labels.cppcheck":
+            bad = bad | F.exists(value, lambda i: i.isNull())
+        wrong.append(F.when(given & F.coalesce(bad, F.lit(True)), F.lit(path)))
+    unknown = F.filter(F.map_keys("_set"), lambda k: ~k.isin(*UPDATABLE))
+    refused = F.array_sort(F.concat(F.filter(F.array(*wrong), lambda r: r.isNotNull()), unknown))
+    nothing = F.array().cast("array<string>")
+    flagged = joined.withColumn("_refused", F.coalesce(refused, nothing)).withColumn("matched", F.col("_set").isNotNull())
+    flagged = flagged.withColumn("modified", changed)
+    return _with_paths(flagged, new_values).select(
+        *store.columns, "matched", "modified", F.col("_refused").alias("refused"))
+
+
+def _taken_hashes(store, settings):
+    """``entry_id, _hash_taken`` of updates whose new hash another entry has or gets."""
+    wanted = settings.select("entry_id", F.element_at("_set", "code_hash").alias("code_hash")).filter("code_hash IS NOT NULL")
+    holders = store.select(F.col("entry_id").alias("_other"), "code_hash").join(
+        wanted.select("code_hash").distinct(), "code_hash", "left_semi").select("_other", "code_hash")
+    claims = holders.union(wanted.select("entry_id", "code_hash")).distinct().groupBy("code_hash").agg(
+        F.count(F.lit(1)).alias("_n"))
+    return wanted.join(claims, "code_hash").select("entry_id", (F.col("_n") > 1).alias("_hash_taken"))
 
 
 def delete_entries(store, ids):

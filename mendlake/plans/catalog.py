@@ -253,7 +253,7 @@ def import_outcomes(spark, sf_dir):
 def update_entries(spark, sf_dir):
     changed = store.update_entries(P.entries(spark, sf_dir), P.updates(spark, sf_dir))
     return changed.select(
-        "entry_id", "matched", "modified", X.sha256_hex("code_fixed").alias("fixed_hash"), "repo.commit_hash",
+        "entry_id", "matched", "modified", _joined("refused").alias("refused"), X.sha256_hex("code_fixed").alias("fixed_hash"), "repo.commit_hash",
         "labels.groups.concurrency", "labels.groups.memory_management", "labels.clang",
     )
 
@@ -539,13 +539,51 @@ def stream_ingest(spark, sf_dir):
         stream.read_candidates(spark, f"{root}/candidates", files_per_batch=2),
         f"{root}/store", f"{root}/checkpoint", P.taxonomy(spark, sf_dir), now=NOW,
     )
-    running.awaitTermination()
-    return io.read_store(spark, f"{root}/store").select(
+    stream.finish(running)
+    return _stored_by_stream(spark, f"{root}/store")
+
+
+def _stored_by_stream(spark, path):
+    return io.read_store(spark, path).select(
         "entry_id", "code_hash", _joined("labels.cppcheck").alias("cppcheck"),
         "labels.groups.memory_management", "labels.groups.invalid_access",
     )
 
 
+@registered
+def stream_ingest_two_runs(spark, sf_dir):
+    """One store filled by a batch and then by two streams with checkpoints of their own."""
+    root, taxonomy = shared_dir(spark, "stream-two-runs"), P.taxonomy(spark, sf_dir)
+    candidates = P.stream_candidates(spark, sf_dir)
+    part = F.pmod(F.col("sha").cast("long"), F.lit(3))
+    first = candidates.filter(part == 0)
+    fresh = ingest.new_entries(
+        first.drop("before_lines", "after_lines"), stream.diagnostic_rows(first), taxonomy,
+        io.open_store(spark, f"{root}/store"), NOW)
+    ingest.append_entries(fresh, f"{root}/store")
+    for n in (1, 2):
+        candidates.filter(part == n).repartition(2).write.parquet(f"{root}/candidates-{n}")
+        stream.finish(stream.ingest_stream(
+            stream.read_candidates(spark, f"{root}/candidates-{n}", files_per_batch=1),
+            f"{root}/store", f"{root}/checkpoint-{n}", taxonomy, now=NOW))
+    return _stored_by_stream(spark, f"{root}/store")
+
+
+@registered
+def stream_target(spark, sf_dir):
+    """Entries after a run with a target of 50, and after it went on without one."""
+    root, taxonomy = shared_dir(spark, "stream-target"), P.taxonomy(spark, sf_dir)
+    P.stream_candidates(spark, sf_dir).repartition(4).write.parquet(f"{root}/candidates")
+    counts = []
+    for name, target in (("at_target", 50), ("in_the_end", None)):
+        stream.finish(stream.ingest_stream(
+            stream.read_candidates(spark, f"{root}/candidates", files_per_batch=1),
+            f"{root}/store", f"{root}/checkpoint", taxonomy, target=target, now=NOW))
+        n = io.read_store(spark, f"{root}/store").count()
+        counts.append((name, n))
+    return spark.createDataFrame(counts, "moment string, n_entries long")
+
+
 @registered
 def ingest_rate(spark, sf_dir):
     rates = stream.ingest_rate(P.view(spark, sf_dir, "p_predictions"))

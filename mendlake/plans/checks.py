@@ -286,15 +286,19 @@ SELECT entry_id, path, value FROM (SELECT *, row_number() OVER (PARTITION BY ent
 wide AS (
 SELECT entry_id, bool_or(path = 'code_fixed') AS s1, max(value) FILTER (path = 'code_fixed') AS v1,
   bool_or(path = 'repo.commit_hash') AS s2, max(value) FILTER (path = 'repo.commit_hash') AS v2,
-  bool_or(path = 'labels.groups.concurrency') AS s3,
+  bool_or(path = 'labels.groups.concurrency') AS s3, max(value) FILTER (path = 'labels.groups.concurrency') AS v3,
   bool_or(path = 'labels.groups.memory_management') AS s4, max(value) FILTER (path = 'labels.groups.memory_management') AS v4
 FROM latest GROUP BY entry_id),
+judged AS (
+SELECT *, concat_ws(',', CASE WHEN s3 AND v3 = 'banana' THEN 'labels.groups.concurrency' END,
+  CASE WHEN s2 AND v2 IS NULL THEN 'repo.commit_hash' END) AS refused FROM wide),
 now AS (
 SELECT e.entry_id, w.entry_id IS NOT NULL AS matched, e.code_fixed, e.commit_hash, e.concurrency, e.memory_management,
-  CASE WHEN s1 THEN v1 ELSE code_fixed END AS n1, CASE WHEN s2 THEN v2 ELSE commit_hash END AS n2,
-  CASE WHEN s3 THEN true ELSE concurrency END AS n3, CASE WHEN s4 THEN v4 = 'true' ELSE memory_management END AS n4
-FROM p_entries e LEFT JOIN wide w ON w.entry_id = e.entry_id)
-SELECT entry_id, matched, n1 IS DISTINCT FROM code_fixed OR n2 IS DISTINCT FROM commit_hash OR n3 IS DISTINCT FROM concurrency
+  coalesce(refused, '') AS refused, coalesce(refused, '') = '' AS ok,
+  CASE WHEN ok AND s1 THEN v1 ELSE code_fixed END AS n1, CASE WHEN ok AND s2 THEN v2 ELSE commit_hash END AS n2,
+  CASE WHEN ok AND s3 THEN true ELSE concurrency END AS n3, CASE WHEN ok AND s4 THEN v4 = 'true' ELSE memory_management END AS n4
+FROM p_entries e LEFT JOIN judged w ON w.entry_id = e.entry_id)
+SELECT entry_id, matched, refused, n1 IS DISTINCT FROM code_fixed OR n2 IS DISTINCT FROM commit_hash OR n3 IS DISTINCT FROM concurrency
   OR n4 IS DISTINCT FROM memory_management AS modified, sha256(n1) AS fixed_hash, n2 AS commit_hash, n3 AS concurrency,
   n4 AS memory_management, '{}' AS clang FROM now
 """, "p_entries", "p_updates")
@@ -479,12 +483,20 @@ SELECT b AS baseline_correct, t AS tuned_correct, n AS baseline_total, n AS tune
 
 # --- streaming -----------------------------------------------------------------
 
-check("stream_ingest", """
+HITS = """
 AND_WITH hits AS (
 SELECT DISTINCT code_hash, CASE WHEN before_1 = 'memleak' AND after_1 <> 'memleak' THEN 'memleak' END AS i1,
   CASE WHEN before_2 = 'nullPointer' THEN 'nullPointer' END AS i2 FROM p_stream)
+"""
+STREAMED = HITS + """
 SELECT substring(code_hash, 1, 24) AS entry_id, code_hash, concat_ws(',', i1, i2) AS cppcheck, i1 IS NOT NULL AS memory_management,
   i2 IS NOT NULL AS invalid_access FROM hits WHERE i1 IS NOT NULL OR i2 IS NOT NULL
+"""
+for name in ("stream_ingest", "stream_ingest_two_runs"):
+    check(name, STREAMED, "p_stream")
+check("stream_target", HITS + """,
+total AS (SELECT count(*) AS n FROM hits WHERE i1 IS NOT NULL OR i2 IS NOT NULL)
+SELECT 'at_target' AS moment, least(50, n) AS n_entries FROM total UNION ALL SELECT 'in_the_end', n FROM total
 """, "p_stream")
 check("ingest_rate", """
 SELECT strftime(time_bucket(INTERVAL 5 SECOND, ingest_timestamp), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_entries,

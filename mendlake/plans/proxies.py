@@ -78,8 +78,8 @@ UNION SELECT DISTINCT repo_url, parent_sha AS sha, path FROM {p_repo_files} WHER
 
     "p_blobs": """
 SELECT k.repo_url, k.sha, k.path, d.text AS content
-FROM {p_blob_keys} k JOIN {documents} d
-ON d.doc_id = ((k.sha - k.sha % 3) * 7 + length(k.path) + ascii(substring(k.path, 6, 1))) % 250""",
+FROM (SELECT *, ((sha - sha % 3) * 7 + length(path) + ascii(substring(path, 6, 1))) % (SELECT count(*) + 7 FROM {documents}) AS doc
+  FROM {p_blob_keys}) k JOIN {documents} d ON d.doc_id = k.doc""",
 
     "p_entries": """
 SELECT d.doc_id, lpad(CAST(d.doc_id AS VARCHAR(30)), 24, '0') AS entry_id, d.text AS code_original,
@@ -121,7 +121,8 @@ SELECT lpad(CAST(user_id * 10 AS VARCHAR(30)), 24, '0') AS entry_id, event_id AS
     WHEN 'error' THEN 'labels.groups.concurrency' WHEN 'view' THEN 'labels.groups.memory_management'
     ELSE 'labels.clang' END AS path,
   CASE event_type WHEN 'signup' THEN CASE WHEN event_id % 2 = 0 THEN NULL ELSE 'int y;' END
-    WHEN 'purchase' THEN CAST(event_id % 5 AS VARCHAR(30)) WHEN 'error' THEN 'true'
+    WHEN 'purchase' THEN CASE WHEN event_id % 7 = 3 THEN NULL ELSE CAST(event_id % 5 AS VARCHAR(30)) END
+    WHEN 'error' THEN CASE WHEN event_id % 5 = 2 THEN 'banana' ELSE 'true' END
     WHEN 'view' THEN CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END ELSE '{{}}' END AS value
 FROM {events}""",
 
@@ -193,7 +194,7 @@ def ctes(*names):
     for name in ordered:
         sql = VIEWS[name].replace("SHA256HEX", "sha256").replace("\\\\", "\\")
         sql = sql.format(**{n: n for n in (*TABLES, *VIEWS)})
-        parts.append(f"{name} AS ({sql.strip()})")
+        parts.append(f"{name} AS {'MATERIALIZED ' if name == 'p_blobs' else ''}({sql.strip()})")
     return "WITH " + ",\n".join(parts) + "\n"
 
 

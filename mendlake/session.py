@@ -1,5 +1,7 @@
 """Session set-up and the shared folder for data that must outlive a task."""
 
+import atexit
+import functools
 import os
 import tempfile
 
@@ -33,4 +35,12 @@ def shared_dir(spark, name):
         return f"{root.rstrip('/')}/{name}-{os.urandom(8).hex()}"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    return tempfile.mkdtemp(prefix=f"{name}-", dir=_local_root())
+
+
+@functools.cache
+def _local_root():
+    """The folder of this process for local sessions; it goes when the process ends."""
+    folder = tempfile.TemporaryDirectory(prefix="mendlake-", ignore_cleanup_errors=True)
+    atexit.register(folder.cleanup)
+    return folder.name

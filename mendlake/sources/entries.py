@@ -1,10 +1,15 @@
 """Readers and writers of entries: JSON documents, JSON lines, flat CSV, Parquet."""
 
+import csv
+import os
+from functools import reduce
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mendlake.functions.text import py_lines, safe_name
 from mendlake.operators.store import one_per_hash
-from mendlake.schema import ENTRY_SCHEMA, GROUPS, group_flag, scheme_groups
+from mendlake.schema import ENTRY_SCHEMA, GROUPS, QUALITY, group_flag, scheme_groups
 
 # Code keeps its blanks, quotes and line breaks only with these options.
 CSV_WRITE = {
@@ -50,7 +55,13 @@ def wire_from_json(texts, column="value"):
         # The kind of a JSON null is VOID, of an absent field it is null.
         return F.when(part(path).isNotNull() & ~kind(path).isin(*kinds), F.lit(path))
 
+    def wrong_items(path):
+        # Of a list, the kinds of all items as one: other than texts (or nothing) is refused.
+        whole = F.schema_of_variant(part(path))
+        return F.when((kind(path) == "ARRAY") & ~whole.isin("ARRAY<STRING>", "ARRAY<VOID>"), F.lit(path))
+
     errors = F.array(
+        wrong_items("code_original"), wrong_items("code_fixed"), wrong_items("labels.cppcheck"),
         wrong("code_original", "STRING", "ARRAY"), wrong("code_fixed", "STRING", "ARRAY", "VOID"),
         wrong("code_hash", "STRING"), wrong("repo.url", "STRING"), wrong("repo.commit_hash", "STRING"),
         wrong("repo.commit_date", "STRING"), wrong("ingest_timestamp", "STRING"),
@@ -108,7 +119,7 @@ def report_documents(texts, column="value"):
         # Present and neither null, false, zero nor empty.
         return F.coalesce(~part(path).isin("null", "false", "0", "0.0", '""', "[]", "{}"), F.lit(False))
 
-    flags = [filled(f"$.labels.groups.{g}").alias(g) for g in GROUPS]
+    flags = [filled(f"$.labels.groups.{g}").alias(g) for g in (*GROUPS, QUALITY)]
     listed = F.coalesce(F.try_variant_get(doc, "$.labels.cppcheck", "array<string>"), F.array().cast("array<string>"))
     fields = F.struct(
         F.when(filled("$.labels"), F.coalesce(part("$.labels.cppcheck"), F.lit("[]"))).alias("cppcheck_json"),
@@ -178,20 +189,42 @@ def unflatten_rows(flat):
 def read_csv(spark, path, first_row_only=False):
     """Flat CSV files as rows to validate, all rows or the first of each file.
 
-    Columns are taken by their header names, in any order.
+    Columns are taken by their header names, in any order: files with the same
+    header are read together, each group with its own columns. The driver learns
+    the headers and which file has which. Files without a line give no rows.
     """
-    reader = spark.read.options(**CSV_READ).option("pathGlobFilter", "*.csv")
-    flat = reader.csv(path)
-    if first_row_only:
-        named = flat.columns
-        flat = flat.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
-        # A multi-line file is read by one task, in order; one row per file is kept.
-        flat = flat.groupBy("_file").agg(F.min_by(F.struct(*named), "_row").alias("_r")).select("_r.*")
-    return unflatten_rows(flat)
-
-
-def write_csv(entries, path, scheme="fine13", mode="errorifexists"):
-    flatten_entries(entries, scheme).write.options(**CSV_WRITE).mode(mode).csv(path)
+    parts = []
+    for columns, files in csv_headers(spark, path):
+        flat = spark.read.options(**CSV_READ, enforceSchema=True).schema(
+            T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(files)
+        if first_row_only:
+            flat = flat.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+            # A multi-line file is read by one task, in order; one row per file is kept.
+            flat = flat.groupBy("_file").agg(F.min_by(F.struct(*columns), "_row").alias("_r")).select("_r.*")
+        parts.append(unflatten_rows(flat))
+    if not parts:
+        return unflatten_rows(spark.createDataFrame([], ", ".join(f"{c} string" for c in FLAT_FIELDS)))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def csv_headers(spark, path):
+    """(column names, files) for each header among the CSV files; of repeated names the first counts."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"), "value")
+    first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    found = []
+    for r in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
+        names = next(csv.reader([r["header"].removeprefix("\ufeff")]))
+        names = [n if n not in names[:i] else f"_repeated_{i}" for i, n in enumerate(names)]
+        found.append((names, list(r["files"])))
+    return found
+
+
+def write_csv(entries, path, scheme="fine13", mode="errorifexists", rows_per_file=100_000):
+    """Flat CSV files of bounded size: a file with line breaks in its fields is read by one task."""
+    writer = flatten_entries(entries, scheme).write.options(**CSV_WRITE).option("maxRecordsPerFile", rows_per_file)
+    writer.mode(mode).csv(path)
 
 
 # --- JSON out ----------------------------------------------------------------
@@ -253,9 +286,34 @@ def write_readable_json(entries, path, mode="errorifexists"):
 
 # --- Parquet store -----------------------------------------------------------
 
+# Every write is a part of its own: folders run=<who wrote>/batch_id=<number>.
+STORE_SCHEMA = T.StructType(ENTRY_SCHEMA.fields + [
+    T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())
+])
+
+
+def new_run(kind):
+    """A name that no other run has."""
+    return f"{kind}-{os.urandom(16).hex()}"
+
+
+def open_store(spark, path):
+    """The entries of a store with the part they are in; the store is made when missing."""
+    empty = spark.createDataFrame([], STORE_SCHEMA)
+    empty.write.mode("ignore").partitionBy("run", "batch_id").parquet(path)
+    return spark.read.schema(STORE_SCHEMA).parquet(path)
+
+
 def read_store(spark, path):
-    return spark.read.schema(ENTRY_SCHEMA).parquet(path)
+    return spark.read.schema(STORE_SCHEMA).parquet(path).select(*ENTRY_SCHEMA.fieldNames())
 
 
 def write_store(entries, path, mode="errorifexists"):
-    entries.select(*ENTRY_SCHEMA.fieldNames()).write.mode(mode).parquet(path)
+    """Writes entries as a part of their own; ``overwrite`` replaces the whole store."""
+    part = entries.select(*ENTRY_SCHEMA.fieldNames(), F.lit(new_run("batch")).alias("run"), F.lit(0).alias("batch_id"))
+    part.write.mode(mode).partitionBy("run", "batch_id").parquet(path)
+
+
+def compact_store(spark, path, new_path):
+    """The same entries as one part at a new place, for stores of very many small parts."""
+    write_store(read_store(spark, path), new_path)

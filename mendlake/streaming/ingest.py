@@ -7,6 +7,7 @@ against the content hashes of the store.
 """
 
 from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +15,7 @@ from mendlake.operators import store
 from mendlake.operators.label import label_pairs
 from mendlake.plans.ingest import build_entries, first_per_pair, label_candidates
 from mendlake.schema import ENTRY_SCHEMA
+from mendlake.sources import entries as io
 
 CANDIDATE_SCHEMA = T.StructType([
     T.StructField("code_original", T.StringType()),
@@ -28,9 +30,6 @@ CANDIDATE_SCHEMA = T.StructType([
     T.StructField("after_lines", T.ArrayType(T.StringType())),
 ])
 
-STORE_SCHEMA = T.StructType(ENTRY_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
-
-
 def read_candidates(spark, path, files_per_batch=100, schema=CANDIDATE_SCHEMA):
     """Stream of candidate files; at most ``files_per_batch`` wait in one batch."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
@@ -49,46 +48,82 @@ def diagnostic_rows(candidates):
     )
 
 
-def open_store(spark, path):
-    """The store of a stream, made when missing: one folder per micro-batch."""
-    spark.createDataFrame([], ENTRY_SCHEMA).write.mode("ignore").parquet(f"{path}/batch_id=-1")
-    return spark.read.schema(STORE_SCHEMA).parquet(path)
+class TargetReached(Exception):
+    """Ends a stream whose run has stored what it was asked for."""
+
+
+REACHED = "the target of this run is reached"
+
+
+def run_name(spark, checkpoint):
+    """The name of a stream's run, kept beside its progress: a new checkpoint is a new run."""
+    path = f"{checkpoint.rstrip('/')}/store_run"
+    spark.createDataFrame([(io.new_run("stream"),)], "run string").coalesce(1).write.mode("ignore").parquet(path)
+    return spark.read.schema("run string").parquet(path).first()["run"]
 
 
-def insert_batch(batch, batch_id, path, taxonomy, target=None, now=None, strict=True):
-    """Labels one micro-batch and writes its new entries to the batch's own folder.
+def insert_batch(batch, batch_id, path, taxonomy, target=None, now=None, strict=True, run="stream"):
+    """Labels one micro-batch and writes its new entries to the part of the run and batch.
 
     A batch that is run again after a failure does not see its own first
-    attempt and replaces it, so every entry is stored once.
+    attempt and replaces it, so every entry is stored once. ``target`` counts
+    the entries of this run. The batch that reaches it stores no more than that
+    and fails on purpose: its progress is not recorded, so what it left out
+    comes again when the stream starts with a larger target.
     """
     spark = batch.sparkSession
-    stored = open_store(spark, path).filter(F.col("batch_id") < batch_id)
+    own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+    opened = io.open_store(spark, path)
+    room = None
+    if target is not None:
+        room = target - opened.filter((F.col("run") == run) & (F.col("batch_id") < batch_id)).count()
+        if room <= 0:
+            raise TargetReached(REACHED)
+    # Few of the store's hashes are in the batch; only these meet its entries.
+    stored = opened.filter(~own).select("code_hash").join(batch.select("code_hash").distinct(), "code_hash", "left_semi")
     # Read by the labelling and by the entries; a lost copy is computed again.
     once = first_per_pair(batch).persist(StorageLevel.MEMORY_AND_DISK)
-    labels = label_pairs(diagnostic_rows(once), taxonomy, strict=strict)
-    columns = [c for c in batch.columns if c not in ("before_lines", "after_lines")]
-    entries = build_entries(label_candidates(once.select(*columns), labels), now)
-    fresh = store.insert_if_new(entries, stored)
-    if target is not None:
-        room = target - stored.count()
-        fresh = store.first_entries(fresh, max(room, 0))
-    fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    once.unpersist()
+    part = f"{path}/run={run}/batch_id={batch_id}"
+    try:
+        labels = label_pairs(diagnostic_rows(once), taxonomy, strict=strict)
+        columns = [c for c in batch.columns if c not in ("before_lines", "after_lines")]
+        entries = build_entries(label_candidates(once.select(*columns), labels), now)
+        fresh = store.insert_if_new(entries, stored)
+        if room is not None:
+            fresh = store.first_entries(fresh, room)
+        fresh.write.mode("overwrite").parquet(part)
+    finally:
+        once.unpersist()
+    if room is not None and spark.read.schema(ENTRY_SCHEMA).parquet(part).count() >= room:
+        raise TargetReached(REACHED)
 
 
 def ingest_stream(candidates, path, checkpoint, taxonomy, target=None, now=None, strict=True, trigger=None):
-    """Starts the stream; by default it takes all that waits and then stops."""
-    def run(batch, batch_id):
-        insert_batch(batch, batch_id, path, taxonomy, target, now, strict)
+    """Starts the stream; by default it takes all that waits and then stops. See ``finish``."""
+    run = run_name(candidates.sparkSession, checkpoint)
+
+    def each(batch, batch_id):
+        insert_batch(batch, batch_id, path, taxonomy, target, now, strict, run)
 
     return (
-        candidates.writeStream.foreachBatch(run)
+        candidates.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
+def finish(running):
+    """Waits for a stream; true when it ended because its target was reached."""
+    try:
+        running.awaitTermination()
+    except StreamingQueryException as error:
+        if REACHED not in str(error):
+            raise
+        return True
+    return False
+
+
 def ingest_rate(entries, seconds=5, watermark=None):
     """New entries per second in tumbling windows, of a table or of a stream.
 

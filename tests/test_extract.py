@@ -158,3 +158,13 @@ def test_first_file_is_limited_before_the_shuffle(spark):
     assert re.search(r"WindowGroupLimit.*Final[\s\S]*Exchange[\s\S]*WindowGroupLimit.*Partial", plan)
     assert out.count() == 2001
     assert out.filter("sha = 'hot'").first()["ordinal"] == 0
+
+
+def test_patterns_as_python_writes_them_and_broken_ones(spark):
+    rules = spark.createDataFrame([
+        ("a", ["(?P<w>fix)(?P=w)"]), ("b", ["(unclosed", "fix"]), ("c", ["fix"]), ("d", []), ("e", None),
+    ], "url string, fix_regexes array<string>")
+    tried = extract.with_patterns(rules).withColumn("m", F.lit("fixfix"))
+    found = tried.filter(extract.message_matches(F.col("m"), F.col("alternation"), F.col("alone")))
+    assert sorted(r["url"] for r in found.collect()) == ["a", "c", "d", "e"]
+    assert [tuple(r) for r in extract.broken_rules(rules).collect()] == [("b", "(unclosed")]

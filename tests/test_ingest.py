@@ -103,8 +103,7 @@ def test_append_counts_what_it_writes(spark, candidates, taxonomy, tmp_path):
 def run_stream(spark, taxonomy, source, path, checkpoint, **options):
     running = stream.ingest_stream(
         stream.read_candidates(spark, source, files_per_batch=2), path, checkpoint, taxonomy, now=NOW, **options)
-    running.awaitTermination()
-    return running
+    return stream.finish(running)
 
 
 def test_stream_equals_batch(spark, candidates, taxonomy, tmp_path):
@@ -114,7 +113,7 @@ def test_stream_equals_batch(spark, candidates, taxonomy, tmp_path):
     stored = io.read_store(spark, path)
     # Which of several copies comes first depends on the batches, the hashes do not.
     assert sorted(r["code_hash"] for r in stored.collect()) == [w[0] for w in WANT]
-    batches = [r[0] for r in spark.read.parquet(path).select("batch_id").distinct().collect()]
+    batches = [r[0] for r in io.open_store(spark, path).select("batch_id").distinct().collect()]
     assert len(batches) >= 2
     # More files arrive later: only what is new goes in.
     candidates.filter("base_name IN ('f9', 'f1')").write.mode("append").parquet(source)
@@ -135,8 +134,36 @@ def test_batch_that_runs_again_stores_once(spark, candidates, taxonomy, tmp_path
 def test_stream_stops_at_the_target(spark, candidates, taxonomy, tmp_path):
     source, path, checkpoint = (str(tmp_path / n) for n in ("in", "store", "cp"))
     candidates.repartition(6).write.parquet(source)
-    run_stream(spark, taxonomy, source, path, checkpoint, target=5)
+    assert run_stream(spark, taxonomy, source, path, checkpoint, target=5)
     assert io.read_store(spark, path).count() == 5
+    # What it left out comes again with a larger target, also after another end.
+    assert run_stream(spark, taxonomy, source, path, checkpoint, target=5)
+    assert not run_stream(spark, taxonomy, source, path, checkpoint, target=100)
+    assert sorted(r["code_hash"] for r in io.read_store(spark, path).collect()) == sorted({w[0] for w in WANT} | {sha("g")})
+
+
+def test_target_counts_the_own_run(spark, candidates, taxonomy, tmp_path):
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "store", "cp"))
+    first = batch(spark, candidates, taxonomy).limit(4)
+    assert ingest.append_entries(first, path) == 4
+    candidates.repartition(6).write.parquet(source)
+    assert run_stream(spark, taxonomy, source, path, checkpoint, target=3)
+    assert io.read_store(spark, path).count() == 7
+
+
+def test_runs_and_appends_share_a_store(spark, candidates, taxonomy, tmp_path):
+    one, two, path = (str(tmp_path / n) for n in ("one", "two", "store"))
+    candidates.filter("base_name < 'f3'").write.parquet(one)
+    candidates.filter("base_name >= 'f3'").write.parquet(two)
+    known = batch(spark, candidates, taxonomy).limit(2)
+    assert ingest.append_entries(known, path) == 2
+    run_stream(spark, taxonomy, one, path, str(tmp_path / "cp1"))
+    run_stream(spark, taxonomy, two, path, str(tmp_path / "cp2"))
+    stored = [r["code_hash"] for r in io.read_store(spark, path).collect()]
+    assert sorted(stored) == sorted({w[0] for w in WANT} | {sha("g")})
+    assert ingest.append_entries(batch(spark, candidates, taxonomy), path) == 0
+    io.compact_store(spark, path, str(tmp_path / "compact"))
+    assert rows(io.read_store(spark, str(tmp_path / "compact"))) == rows(io.read_store(spark, path))
 
 
 def test_rate(spark):
@@ -162,6 +189,6 @@ def test_rate_of_a_stream(spark, tmp_path):
 
 
 def test_empty_store_schema(spark, tmp_path):
-    opened = stream.open_store(spark, str(tmp_path / "s"))
-    assert opened.count() == 0 and opened.columns == ENTRY_SCHEMA.names + ["batch_id"]
+    opened = io.open_store(spark, str(tmp_path / "s"))
+    assert opened.count() == 0 and opened.columns == ENTRY_SCHEMA.names + ["run", "batch_id"]
     assert entries(spark).count() == 0

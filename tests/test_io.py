@@ -218,3 +218,47 @@ def test_taxonomy(spark, tmp_path):
     want = {i: (c, g) for i, c, g in TAXONOMY}
     want.update({"memleak": ("later", False), "zerodiv": ("logic_error", True)})
     assert got == want
+
+
+def test_csv_columns_by_each_files_header(spark, df, tmp_path):
+    flat = io.flatten_entries(df)
+    turned = flat.select(*reversed(flat.columns))
+    fewer = flat.drop("labels_code_style", "code_fixed")
+    for n, part in enumerate((flat, turned, fewer)):
+        part.coalesce(1).write.options(**io.CSV_WRITE).csv(str(tmp_path / "csv" / str(n)))
+    (tmp_path / "csv" / "3").mkdir()
+    (tmp_path / "csv" / "3" / "empty.csv").write_text("")
+    got = back(io.read_csv(spark, str(tmp_path / "csv" / "*")))
+    missing = df.withColumn("code_fixed", F.lit(None).cast("string")).withColumn("labels", F.col("labels").withField(
+        "groups", F.col("labels.groups").withField("code_style", F.lit(False))))
+    assert rows(got) == sorted(rows(df) * 2 + rows(missing))
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "empty.csv").write_text("")
+    assert io.read_csv(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_items_of_lists_are_texts(spark):
+    good = {"code_original": ["a", "b"], "code_hash": sha("a"), "repo": {"url": "u", "commit_hash": "c", "commit_date": "2024-01-01"},
+            "ingest_timestamp": "2024-01-01", "labels": {"cppcheck": [], "groups": {}}}
+    docs = [good, {**good, "labels": {"cppcheck": [1, 2], "groups": {}}}, {**good, "code_original": ["a", 1]}]
+    texts = spark.createDataFrame([(json.dumps(d),) for d in docs], "value string")
+    got = [list(r["reasons"]) for r in store.validate(io.wire_from_json(texts)).collect()]
+    assert got == [[], ["labels.cppcheck"], ["code_original"]]
+
+
+def test_report_counts_the_own_coarse_flag(spark):
+    from mendlake.operators import report
+
+    docs = [{"labels": {"groups": {"code_quality_performance": True}}}, {"labels": {"groups": {"code_style": 1}}},
+            {"labels": {"groups": {"concurrency": True}}}]
+    texts = spark.createDataFrame([(json.dumps(d),) for d in docs], "value string")
+    shares = {r["group_name"]: r["n_entries"] for r in report.group_share(io.report_documents(texts)).collect()}
+    assert shares["code_quality_performance"] == 2 and shares["concurrency"] == 1
+
+
+def test_readable_documents_are_written(spark, df, tmp_path):
+    twice = df.union(df.withColumn("repo", F.col("repo").withField("commit_hash", F.lit("zzz"))))
+    io.write_readable_json(twice, str(tmp_path / "out"))
+    got = spark.read.json(str(tmp_path / "out"))
+    assert got.count() == df.count() and {r["repo"]["commit_hash"] for r in got.collect()} == {"zzz"}
+    assert "array" in dict(got.dtypes)["code_original"]

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from data import T0, entries, entry, ids, sha
+from pyspark.sql import functions as F
 
 from mendlake.operators import query as Q
 from mendlake.schema import GROUPS
@@ -104,7 +105,16 @@ def test_sort_and_limit(df):
     assert page(sort={"code_fixed": 1}, limit=0) == [2, 3, 1, 4]
     assert page(sort={"code_fixed": -1, "repo.commit_hash": -1}, limit=-1) == [4, 1, 3, 2]
     assert page(sort={"labels.cppcheck": -1}, limit=3) == [4, 1, 2]
-    assert len(page()) == 4
+    assert len(page()) == 4 and page(limit=3) == [1, 2, 3]
+
+
+def test_null_in_filters(spark):
+    whole = entries(spark, entry(1, cppcheck=["a"]), entry(2))
+    some = whole.withColumn("labels", F.when(F.col("code_hash") == sha("int x1;"), F.col("labels")))
+    for path in ("labels", "labels.cppcheck", "labels.clang", "labels.groups"):
+        none, other = ({path: None}, {path: {"$ne": None}})
+        assert some.filter(Q.document_filter(none)).count() + some.filter(Q.document_filter(other)).count() == 2
+        assert some.filter(Q.document_filter(none)).count() == some.filter("labels IS NULL").count()
 
 
 def test_point_lookup(df):

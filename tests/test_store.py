@@ -142,11 +142,23 @@ def test_update_of_whole_parts_and_from_python(spark):
     assert got["ingest_timestamp"] == T0 + dt.timedelta(hours=1)
 
 
-def test_update_of_an_unknown_path_is_an_error(spark):
-    import pytest
-
-    with pytest.raises(Exception, match="cannot set nothing.here"):
-        store.update_entries(entries(spark, entry(1)), store.as_update(spark, f"{1:024x}", {"nothing.here": 1})).collect()
+def test_bad_updates_are_refused(spark):
+    df = entries(spark, *(entry(n, f"int x{n};") for n in range(1, 12)))
+    bad = {
+        1: {"nothing.here": "1", "code_fixed": "never"}, 2: {"labels.groups.concurrency": "banana"},
+        3: {"repo.commit_date": "yesterday"}, 4: {"labels.cppcheck": "[1"}, 5: {"code_hash": "zz"},
+        6: {"code_original": None}, 7: {"code_hash": sha("int x8;")}, 9: {"code_hash": sha("new")},
+        10: {"code_hash": sha("new")}, 11: {"code_hash": sha("own")},
+    }
+    updates = spark.createDataFrame(
+        [(f"{n:024x}", 1, f) for n, f in bad.items()], "entry_id string, seq int, fields map<string,string>")
+    before = {r["entry_id"]: r for r in df.collect()}
+    for r in store.update_entries(df, updates).collect():
+        n = int(r["entry_id"], 16)
+        assert r["matched"] == (n in bad) and r["modified"] == (n == 11)
+        assert list(r["refused"]) == ([] if n in (8, 11) else [next(iter(bad[n]))])
+        if n != 11:
+            assert all(r[c] == before[r["entry_id"]][c] for c in df.columns)
 
 
 def test_edit_from_python(spark):
