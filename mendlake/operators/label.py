@@ -51,10 +51,10 @@ def filter_issues(issues, taxonomy):
 def fixed_issues(diagnostics, taxonomy, key="pair_id", strict=True, fixed=None):
     """Issues found before and no longer after, as ``issues`` of (issue_id, category).
 
-    A pair with a failed side has no trustworthy difference and is left out;
-    ``strict=False`` takes a failed side for one without findings. ``fixed``
-    names pairs (column ``key``) that have fixed code: for others all issues
-    found before count, whatever rows the other side has.
+    A pair with a side that failed or was never analysed has no trustworthy
+    difference and is left out; ``strict=False`` takes such an ``after`` side for
+    one without findings. ``fixed`` names pairs (column ``key``) that have fixed
+    code: for others all issues found before count, whatever rows the other side has.
 
     The first grouping, by pair and issue, leaves few rows for the second, so a
     pair with very many diagnostic lines is reduced before it meets in one task.
@@ -79,6 +79,7 @@ def fixed_issues(diagnostics, taxonomy, key="pair_id", strict=True, fixed=None):
     counts = F.col("issue_id").isNotNull() & F.col("_before") & ~F.coalesce("ignored", F.lit(False))
     per_pair = known.groupBy(key).agg(
         F.bool_or("_before").alias("_analysed"),
+        F.bool_or("_after").alias("_after_analysed"),
         F.bool_or("_before_failed").alias("_before_failed"),
         F.bool_or("_after_failed").alias("_after_failed"),
         F.collect_list(F.when(counts, F.struct("issue_id", "category", "_after"))).alias("_found"),
@@ -89,7 +90,7 @@ def fixed_issues(diagnostics, taxonomy, key="pair_id", strict=True, fixed=None):
     else:
         ignore_after = F.lit(False)
     if strict:
-        per_pair = per_pair.filter(~F.col("_before_failed") & (~F.col("_after_failed") | ignore_after))
+        per_pair = per_pair.filter(~F.col("_before_failed") & (F.col("_after_analysed") & ~F.col("_after_failed") | ignore_after))
     else:
         ignore_after = ignore_after | F.col("_after_failed")
     gone = F.filter("_found", lambda x: ignore_after | ~x["_after"])

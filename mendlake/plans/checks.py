@@ -146,7 +146,7 @@ FROM c WHERE (w > 0 OR e > 0) AND ((o > 0 AND z > 0) OR w > 0)
 FIXED = ISSUES + """,
 sides AS (
 SELECT pair_id, bool_or(side = 'before') AS analysed, bool_or(side = 'before' AND status <> 'ok') AS before_failed,
-  bool_or(side = 'after' AND status <> 'ok') AS after_failed FROM p_diagnostics GROUP BY pair_id),
+  bool_or(side = 'after' AND status <> 'ok') AS after_failed, bool_or(side = 'after') AS after_analysed FROM p_diagnostics GROUP BY pair_id),
 tax AS (SELECT issue_id, nullif(category, '(ignored)') AS category, category = '(ignored)' AS ignored
   FROM p_taxonomy WHERE category NOT IN ('(dropped)', '(unmapped)')),
 gone AS (
@@ -156,7 +156,7 @@ WHERE b.side = 'before' AND b.issue_id IS NOT NULL AND NOT coalesce(t.ignored, f
 AND (s.after_failed OR NOT EXISTS (SELECT 1 FROM issues a WHERE a.pair_id = b.pair_id AND a.side = 'after' AND a.issue_id = b.issue_id))),
 kept AS (SELECT * FROM sides WHERE analysed {strict})
 """
-STRICT = FIXED.format(strict="AND NOT before_failed AND NOT after_failed")
+STRICT = FIXED.format(strict="AND NOT before_failed AND NOT after_failed AND after_analysed")
 LENIENT = FIXED.format(strict="")
 for name, base in (("fixed_issues", STRICT), ("fixed_issues_lenient", LENIENT)):
     check(name, base + """

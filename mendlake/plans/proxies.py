@@ -28,7 +28,8 @@ SELECT l_orderkey AS pair_id, CASE WHEN l_linestatus = 'O' THEN 'before' ELSE 'a
   CASE WHEN (l_suppkey * 31 + l_partkey) % 211 = 0 THEN 'timeout' ELSE 'ok' END AS status,
   CASE WHEN l_suppkey % 11 = 0 THEN '    int x = a[idx];' WHEN l_suppkey % 11 = 1 THEN 'no bracket here'
     ELSE '/tmp/t.cpp:' || l_linenumber || ':1: warning: text [' || t.issue_id || ']' END AS line
-FROM {lineitem} l JOIN {p_taxonomy} t ON l_partkey % 17 = t.k""",
+FROM {lineitem} l JOIN {p_taxonomy} t ON l_partkey % 17 = t.k
+UNION ALL SELECT DISTINCT l_orderkey, 'after', CAST(NULL AS INTEGER), 'ok', CAST(NULL AS VARCHAR(30)) FROM {lineitem} WHERE l_orderkey % 3 = 0""",
 
     "p_clang": """
 SELECT l_orderkey AS pair_id, l_linenumber AS line_no, l_partkey, l_suppkey,

@@ -76,6 +76,14 @@ def test_fixed_issues_strict(spark):
     assert got["a"]["clang"] == "{}"
 
 
+def test_a_side_never_analysed_is_not_clean(spark):
+    rows = [("a", "before", "ok", found("memleak")), ("b", "before", "ok", found("memleak")), ("b", "after", "ok", None)]
+    assert set(run(spark, rows)) == {"b"}
+    assert {k: list(v["cppcheck"]) for k, v in run(spark, rows, strict=False).items()} == {"a": ["memleak"], "b": ["memleak"]}
+    fixed = spark.createDataFrame([("b",)], "pair_id string")
+    assert set(run(spark, rows, fixed=fixed)) == {"a", "b"}
+
+
 def test_fixed_issues_lenient(spark):
     got = run(spark, ROWS, strict=False)
     assert {k: list(v["cppcheck"]) for k, v in got.items()} == {
@@ -90,7 +98,7 @@ def test_without_fixed_code_all_issues_count(spark):
 
 
 def test_schemes(spark):
-    rows = [("a", "before", "ok", found("cstyleCast")), ("a", "before", "ok", found("nullPointer"))]
+    rows = [("a", "before", "ok", found("cstyleCast")), ("a", "before", "ok", found("nullPointer")), ("a", "after", "ok", None)]
     on = {
         scheme: {g for g, v in run(spark, rows, scheme=scheme)["a"]["groups"].asDict().items() if v}
         for scheme in ("fine13", "coarse8", "reference8")
@@ -127,5 +135,5 @@ def test_one_pair_with_most_lines(spark):
         F.concat(F.lit("x ["), F.element_at(F.array(F.lit("memleak"), F.lit("zerodiv")), (F.col("id") % 2 + 1).cast("int")), F.lit("]")).alias("line"),
     )
     taxonomy = spark.createDataFrame(TAXONOMY, TAXONOMY_SCHEMA)
-    got = label.label_pairs(hot, taxonomy).collect()
+    got = label.label_pairs(hot.union(diagnostics(spark, ("hot", "after", "ok", None))), taxonomy).collect()
     assert [list(r["labels"]["cppcheck"]) for r in got] == [["memleak", "zerodiv"]]
