@@ -17,12 +17,12 @@ import regex
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mendlake.llm.common import table
+from mendlake.llm.common import parts_of, table, texts_in
 
 # Fixed value: the pattern that splits text for byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words of a block's table before a new one is begun; bounds a task's memory.
-TABLE_WORDS = 500_000
+TABLE_WORDS = 200_000
 
 
 def unassigned():
@@ -86,6 +86,37 @@ class WordTable:
         return [b"".join(map(self.ids.__getitem__, words)) for words in split]
 
 
+class PieceTable:
+    """The bytes of each id."""
+
+    def __init__(self, definition):
+        self.pieces = piece_table(json.loads(definition))
+
+    def decode(self, ids):
+        """Texts of packed ids; bytes that are no UTF-8 become U+FFFD."""
+        return [
+            b"".join(map(self.pieces.__getitem__, np.frombuffer(x or b"", "<u4").tolist())).decode("utf-8", "replace")
+            for x in ids
+        ]
+
+
+def _mapped(df, keys, columns, make, definition):
+    """``keys`` and the columns that ``make(definition)`` derives from each part of a batch."""
+    shared = df.sparkSession.sparkContext.broadcast(definition)  # one vocabulary file
+    schema = T.StructType([*df.select(*keys).schema.fields, *columns])
+
+    def run(batches):
+        work, source = make(shared.value)
+        for batch in batches:
+            for part in parts_of(batch, column=source):
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), *work(part)], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+_IDS, _TEXT = T.StructField("ids", T.BinaryType()), T.StructField("text", T.StringType())
+
+
 def encode(docs, definition, keys=("doc_id",)):
     """``docs(text, *keys)`` as the keys and ``ids``, binary: little-endian unsigned 32-bit integers.
 
@@ -93,44 +124,33 @@ def encode(docs, definition, keys=("doc_id",)):
     added tokens are those tokens. A null text is empty and has no ids; repeated
     rows give repeated results, an empty table an empty one.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(definition)  # one vocabulary file
-    schema = T.StructType([*docs.select(*keys).schema.fields, T.StructField("ids", T.BinaryType())])
-
-    def run(batches):
-        words = WordTable(shared.value)
-        for batch in batches:
-            # A few megabytes of text at a time, whatever the size of the batch.
-            texts, start = batch.column("text"), 0
-            sizes = np.cumsum(texts.fill_null("").cast(pa.large_binary()).to_pandas().map(len).to_numpy())
-            while start < batch.num_rows:
-                done = sizes[start - 1] if start else 0
-                end = max(start + 1, int(np.searchsorted(sizes, done + 4_000_000)))
-                part = batch.slice(start, end - start)
-                ids = words.encode([t or "" for t in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k) for k in keys), pa.array(ids, pa.binary())], names=schema.names)
-                start = end
+    def make(definition):
+        words = WordTable(definition)
+        return lambda part: [pa.array(words.encode(texts_in(part)), pa.binary())], "text"
 
-    return docs.select(*keys, "text").mapInArrow(run, schema)
+    return _mapped(docs.select(*keys, "text"), keys, [_IDS], make, definition)
 
 
 def decode(encoded, definition, keys=("doc_id",)):
     """The keys and ``text`` of what ``encode`` returned; bytes that are no UTF-8 become U+FFFD."""
-    shared = encoded.sparkSession.sparkContext.broadcast(definition)
-    schema = T.StructType([*encoded.select(*keys).schema.fields, T.StructField("text", T.StringType())])
+    def make(definition):
+        pieces = PieceTable(definition)
+        return lambda part: [pa.array(pieces.decode(part.column("ids").to_pylist()), pa.string())], "ids"
 
-    def run(batches):
-        pieces = piece_table(json.loads(shared.value))
-        for batch in batches:
-            texts = [
-                b"".join(map(pieces.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())).decode("utf-8", "replace")
-                for ids in batch.column("ids").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keys), pa.array(texts, pa.string())], names=schema.names)
+    return _mapped(encoded.select(*keys, "ids"), keys, [_TEXT], make, definition)
+
+
+def round_trip(docs, definition, keys=("doc_id",)):
+    """The keys, ``ids`` as ``encode`` gives them and ``text`` as ``decode`` gives it from these ids, in one pass."""
+    def make(definition):
+        words, pieces = WordTable(definition), PieceTable(definition)
+
+        def work(part):
+            ids = words.encode(texts_in(part))
+            return [pa.array(ids, pa.binary()), pa.array(pieces.decode(ids), pa.string())]
+        return work, "text"
 
-    return encoded.select(*keys, "ids").mapInArrow(run, schema)
+    return _mapped(docs.select(*keys, "text"), keys, [_IDS, _TEXT], make, definition)
 
 
 def read_definition(path=None):
@@ -146,9 +166,6 @@ def read_definition(path=None):
 def op10_bpe_round_trip(spark, sf_dir, path=None):
     """Ids of every document and the text that they decode to, as digests."""
     definition = read_definition(path)
-    encoded = encode(table(spark, sf_dir, "documents"), definition)
-    digests = encoded.select(
-        F.struct("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                 F.sha2("ids", 256).alias("ids_sha256")).alias("row"), "ids")
-    return decode(digests, definition, keys=("row",)).select(
-        "row.doc_id", "row.n_tokens", "row.ids_sha256", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+    return round_trip(table(spark, sf_dir, "documents"), definition).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))

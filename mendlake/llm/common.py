@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,3 +87,18 @@ def running_totals(df, order, sizes, name):
         (F.col("_row") + F.col("_rows_before")).alias("_rank"),
         *((F.col(f"_sum_{s}") + F.col(f"_sums_{s}")).alias(f"_before_{s}") for s in sizes),
     ), total
+
+
+def parts_of(batch, size=1_000_000, column="text"):
+    """Slices of an Arrow batch with about so many bytes of text each, a longer text by itself."""
+    ends, start = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)), 0
+    while start < batch.num_rows:
+        done = int(ends[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def texts_in(batch, column="text"):
+    """The texts as a list, empty for null."""
+    return [t or "" for t in batch.column(column).to_pylist()]

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mendlake.llm.common import settle, table
+from mendlake.llm.common import parts_of, settle, table, texts_in
 
 #: Words of the vocabulary; 0 is the edge of a text, 1 to 16 are other words by length.
 UNKNOWN, CLASSES, CLASS_SIZE = 16, 64, 64
@@ -181,19 +181,6 @@ def word_counts(docs):
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _pieces(batch):
-    """Texts of a batch, a few megabytes at a time: (first row, texts)."""
-    start, texts, size = 0, [], 0
-    for i, t in enumerate(batch.column("text")):
-        texts.append(t.as_py() or "")
-        size += len(texts[-1])
-        if size > 2_000_000:
-            yield start, texts
-            start, texts, size = i + 1, [], 0
-    if texts:
-        yield start, texts
-
-
 def _averaged(group):
     n = sum(group.column("n").to_pylist())
     weights = sum(np.frombuffer(w, "<f4").astype(float) * k for w, k in
@@ -232,8 +219,8 @@ def train(docs):
             words, start = shared.value
             coder, trainer = Coder(words), Trainer(start)
             for batch in batches:
-                for _, texts in _pieces(batch):
-                    ids, at, _ = coder.encode(texts)
+                for part in parts_of(batch):
+                    ids, at, _ = coder.encode(texts_in(part))
                     # Positions of a text by its place and words, so each round masks others.
                     mask = (at * 2654435761 + ids[at] * 40503 + turn * (2**32 // ROUNDS // MASKED)) % 2**32 < 2**32 // MASKED
                     trainer.train(ids, at[mask])
@@ -266,11 +253,10 @@ def score(docs, words, net, keys=("doc_id",)):
         words, net = shared.value
         coder = Coder(words)
         for batch in batches:
-            for start, texts in _pieces(batch):
-                ids, at, lengths = coder.encode(texts)
+            for part in parts_of(batch):
+                ids, at, lengths = coder.encode(texts_in(part))
                 total = np.concatenate([[0.0], np.cumsum(log_probabilities(net, ids, at))])
                 ends = np.cumsum(lengths)
-                part = batch.slice(start, len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in keys), pa.array(lengths), pa.array(total[ends] - total[ends - lengths])],
                     names=schema.names)
