@@ -63,11 +63,10 @@ def mixing_stage(spark, docs, sf_dir):
 def token_stage(spark, docs, sf_dir):
     """Token ids of every row; what they decode to is the text again."""
     definition = bpe.read_definition()
-    encoded = settle(bpe.encode(docs, definition, keys=("doc_id", "lang", "source")), "encoded")
-    decoded = bpe.decode(encoded.withColumn("row", F.struct("doc_id", "lang", "source", "ids")), definition, keys=("row",))
-    return decoded.select(
-        "row.doc_id", "row.lang", "row.source", (F.octet_length("row.ids") / 4).cast("long").alias("n_tokens"),
-        "row.ids", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+    coded = bpe.round_trip(docs, bpe.read_definition(), keys=("doc_id", "lang", "source"))
+    return coded.select(
+        "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
 
 
 STAGES = [
