@@ -427,7 +427,8 @@ def test_tokens(spark, sf):
 
 def test_odd_characters():
     words, tokenizer = bpe.WordTable(bpe.read_definition()), _tokenizer()
-    texts = ["a<|endoftext|>b <|endoftext|>", "<|endoftext|>", "՘x ՘ ࢏1", " \n \t   x", "don't I'LL", "\0�", "😀👍🏽 中文 1²"]
+    texts = ["a<|endoftext|>b <|endoftext|>", "<|endoftext|>", "՘x ՘ ࢏1", " \n \t   x", "don't I'LL", "\0�", "😀👍🏽 中文 1²",
+             "".join(map(chr, range(128))), "".join(f"a{chr(c)} {chr(c)}1{chr(c)} " for c in range(128)), "x \x1c\x1d y\x0b z\r\n"]
     assert words.encode(texts) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
