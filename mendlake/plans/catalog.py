@@ -7,7 +7,9 @@ from mendlake.functions.training import active_label
 from mendlake.operators import dataset, evaluate, extract, label, query, report, store
 from mendlake.plans import ingest
 from mendlake.plans import proxies as P
+from mendlake.schema import GROUPS
 from mendlake.session import shared_dir
+from mendlake.sources import config
 from mendlake.sources import entries as io
 from mendlake.streaming import ingest as stream
 
@@ -73,6 +75,30 @@ def candidates(spark, sf_dir):
     )
 
 
+@registered
+def fix_commits_from_file(spark, sf_dir):
+    """The same commits with the rules read from a configuration file."""
+    path = shared_dir(spark, "rules")
+    rules = P.rules(spark, sf_dir).select(F.struct("*").alias("r")).agg(F.collect_list("r").alias("repositories"))
+    rules.select(F.to_json(F.struct("repositories")).alias("value")).coalesce(1).write.text(path)
+    found = extract.fix_commits(P.commits(spark, sf_dir), config.load_rules(spark, f"{path}/*.txt"), NOW)
+    return found.withColumn("author_date", F.date_format("author_date", "yyyy-MM-dd"))
+
+
+@registered
+def group_flags_from_file(spark, sf_dir):
+    """The same labels with the taxonomy read from a file."""
+    path = shared_dir(spark, "taxonomy")
+    lists = P.taxonomy(spark, sf_dir).groupBy("category", "ignored").agg(F.collect_list("issue_id").alias("ids"))
+    document = lists.agg(
+        F.map_from_entries(F.collect_list(F.when(~F.col("ignored"), F.struct("category", "ids")))).alias("error_classification"),
+        F.flatten(F.collect_list(F.when(F.col("ignored"), F.col("ids")))).alias("ignore_list"),
+    )
+    document.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.text(path)
+    taxonomy = config.load_taxonomy(spark, f"{path}/*.txt")
+    return label.label_pairs(P.view(spark, sf_dir, "p_diagnostics"), taxonomy).select("pair_id", "labels.groups.*")
+
+
 @registered
 def ingest_entries(spark, sf_dir):
     """From commits to new entries; the diagnostics are keyed by commit here."""
@@ -380,6 +406,69 @@ def csv_files(spark, sf_dir):
     return _stored_form(store.accepted(store.validate(io.read_csv(spark, path))))
 
 
+@registered
+def csv_mixed_headers(spark, sf_dir):
+    """CSV files whose headers differ in order and extent, read together."""
+    path = shared_dir(spark, "csv-mixed")
+    _write_mixed_csv(spark, sf_dir, path)
+    return _stored_form(store.accepted(store.validate(io.read_csv(spark, f"{path}/*"))))
+
+
+@registered
+def import_folder_csv(spark, sf_dir):
+    """What becomes of the entries in CSV files with different headers."""
+    path = shared_dir(spark, "import-csv")
+    _write_mixed_csv(spark, sf_dir, path)
+    checked = store.validate(io.read_csv(spark, f"{path}/*"))
+    return store.import_outcomes(checked, P.view(spark, sf_dir, "p_store_hashes"))
+
+
+def _write_mixed_csv(spark, sf_dir, path):
+    flat = io.flatten_entries(P.entries(spark, sf_dir))
+    part = F.pmod(F.col("_id").cast("long"), F.lit(3))
+    for n, columns in enumerate((flat.columns, flat.columns[::-1], [c for c in flat.columns if c != "labels_code_style"])):
+        flat.filter(part == n).select(*columns).write.options(**io.CSV_WRITE).csv(f"{path}/{n}")
+
+
+@registered
+def import_folder_json(spark, sf_dir):
+    """What becomes of a folder of JSON documents, a file each, some of them broken and some invalid."""
+    path = shared_dir(spark, "import-json")
+    number = F.col("_id").cast("long")
+    docs = io.readable_documents(P.entries(spark, sf_dir)).withColumn(
+        "code_hash", F.when(F.pmod(number, F.lit(13)) == 5, F.lit("none")).otherwise(F.col("code_hash")))
+    value = F.when(F.pmod(number, F.lit(11)) == 3, F.lit('{"code_original": ["int')).otherwise(F.to_json(F.struct("*")))
+    docs.select(value.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    checked = store.validate(io.read_json_documents(spark, path, "*.txt"))
+    return store.import_outcomes(checked, P.view(spark, sf_dir, "p_store_hashes"))
+
+
+@registered
+def json_document_files(spark, sf_dir):
+    """Entries written as JSON documents, read back and checked."""
+    path = shared_dir(spark, "json-documents")
+    io.write_json_documents(P.entries(spark, sf_dir), path)
+    return _stored_form(store.accepted(store.validate(io.read_json_lines(spark, path))))
+
+
+@registered
+def query_result_file(spark, sf_dir):
+    """The result of a filter written as documents, read back and checked."""
+    path = shared_dir(spark, "query-result")
+    found = query.find(P.entries(spark, sf_dir), {"labels.groups.logic_error": True, "labels.cppcheck": "memleak"})
+    io.write_json_documents(found, path)
+    return _stored_form(store.accepted(store.validate(io.read_json_lines(spark, path))))
+
+
+@registered
+def readable_json_files(spark, sf_dir):
+    """Readable documents, one per content hash, read back: code as lists of lines."""
+    path = shared_dir(spark, "readable-json")
+    io.write_readable_json(P.entries(spark, sf_dir), path)
+    back = spark.read.schema("file_name string, code_hash string, code_original array<string>").json(path)
+    return back.select("file_name", "code_hash", F.size("code_original").alias("n_lines"))
+
+
 @registered
 def json_lines_files(spark, sf_dir):
     """Entries exported in order as JSON lines, read back and checked."""
@@ -417,10 +506,12 @@ def entry_defaults(spark, sf_dir):
 
 def _stored_form(entries):
     return entries.select(
-        "code_hash", F.length("code_original").alias("n_original"), F.length("code_fixed").alias("n_fixed"),
-        "repo.url", "repo.commit_hash", _joined("labels.cppcheck").alias("cppcheck"),
+        "code_hash", X.sha256_hex("code_original").alias("original_hash"), X.sha256_hex("code_fixed").alias("fixed_hash"),
+        "repo.url", "repo.commit_hash", F.date_format("repo.commit_date", "yyyy-MM-dd HH:mm:ss").alias("committed"),
         F.date_format("ingest_timestamp", "yyyy-MM-dd HH:mm:ss").alias("ingested"),
-        "labels.groups.memory_management", "labels.groups.code_style",
+        _joined("labels.cppcheck").alias("cppcheck"), "labels.clang",
+        _joined(F.filter(F.array(*[F.when(F.col(f"labels.groups.{g}"), F.lit(g)) for g in GROUPS]), lambda g: g.isNotNull()))
+        .alias("flags"),
     )
 
 

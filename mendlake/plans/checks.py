@@ -39,7 +39,8 @@ AND ((r.p1 IS NULL AND r.p2 IS NULL AND r.p3 IS NULL)
   OR regexp_matches(c.message, '(?im)' || r.p1) OR regexp_matches(c.message, '(?im)' || r.p2) OR regexp_matches(c.message, '(?im)' || r.p3))
 GROUP BY ALL)
 """
-check("fix_commits", FIX + """
+for name in ("fix_commits", "fix_commits_from_file"):
+    check(name, FIX + """
 SELECT repo_url, sha, rule_url, parent_sha, strftime(author_date, '%Y-%m-%d') AS author_date FROM chosen
 """, "p_commits", "p_rules")
 
@@ -174,7 +175,7 @@ def flag_columns(names):
     return ", ".join(f"coalesce(bool_or(g.category = '{g}'), false) AS {g}" for g in names)
 
 
-for name, names in (("group_flags", GROUPS), ("group_flags_reference8", COARSE_GROUPS)):
+for name, names in (("group_flags", GROUPS), ("group_flags_from_file", GROUPS), ("group_flags_reference8", COARSE_GROUPS)):
     check(name, STRICT + f"""
 SELECT k.pair_id, {flag_columns(names)} FROM kept k LEFT JOIN gone g ON g.pair_id = k.pair_id GROUP BY k.pair_id
 """, "p_diagnostics", "p_taxonomy")
@@ -367,22 +368,44 @@ SELECT entry_id, code_hash, repo_url, commit_hash AS repo_commit_hash,
   '{{}}' AS labels_clang, {FLAT}, CASE WHEN {QUALITY_OR} THEN 'True' ELSE 'False' END AS labels_code_quality_performance
 FROM p_entries
 """, "p_entries")
+FLAGS = ", ".join(f"CASE WHEN {g} THEN '{g}' END" for g in GROUPS)
 STORED = """
-SELECT code_hash, {n_original} AS n_original, {n_fixed} AS n_fixed, repo_url AS url, commit_hash,
-  concat_ws(',', issue_1, issue_2, issue_3) AS cppcheck, strftime(ingest_timestamp, '%Y-%m-%d %H:%M:%S') AS ingested,
-  memory_management, code_style FROM p_entries
+SELECT code_hash, sha256({original}) AS original_hash, sha256({fixed}) AS fixed_hash, repo_url AS url, commit_hash,
+  strftime(ingest_timestamp, '%Y-%m-%d %H:%M:%S') AS committed, strftime(ingest_timestamp, '%Y-%m-%d %H:%M:%S') AS ingested,
+  concat_ws(',', issue_1, issue_2, issue_3) AS cppcheck, '{{}}' AS clang, concat_ws(',', {flags}) AS flags FROM p_entries
 """
-check("unflatten_csv", STORED.format(n_original="length(code_original)", n_fixed="length(nullif(code_fixed, ''))"), "p_entries")
+AS_IS = STORED.format(original="code_original", fixed="code_fixed", flags=FLAGS)
+FROM_CSV = STORED.format(original="code_original", fixed="nullif(code_fixed, '')", flags=FLAGS)
 
 
 def rejoined(c):
-    return f"length(regexp_replace(regexp_replace({c}, '(?:{BREAKS})$', ''), '{BREAKS}', chr(10), 'g'))"
-
-
-check("json_documents", STORED.format(n_original=rejoined("code_original"), n_fixed=rejoined("code_fixed")), "p_entries")
-
-check("csv_files", STORED.format(n_original="length(code_original)", n_fixed="length(nullif(code_fixed, ''))"), "p_entries")
-check("json_lines_files", STORED.format(n_original="length(code_original)", n_fixed="length(code_fixed)"), "p_entries")
+    return f"regexp_replace(regexp_replace({c}, '(?:{BREAKS})$', ''), '{BREAKS}', chr(10), 'g')"
+
+
+check("unflatten_csv", FROM_CSV, "p_entries")
+check("json_documents", STORED.format(original=rejoined("code_original"), fixed=rejoined("code_fixed"), flags=FLAGS), "p_entries")
+check("csv_files", FROM_CSV, "p_entries")
+check("csv_mixed_headers", FROM_CSV.replace("CASE WHEN code_style THEN", "CASE WHEN code_style AND doc_id % 3 <> 2 THEN"), "p_entries")
+check("json_lines_files", AS_IS, "p_entries")
+check("json_document_files", AS_IS, "p_entries")
+check("query_result_file", AS_IS + "WHERE logic_error AND 'memleak' IN (issue_1, issue_2, issue_3)", "p_entries")
+check("readable_json_files", f"""
+AND_WITH texts AS (SELECT DISTINCT code_hash, code_original FROM p_entries)
+SELECT code_hash || '.json' AS file_name, code_hash, CASE WHEN code_original = '' THEN 0
+  ELSE len(string_split_regex(regexp_replace(code_original, '(?:{BREAKS})$', ''), '{BREAKS}')) END AS n_lines FROM texts
+""", "p_entries")
+IMPORTED = """,
+per_hash AS (SELECT code_hash, count(*) AS n, code_hash IN (SELECT code_hash FROM p_store_hashes) AS known FROM good GROUP BY code_hash)
+SELECT 'inserted' AS outcome, count(*) FILTER (NOT known) AS n_documents, false AS is_error FROM per_hash
+UNION ALL SELECT 'duplicate', CAST(coalesce(sum(n), 0) AS BIGINT) - count(*) FILTER (NOT known), true FROM per_hash
+UNION ALL SELECT 'rejected', {rejected}, true FROM p_entries
+UNION ALL SELECT 'unreadable', {unreadable}, true FROM p_entries
+"""
+check("import_folder_csv", "\nAND_WITH good AS (SELECT code_hash FROM p_entries)" + IMPORTED.format(
+    rejected="0 * count(*)", unreadable="0 * count(*)"), "p_entries", "p_store_hashes")
+check("import_folder_json", "\nAND_WITH good AS (SELECT code_hash FROM p_entries WHERE doc_id % 11 <> 3 AND doc_id % 13 <> 5)" + IMPORTED.format(
+    rejected="count(*) FILTER (doc_id % 11 <> 3 AND doc_id % 13 = 5)", unreadable="count(*) FILTER (doc_id % 11 = 3)"),
+    "p_entries", "p_store_hashes")
 check("document_report", """
 SELECT count(*) AS n_entries, count(*) FILTER (doc_id % 5 <> 4) AS n_with_labels, count(*) FILTER (doc_id % 5 = 4) AS n_without_labels,
   CAST(coalesce(sum((issue_1 IS NOT NULL)::INT + (issue_2 IS NOT NULL)::INT + (issue_3 IS NOT NULL)::INT) FILTER (doc_id % 5 NOT IN (3, 4)), 0)

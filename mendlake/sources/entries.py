@@ -91,9 +91,9 @@ def wire_from_json(texts, column="value"):
     return texts.withColumn("_doc", F.try_parse_json(column)).select(*kept, F.inline(F.array(entry)))
 
 
-def read_json_documents(spark, path):
-    """One document per ``*.json`` file, with ``file_name``; see ``wire_from_json``."""
-    texts = spark.read.text(path, wholetext=True, pathGlobFilter="*.json").select(
+def read_json_documents(spark, path, names="*.json"):
+    """One document per file of these names, with ``file_name``; see ``wire_from_json``."""
+    texts = spark.read.text(path, wholetext=True, pathGlobFilter=names).select(
         "value", F.col("_metadata.file_name").alias("file_name")
     )
     return wire_from_json(texts)
