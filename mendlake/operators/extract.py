@@ -141,8 +141,9 @@ def header_impl_pairs(files, tree, keys=("repo_url", "sha")):
 
     The counterpart has the same stem and the other role. One in the same
     directory wins, in extension order; else the first in tree order; else none.
-    The tree is reduced to one row per stem and role (and directory) before each
-    join, so the joins never form pairs within a group.
+    The tree is read once: rows of wanted stems only, reduced to one per stem,
+    role and directory, and these again to one per stem and role, so the joins
+    never form pairs within a group.
     """
     is_header = X.extension("path").isin(*X.HEADER_EXTENSIONS)
     rank = F.array_position(
@@ -155,12 +156,13 @@ def header_impl_pairs(files, tree, keys=("repo_url", "sha")):
         X.dir_name("path").alias("_dir"),
         is_header.alias("_header"),
     )
-    siblings = sources.groupBy(*keys, "stem", "_header", "_dir").agg(
-        F.min(F.struct("_rank", "_path"))["_path"].alias("_sibling")
-    )
-    elsewhere = sources.groupBy(*keys, "stem", "_header").agg(
-        F.min(F.struct("ordinal", "_path"))["_path"].alias("_elsewhere")
+    sources = sources.join(files.select(*keys, "stem").distinct(), [*keys, "stem"], "left_semi")
+    per_dir = sources.groupBy(*keys, "stem", "_header", "_dir").agg(
+        F.min(F.struct("_rank", "_path"))["_path"].alias("_sibling"),
+        F.min(F.struct("ordinal", "_path")).alias("_first"),
     )
+    siblings = per_dir.drop("_first")
+    elsewhere = per_dir.groupBy(*keys, "stem", "_header").agg(F.min("_first")["_path"].alias("_elsewhere"))
     wanted = files.withColumn("_is_header", is_header).withColumn("_header", ~F.col("_is_header"))
     counterpart = F.coalesce("_sibling", "_elsewhere")
     return (
@@ -177,9 +179,10 @@ def attach_contents(pairs, blobs):
     """Adds the four contents, ``""`` for a file that does not exist at that commit.
 
     ``pairs`` needs ``repo_url, sha, parent_sha, stem, header_path, impl_path``.
-    The up to four lookups of a pair become rows of one join, so ``blobs`` is
-    read and shuffled once, and texts travel only for files that are asked for.
-    Blobs kept bucketed by (repo_url, sha, path) need no shuffle at all.
+    The up to four lookups of a pair become rows of one join. The keys that are
+    asked for meet ``blobs`` first: while Spark can broadcast them, texts travel
+    only for files that are asked for, and beyond that both joins share one
+    shuffle of ``blobs``. Blobs kept bucketed by (repo_url, sha, path) need none.
     """
     roles = [
         ("header_before", "parent_sha", "header_path"),
@@ -203,6 +206,8 @@ def attach_contents(pairs, blobs):
     found = blobs.select(
         "repo_url", F.col("sha").alias("_sha"), F.col("path").alias("_path"), "content"
     )
+    key = ["repo_url", "_sha", "_path"]
+    found = found.join(asked.select(*key).distinct(), key, "left_semi")
     answered = asked.join(found, ["repo_url", "_sha", "_path"], "left")
     identity = ("repo_url", "sha", "stem")
     carried = [c for c in pairs.columns if c not in identity]
