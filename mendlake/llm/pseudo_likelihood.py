@@ -25,7 +25,7 @@ HIDDEN = 16
 ROUNDS = 2
 #: One position in so many is masked in a round.
 MASKED = 8
-MINI_BATCH = 256
+MINI_BATCH = 1024
 RATE = 0.1
 #: Models that are averaged in one task.
 FAN_IN = 32
@@ -94,24 +94,27 @@ def log_probabilities(net, ids, at):
         h = _hidden(net, ids, here)
         group, word = np.divmod(ids[here], CLASS_SIZE)
         score = _log_softmax(h @ net["classes"].T + net["class_bias"])[np.arange(len(here)), group].astype(float)
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for g in range(CLASSES):
-            rows = order[cuts[g]:cuts[g + 1]]
-            if len(rows):
-                inner = _log_softmax(h[rows] @ net["words"][g].T + net["word_bias"][g])
-                score[rows] += inner[np.arange(len(rows)), word[rows]]
+        for g, rows in _by_class(group):
+            inner = _log_softmax(h[rows] @ net["words"][g].T + net["word_bias"][g])
+            score[rows] += inner[np.arange(len(rows)), word[rows]]
         out[start:start + CHUNK] = score
     return out
 
 
+def _by_class(group):
+    """(class, rows) for the classes that occur."""
+    order = np.argsort(group, kind="stable")
+    cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
+    return [(g, order[cuts[g]:cuts[g + 1]]) for g in range(CLASSES) if cuts[g] < cuts[g + 1]]
+
+
 class Trainer:
     """Adagrad on mini-batches of masked positions."""
 
-    def __init__(self, net):
+    def __init__(self, net, mini_batch=MINI_BATCH):
         self.net = {k: v.copy() for k, v in net.items()}
         self.squares = {k: np.full_like(v, 1e-3) for k, v in net.items()}
-        self.seen = 0
+        self.mini_batch, self.seen = mini_batch, 0
 
     def _step(self, name, index, gradient):
         squares, values = self.squares[name], self.net[name]
@@ -119,35 +122,34 @@ class Trainer:
         values[index] -= RATE * gradient / np.sqrt(squares[index])
 
     def train(self, ids, at):
-        for start in range(0, len(at), MINI_BATCH):
-            self._batch(ids, at[start:start + MINI_BATCH])
+        for start in range(0, len(at), self.mini_batch):
+            self._batch(ids, at[start:start + self.mini_batch])
         self.seen += len(at)
 
     def _batch(self, ids, at):
-        net, rows = self.net, np.arange(len(at))
+        net = self.net
         h = _hidden(net, ids, at)
         group, word = np.divmod(ids[at], CLASS_SIZE)
         outer = np.exp(_log_softmax(h @ net["classes"].T + net["class_bias"]))
-        outer[rows, group] -= 1
-        chosen = net["words"][group]
-        inner = np.exp(_log_softmax(np.einsum("nd,nkd->nk", h, chosen) + net["word_bias"][group]))
-        inner[rows, word] -= 1
-        back = (outer @ net["classes"] + np.einsum("nk,nkd->nd", inner, chosen)) * (1 - h * h)
+        outer[np.arange(len(at)), group] -= 1
+        back = outer @ net["classes"]
+        for g, rows in _by_class(group):
+            here, weights = h[rows], net["words"][g]
+            inner = np.exp(_log_softmax(here @ weights.T + net["word_bias"][g]))
+            inner[np.arange(len(rows)), word[rows]] -= 1
+            back[rows] += inner @ weights
+            self._step("words", g, inner.T @ here)
+            self._step("word_bias", g, inner.sum(axis=0))
+        back *= 1 - h * h
         self._step("classes", slice(None), outer.T @ h)
         self._step("class_bias", slice(None), outer.sum(axis=0))
-        groups, place = np.unique(group, return_inverse=True)
-        words = np.zeros((len(groups), CLASS_SIZE, HIDDEN), np.float32)
-        bias = np.zeros((len(groups), CLASS_SIZE), np.float32)
-        np.add.at(words, place, inner[:, :, None] * h[:, None, :])
-        np.add.at(bias, place, inner)
-        self._step("words", groups, words)
-        self._step("word_bias", groups, bias)
         self._step("hidden_bias", slice(None), back.sum(axis=0))
         for side, step in enumerate(CONTEXT):
-            near, place = np.unique(ids[at + step], return_inverse=True)
-            total = np.zeros((len(near), HIDDEN), np.float32)
-            np.add.at(total, place, back)
-            self._step("sides", (side, near), total)
+            near = ids[at + step]
+            order = np.argsort(near, kind="stable")
+            near = near[order]
+            first = np.flatnonzero(np.diff(near, prepend=-1))
+            self._step("sides", (side, near[first]), np.add.reduceat(back[order], first, axis=0))
 
 
 def _flat(net):
@@ -193,12 +195,14 @@ def _averaged(group):
 _MODEL = "part long, n long, weights binary"
 
 
-def train(docs):
+def train(docs, rounds=ROUNDS, masked=MASKED, mini_batch=MINI_BATCH):
     """(words of the vocabulary, network) from all rows of ``docs(text)``.
 
-    The driver gets the vocabulary, and per round one averaged model: models
-    are averaged ``FAN_IN`` at a time, in three steps, so that 32**3 partitions
-    leave one and more leave one for each so many.
+    In each round one position in ``masked`` of every text is predicted. The
+    driver gets the vocabulary and, per round, one averaged model: models are
+    averaged ``FAN_IN`` at a time, in three steps, so that 32**3 partitions
+    leave one and more leave one for each so many. A corpus without words gives
+    the untrained network.
     """
     spark = docs.sparkSession
     counts = settle(word_counts(docs), "word-counts")
@@ -212,17 +216,17 @@ def train(docs):
         for r in rest.groupBy(F.least(F.length("word"), F.lit(UNKNOWN)).alias("k")).agg(F.sum("n").alias("n")).collect():
             by_id[r["k"]] = r["n"]
     net = new_network(by_id)
-    for turn in range(ROUNDS):
+    for turn in range(rounds):
         shared = spark.sparkContext.broadcast((words, net))  # of fixed size
 
         def run(batches, turn=turn, shared=shared):
             words, start = shared.value
-            coder, trainer = Coder(words), Trainer(start)
+            coder, trainer = Coder(words), Trainer(start, mini_batch)
             for batch in batches:
                 for part in parts_of(batch):
                     ids, at, _ = coder.encode(texts_in(part))
                     # Positions of a text by its place and words, so each round masks others.
-                    mask = (at * 2654435761 + ids[at] * 40503 + turn * (2**32 // ROUNDS // MASKED)) % 2**32 < 2**32 // MASKED
+                    mask = (at * 2654435761 + ids[at] * 40503 + turn * (2**32 // rounds)) % 2**32 < 2**32 // masked
                     trainer.train(ids, at[mask])
             if trainer.seen:
                 yield pa.RecordBatch.from_arrays(

@@ -273,7 +273,7 @@ def test_pseudo_likelihood(spark):
         return " ".join(words[(start + i) % 30] for i in range(n))
 
     train = spark.createDataFrame([(ordered(60),) for _ in range(600)] + [(None,), ("",)], "text string").repartition(3)
-    model = pseudo_likelihood.train(train)
+    model = pseudo_likelihood.train(train, masked=2, mini_batch=128)
     held_out = [(i, ordered(40)) for i in range(20)]
     mixed = [(100 + i, " ".join(rng.permutation(t.split()))) for i, t in held_out]
     asked = spark.createDataFrame([*held_out, *mixed, (-1, None), (-2, " ")], "doc_id long, text string")
