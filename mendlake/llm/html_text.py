@@ -40,9 +40,10 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 #: Looking for an element to end stops at these.
 BARRIERS = frozenset("html body article section main div table td th ul ol dl blockquote aside form nav header footer".split())
 
+# In a tag, a quoted value may hold ">"; no way of reading it is tried twice.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</[a-zA-Z][^>]*(?:>|\Z)"
-    r"|<[a-zA-Z](?:[^\"'>]|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'])*?(?:>|\Z)", re.S)
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</[a-zA-Z][^>]*(?:>|\Z)"""
+    r"""|<[a-zA-Z](?>=\s*"[^"]*"|=\s*'[^']*'|[^>])*+(?:>|\Z)""", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 

@@ -162,6 +162,7 @@ PAGES_AND_TEXTS = [
     ("<ul><li>one<li>two</ul>", "one\n\ntwo"),
     ("text <!-- no --> a < b & c", "text a < b & c"),
     ("<body><script>only", ""), ("<", "<"), ("<a", ""), ("", ""), ("</p></div>", ""), ("<p>é</p>", "é"),
+    ('<p title="a>b" data-x=\'<p>\' y=>t <i class="x"y>u</i>', "t u"), ("<p it's>a</p><p x=\"unclosed>b", "a\n\nb"),
     ("<body><form>f</form><p class='advert'>ad</p></body>", ""),
 ]
 
