@@ -6,6 +6,7 @@ go back to the texts by position. Decoding joins ids to a table of pieces in the
 same way.
 """
 
+import functools
 import json
 import re
 import sys
@@ -21,15 +22,16 @@ from mendlake.llm.common import parts_of, table, texts_in
 
 # Fixed value: the pattern that splits text for byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts in ASCII.
+ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 #: Words of a block's table before a new one is begun; bounds a task's memory.
 TABLE_WORDS = 200_000
 
 
+@functools.cache
 def unassigned():
-    """Matches characters that Unicode had not assigned when this Python was made; libraries may class them differently."""
-    codes = [c for c in range(0x80, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cn"]
-    cuts = [0, *(i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1), len(codes)]
-    return re.compile("[" + "".join(f"{chr(codes[a])}-{chr(codes[b - 1])}" for a, b in zip(cuts, cuts[1:])) + "]")
+    """By code point, whether Unicode had not assigned it when this Python was made; libraries may class it differently."""
+    return np.array([unicodedata.category(chr(c)) == "Cn" for c in range(sys.maxunicode + 1)])
 
 
 def byte_alphabet():
@@ -59,7 +61,7 @@ class WordTable:
         special = [t["content"] for t in json.loads(definition)["added_tokens"]]
         self.special = set(special)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
-        self.pattern, self.unsure = regex.compile(PATTERN), unassigned()
+        self.pattern, self.ascii = regex.compile(PATTERN), re.compile(ASCII_PATTERN)
         self.ids = {}
 
     def split(self, text):
@@ -71,7 +73,9 @@ class WordTable:
         return words
 
     def _words(self, text):
-        if not text.isascii() and self.unsure.search(text):
+        if text.isascii():
+            return self.ascii.findall(text)
+        if unassigned()[np.frombuffer(text.encode("utf-32-le"), "<u4")].any():
             return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
         return self.pattern.findall(text)
 
@@ -86,6 +90,12 @@ class WordTable:
         return [b"".join(map(self.ids.__getitem__, words)) for words in split]
 
 
+@functools.cache
+def word_table(definition):
+    """One table per tokenizer and Python worker, which may serve several tasks."""
+    return WordTable(definition)
+
+
 class PieceTable:
     """The bytes of each id."""
 
@@ -100,6 +110,11 @@ class PieceTable:
         ]
 
 
+@functools.cache
+def piece_reader(definition):
+    return PieceTable(definition)
+
+
 def _mapped(df, keys, columns, make, definition):
     """``keys`` and the columns that ``make(definition)`` derives from each part of a batch."""
     shared = df.sparkSession.sparkContext.broadcast(definition)  # one vocabulary file
@@ -125,7 +140,7 @@ def encode(docs, definition, keys=("doc_id",)):
     rows give repeated results, an empty table an empty one.
     """
     def make(definition):
-        words = WordTable(definition)
+        words = word_table(definition)
         return lambda part: [pa.array(words.encode(texts_in(part)), pa.binary())], "text"
 
     return _mapped(docs.select(*keys, "text"), keys, [_IDS], make, definition)
@@ -134,7 +149,7 @@ def encode(docs, definition, keys=("doc_id",)):
 def decode(encoded, definition, keys=("doc_id",)):
     """The keys and ``text`` of what ``encode`` returned; bytes that are no UTF-8 become U+FFFD."""
     def make(definition):
-        pieces = PieceTable(definition)
+        pieces = piece_reader(definition)
         return lambda part: [pa.array(pieces.decode(part.column("ids").to_pylist()), pa.string())], "ids"
 
     return _mapped(encoded.select(*keys, "ids"), keys, [_TEXT], make, definition)
@@ -143,7 +158,7 @@ def decode(encoded, definition, keys=("doc_id",)):
 def round_trip(docs, definition, keys=("doc_id",)):
     """The keys, ``ids`` as ``encode`` gives them and ``text`` as ``decode`` gives it from these ids, in one pass."""
     def make(definition):
-        words, pieces = WordTable(definition), PieceTable(definition)
+        words, pieces = word_table(definition), piece_reader(definition)
 
         def work(part):
             ids = words.encode(texts_in(part))
