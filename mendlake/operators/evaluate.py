@@ -7,7 +7,7 @@ which there are at most as many rows as the label list has pairs.
 
 from pyspark.sql import functions as F
 
-from mendlake.functions.training import parse_prediction
+from mendlake.functions.training import TITLES, UNKNOWN, parse_prediction
 
 
 def parsed(predictions):
@@ -39,9 +39,17 @@ def accuracy(scored):
     ).select("correct", "total", (_share(F.col("correct"), F.col("total")) * 100).alias("accuracy"))
 
 
-def confusion_matrix(scored):
-    """Rows per pair of all labels seen, on either side, zeros included."""
-    cells = pair_counts(scored).agg(
+def confusion_matrix(scored, labels=(*TITLES.values(), UNKNOWN)):
+    """Rows per pair of all labels seen, on either side, zeros included.
+
+    The matrix is made in one row, which the closed list ``labels`` bounds; any
+    other label is an error.
+    """
+    def listed(c):
+        other = F.raise_error(F.concat(F.lit("label not listed: "), F.coalesce(c, F.lit("null"))))
+        return F.when(F.col(c).isin(*labels), F.col(c)).otherwise(other).alias(c)
+
+    cells = pair_counts(scored.select(listed("true_label"), listed("predicted_label"))).agg(
         F.array_sort(F.array_union(F.collect_set("true_label"), F.collect_set("predicted_label"))).alias("labels"),
         F.map_from_entries(F.collect_list(F.struct(F.struct("true_label", "predicted_label"), "n"))).alias("cells"),
     )

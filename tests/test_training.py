@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from data import entries, entry
 from pyspark.sql import functions as F
 
@@ -123,7 +124,9 @@ def test_accuracy_and_confusion(spark):
     df = scored(spark, SCORED)
     row = E.accuracy(df).collect()[0]
     assert (row["correct"], row["total"]) == (5, 9) and math.isclose(row["accuracy"], 500 / 9)
-    matrix = {(r["true_label"], r["predicted_label"]): r["n"] for r in E.confusion_matrix(df).collect()}
+    matrix = {(r["true_label"], r["predicted_label"]): r["n"] for r in E.confusion_matrix(df, "abcx").collect()}
+    with pytest.raises(Exception, match="label not listed: x"):
+        E.confusion_matrix(df, "abc").collect()
     labels = "abcx"
     assert matrix == {(t, p): SCORED.count((t, p)) for t in labels for p in labels}
     assert E.accuracy(scored(spark, []).limit(0)).collect()[0]["accuracy"] == 0.0
