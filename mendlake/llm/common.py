@@ -19,14 +19,14 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df, name):
+def settle(df, name, **options):
     """``df`` written as a table in the shared folder and read back.
 
     It cuts the lineage: a lost executor costs the running stage only, and
     readers of the table see one and the same result of every row.
     """
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
