@@ -89,11 +89,19 @@ def shared_tokens(packed):
     return packed.groupBy("bucket").applyInArrow(shared_by_owner, SHARED)
 
 
+def _are_stars(edges):
+    """Whether every node has one smaller neighbour, and none of these has a smaller one itself."""
+    if edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
+        return False
+    chained = edges.select("v").distinct().join(edges.select(F.col("u").alias("v")), "v", "left_semi")
+    return not chained.limit(1).count()
+
+
 def components(links, name):
     """(``node``, ``component``) of the nodes in ``links(a, b)``: the least node that links lead to.
 
-    Alternates two steps until nothing changes: each node's larger neighbours
-    link to the least neighbour, then its smaller ones do. Hot nodes are
+    Alternates two steps until only stars around least nodes are left: each node's
+    larger neighbours link to the least neighbour, then its smaller ones do. Hot nodes are
     pre-aggregated, and the links stay in tables.
     """
     def stars(pairs):
@@ -102,8 +110,7 @@ def components(links, name):
 
     edges = settle(links.filter("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
-    # Done when nothing is linked to a node that is itself linked to a smaller one.
-    while edges.select("v").join(edges.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count():
+    while not _are_stars(edges):
         both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
         large = stars(both.select("e.u", "e.v")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Each node gets the least of its smaller neighbours, and so do these.

@@ -263,6 +263,23 @@ def test_connected_components(spark):
     assert got == {n: g for n, g in group.items() if n in linked}
 
 
+@pytest.mark.parametrize("pairs", [
+    [(3, 5), (4, 5)], [(1, 3), (2, 3), (2, 4)], [(2, 3), (4, 0), (1, 2), (4, 3)],
+    [(9, i) for i in range(4)] + [(8, i) for i in range(3, 7)]])
+def test_components_of_nodes_between_smaller_ones(spark, pairs):
+    got = sorted(tuple(r) for r in postings.components(spark.createDataFrame(pairs, "a long, b long"), "test").collect())
+    nodes = sorted({n for p in pairs for n in p})
+    assert got == [(n, nodes[0]) for n in nodes]
+
+
+def test_largest_of_three_documents_links_the_others(spark):
+    words = [f"w{i}" for i in range(100)]
+    docs = [(5, words), (3, [*words[:20], *"abcd", *words[24:]]), (4, [*words[:60], *"efgh", *words[64:]])]
+    rows = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    got = sorted(tuple(r) for r in ngram_join.similar_groups(rows).select("doc_id", "component_id").collect())
+    assert got == [(3, 3), (4, 3), (5, 3)]
+
+
 # --- language model ---------------------------------------------------------
 
 def test_pseudo_likelihood(spark):
