@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from mendlake.llm import bpe, line_dedup, mixing, ngram_join, quality
 from mendlake.llm.common import WORD, row_key, settle, table
 
+#: Near copies share so many percent of their shingles of so many words.
+SHINGLE, PERCENT = 5, 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -33,7 +35,7 @@ def near_copy_stage(spark, docs, sf_dir):
     an id have no group and stay.
     """
     docs = docs.select(*COLUMNS)
-    groups = ngram_join.similar_groups(docs)
+    groups = ngram_join.similar_groups(docs, SHINGLE, PERCENT)
     chosen = groups.filter("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(chosen, "doc_id", "left_semi")
     once = kept.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r"))

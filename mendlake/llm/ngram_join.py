@@ -58,19 +58,19 @@ def shingle_set(text, hashes, k=SHINGLE):
     return np.unique(mixed)
 
 
-def prefix_length(n):
+def prefix_length(n, percent=PERCENT):
     """A set of ``n`` misses fewer than so many of its shingles in a partner's set."""
-    return n - -(-PERCENT * n // 100) + 1
+    return n - -(-percent * n // 100) + 1
 
 
-def _sets(batches, out):
+def _sets(batches, out, k):
     hashes = WordHashes()
     for batch in batches:
         texts = batch.column("text")
-        yield out(batch, (shingle_set(t.as_py() or "", hashes) for t in texts))
+        yield out(batch, (shingle_set(t.as_py() or "", hashes, k) for t in texts))
 
 
-def document_prefixes(docs):
+def document_prefixes(docs, k=SHINGLE, percent=PERCENT):
     """(doc_id, ``text_id``, ``text_key``, ``n_shingles``, ``prefix``): the first shingles in hash order, packed.
 
     ``text_id`` is a 64-bit hash of the text by which shingles are routed; texts
@@ -81,18 +81,18 @@ def document_prefixes(docs):
             sizes, prefixes = [], []
             for s in sets:
                 sizes.append(len(s))
-                prefixes.append(s[:2 * prefix_length(len(s)) - 1].astype("<u8").tobytes() if len(s) else b"")
+                prefixes.append(s[:2 * prefix_length(len(s), percent) - 1].astype("<u8").tobytes() if len(s) else b"")
             return pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("doc_id", "text_id", "text_key")), pa.array(sizes, pa.int64()),
                  pa.array(prefixes, pa.binary())],
                 names=["doc_id", "text_id", "text_key", "n_shingles", "prefix"])
-        return _sets(batches, out)
+        return _sets(batches, out, k)
 
     source = docs.select("doc_id", F.xxhash64("text").alias("text_id"), row_key("text").alias("text_key"), "text")
     return source.mapInArrow(run, "doc_id long, text_id long, text_key binary, n_shingles long, prefix binary")
 
 
-def coarse_components(prefixes):
+def coarse_components(prefixes, percent=PERCENT):
     """(``text_id``, ``component``): texts that may link; no link leads out of a component."""
     total = prefixes.agg(F.sum(F.length("prefix"))).first()[0] or 0
     n_buckets = bucket_count(total // 8)
@@ -110,9 +110,9 @@ def coarse_components(prefixes):
     gathered = shared.groupBy("owner").agg(
         F.flatten(F.collect_list(F.arrays_zip("counts", "tokens"))).alias("found")
     ).join(sizes, "owner")
-    # The partner may be smaller, down to PERCENT of this set, and then has fewer to share.
-    least = F.ceil(F.lit(PERCENT) * F.col("n") / 100)
-    needed = (least - F.ceil(F.lit(PERCENT) * least / 100) + 1).cast("int")
+    # The partner may be smaller, down to this share of this set, and then has fewer to share.
+    least = F.ceil(F.lit(percent) * F.col("n") / 100)
+    needed = (least - F.ceil(F.lit(percent) * least / 100) + 1).cast("int")
     routed = gathered.withColumn("needed", needed).filter(F.size("found") >= F.col("needed")).select(
         "owner", F.explode(F.slice(F.sort_array("found"), 1, F.size("found") - F.col("needed") + 1)).alias("t")
     ).select("owner", F.col("t.tokens").alias("token"))
@@ -140,7 +140,8 @@ class PrefixTree:
     probe is skipped, so a group of copies costs one comparison each.
     """
 
-    def __init__(self, ranks, sizes, n_ranks):
+    def __init__(self, ranks, sizes, n_ranks, percent=PERCENT):
+        self.percent = percent
         self.ranks, self.sizes, self.mark = ranks, sizes, np.zeros(n_ranks + 1, bool)
         self.root = Node(np.empty(0, np.int64), 1 << 60, 0, None)
         self.group = list(range(len(ranks)))
@@ -156,12 +157,12 @@ class PrefixTree:
         self._insert(i)
 
     def _probe(self, i):
-        x, size = self.ranks[i], self.sizes[i]
+        x, size, percent = self.ranks[i], self.sizes[i], self.percent
         self.mark[x] = True
         todo = [(self.root, 0, 0)]
         while todo:
             node, overlap, depth = todo.pop()
-            if node.one is None or 100 * node.high < PERCENT * size or PERCENT * node.low > 100 * size:
+            if node.one is None or 100 * node.high < percent * size or percent * node.low > 100 * size:
                 continue
             if node.alike and self.find(node.one) == self.find(i):
                 continue
@@ -171,12 +172,12 @@ class PrefixTree:
                 depth += len(node.run)
                 left -= int(np.searchsorted(x, node.run[-1], "right"))
             # Overlap needed with a set of size s: 185 * overlap >= 85 * (size + s), for 85 percent.
-            if (100 + PERCENT) * (node.high - depth + overlap) < PERCENT * (size + node.high):
+            if (100 + percent) * (node.high - depth + overlap) < percent * (size + node.high):
                 continue
-            if (100 + PERCENT) * (overlap + left) < PERCENT * (size + node.low):
+            if (100 + percent) * (overlap + left) < percent * (size + node.low):
                 continue
             for j in node.here:
-                if (100 + PERCENT) * overlap >= PERCENT * (size + self.sizes[j]):
+                if (100 + percent) * overlap >= percent * (size + self.sizes[j]):
                     a, b = self.find(i), self.find(j)
                     if a != b:
                         self.group[max(a, b)] = min(a, b)
@@ -208,7 +209,7 @@ class PrefixTree:
             node, rest = child, rest[same:]
 
 
-def tree_links(sets):
+def tree_links(sets, percent=PERCENT):
     """For each of the linked sets (sorted arrays) a pair of its position and that of the first set of its group."""
     everything = np.concatenate(sets) if sets else np.empty(0, np.uint64)
     tokens, places, counts = np.unique(everything, return_inverse=True, return_counts=True)
@@ -217,22 +218,23 @@ def tree_links(sets):
     rank[order] = np.arange(len(tokens))
     n_shared = int(np.count_nonzero(counts > 1))
     ranks = [np.sort(r[r < n_shared]) for r in np.split(rank[places], np.cumsum([len(s) for s in sets])[:-1])]
-    tree = PrefixTree(ranks, [len(s) for s in sets], n_shared)
+    tree = PrefixTree(ranks, [len(s) for s in sets], n_shared, percent)
     for i in range(len(sets)):
         tree.add(i)
     return [(i, tree.find(i)) for i in range(len(sets)) if tree.find(i) != i]
 
 
-def _group_links(group):
+def _group_links(group, percent):
     sets = [np.frombuffer(s, "<u8") for s in group.column("shingles").to_pylist()]
     ids = group.column("doc_id").to_numpy()
-    pairs = np.array(tree_links(sets), np.int64).reshape(-1, 2)
+    pairs = np.array(tree_links(sets, percent), np.int64).reshape(-1, 2)
     return pa.table({"a": pa.array(ids[pairs[:, 0]]), "b": pa.array(ids[pairs[:, 1]])})
 
 
-def similar_groups(docs):
+def similar_groups(docs, k=SHINGLE, percent=PERCENT):
     """``docs(doc_id, text)`` as doc_id, ``n_shingles`` and ``component_id``.
 
+    Texts link when their sets of ``k``-word shingles are similar to ``percent`` or more.
     A-Z count as a-z; words are runs of anything but ASCII white space. The
     component is the least doc_id that links lead to. A text without words and a
     null text have no shingles and no links. Rows of one doc_id are one document
@@ -243,9 +245,9 @@ def similar_groups(docs):
     ``BLOCK_SETS`` sets is dealt out in pairs of blocks, so no task holds more
     than two blocks.
     """
-    prefixes = settle(document_prefixes(docs), "prefixes")
+    prefixes = settle(document_prefixes(docs, k, percent), "prefixes")
     known = prefixes.filter("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "text_id", "text_key")
-    coarse = settle(coarse_components(prefixes), "coarse-components")
+    coarse = settle(coarse_components(prefixes, percent), "coarse-components")
     copies = known.groupBy("text_id", "text_key").agg(F.min("doc_id").alias("first"))
     copy_links = known.join(copies, ["text_id", "text_key"]).filter("doc_id <> first").select(
         F.col("doc_id").alias("a"), F.col("first").alias("b"))
@@ -264,14 +266,15 @@ def similar_groups(docs):
             packed = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
             return pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), packed],
                                               names=[*(f.name for f in fields), "shingles"])
-        return _sets(batches, out)
+        return _sets(batches, out, k)
 
     schema = T.StructType([*fields, T.StructField("shingles", T.BinaryType())])
     sets = texts.select(*(f.name for f in fields), "text").mapInArrow(run, schema)
     # A set meets its own block and all others: pair (i, j) with i <= j.
     dealt = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
         "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "shingles")
-    links = dealt.groupBy("component", "i", "j").applyInArrow(_group_links, "a long, b long")
+    links = dealt.groupBy("component", "i", "j").applyInArrow(
+        lambda group: _group_links(group, percent), "a long, b long")
     grouped = components(links.union(copy_links), "links")
     return prefixes.join(grouped, prefixes.doc_id == grouped.node, "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
