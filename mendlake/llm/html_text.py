@@ -45,7 +45,18 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</[a-zA-Z][^>]*(?:>|\Z)"""
     r"""|<[a-zA-Z](?>=\s*"[^"]*"|=\s*'[^']*'|[^>])*+(?:>|\Z)""", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+
+
+def _is_marked(text):
+    """Whether class, id or role of a tag have a value all of whose words mark what is no part of an article."""
+    for a in _ATTRIBUTE.finditer(text, _NAME.match(text).end()):
+        if a.group(1).lower() in ("class", "id", "role"):
+            for value in "".join(g or "" for g in a.groups()[1:]).lower().split():
+                words = re.findall("[a-z]+", value)
+                if words and NOISE_WORDS.issuperset(words):
+                    return True
+    return False
 
 
 class Page:
@@ -55,7 +66,9 @@ class Page:
         self.tag, self.parent, self.noise = ["#page"], [-1], [False]
         self.pieces = []  # (node, raw text), or (-1, "") where a block begins or ends
         self._open = [0]
+        self._marked, self._endless = [False], set()
         self._read(source)
+        self._spread()
 
     def _read(self, source):
         at, end = 0, len(source)
@@ -74,9 +87,16 @@ class Page:
                 self._close(name)
                 continue
             self._start(name, token.group())
-            if name in RAW:
-                closing = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(source, at)
-                at = closing.start() if closing else end
+            if name in RAW and not (name in ("svg", "math") and token.group().endswith("/>")):
+                closing = None if name in self._endless else re.compile(
+                    f"</{re.escape(name)}(?=[\\s/>])", re.I).search(source, at)
+                if closing:
+                    at = closing.start()
+                elif name in ("script", "style"):
+                    return
+                else:  # without an end it holds nothing
+                    self._endless.add(name)
+                    self._close(name)
 
     def _start(self, name, text):
         if name == "body" and "body" in self.tag:
@@ -89,17 +109,26 @@ class Page:
         if name == "br":
             self.pieces.append((self._open[-1], " "))
         up = self._open[-1]
-        noisy = self.noise[up] or name in NOISE_TAGS and not (name == "header" and self._inside("article"))
-        if not noisy and name not in ("html", "body"):
-            noisy = any(
-                not NOISE_WORDS.isdisjoint(re.split(r"[^a-z]+", "".join(m).lower())) for m in _MARKS.findall(text)
-            )
         self.tag.append(name)
         self.parent.append(up)
-        self.noise.append(noisy)
+        self.noise.append(
+            self.noise[up] or name in NOISE_TAGS and not (name == "header" and self._inside("article")))
+        self._marked.append(name not in ("html", "body", "article", "main") and _is_marked(text))
         if name not in VOID and not (text.endswith("/>") and name not in BLOCK):
             self._open.append(len(self.tag) - 1)
 
+    def _spread(self):
+        """Marked elements are noise with all below them, unless one is a container with most of the page's text."""
+        chars = [0] * len(self.tag)
+        for node, raw in self.pieces:
+            if node >= 0 and not self.noise[node]:
+                chars[node] += len(" ".join(raw.split()))
+        for i in range(len(self.tag) - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+        for i in range(1, len(self.tag)):
+            kept = self.tag[i] in CONTAINERS and 2 * chars[i] > chars[0]
+            self.noise[i] = self.noise[i] or self.noise[self.parent[i]] or self._marked[i] and not kept
+
     def _inside(self, name):
         return any(self.tag[i] == name for i in self._open)
 

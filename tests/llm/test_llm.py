@@ -172,6 +172,22 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+_LONG = "A long paragraph of an article that has many words and no links in it at all."
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<article class='post category-social'><p>{_LONG}</p></article>", _LONG),
+    (f"<main class='no-comments'><p>{_LONG}</p></main>", _LONG),
+    (f"<div class='content has-sidebar'><p>{_LONG}</p><div class='nav-menu'>m</div></div>", _LONG),
+    (f"<div class='widget'><p>{_LONG}</p></div><div class='comments'>me too</div>", _LONG),
+    (f"<div data-id='menu' aria-role='ad' title=' class=menu '><p>{_LONG}</p></div><p>" + _LONG * 2 + "</p>",
+     _LONG + "\n\n" + _LONG * 2),
+    (f"<p>{_LONG}<svg class='i' /> more</p><math/><p>{_LONG}</p>", f"{_LONG} more\n\n{_LONG}"),
+    (f"<iframe src=x><noscript><template><p>{_LONG}</p><iframe><p>{_LONG}</p>", f"{_LONG}\n\n{_LONG}")])
+def test_marks_and_unclosed_elements_keep_the_article(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_dense_part_wins_over_links():
     links = "".join(f"<p><a href=/{i}>link {i} to another page</a></p>" for i in range(40))
     text = "A long paragraph of an article that has many words and no links in it at all. " * 5
