@@ -4,7 +4,8 @@ Every element of the page's tree has a density: its characters per tag, lowered
 where many of them stand in links. An element's density sum is the sum over its
 children; the element with the largest sum holds the article. The least density
 on the path from there up to the body is the threshold: below every element that
-reaches it, the subtree with the largest sum is text as well.
+reaches it, the subtree with the largest sum is text as well. So is, on the way
+up to the article, main or body, all that stands beside it and is not mostly links.
 """
 
 import html
@@ -181,9 +182,48 @@ def densities(page):
             density[i] = c / t * max(0.0, math.log(c / lc * t / lt)) / base
         if i:
             total[page.parent[i]] += density[i]
+    page.chars, page.links = chars, links
     return body, density, total
 
 
+def _mostly_links(chars, links):
+    return 2 * links > chars
+
+
+def surroundings(page, top, body):
+    """(nodes that are text with all below them, nodes whose own pieces are) of what stands around node ``top``.
+
+    The outermost article or main around it is text as a whole, unless it is
+    mostly links, and ends the way up. In other containers, which may be the
+    body, blocks are judged one by one, and running text together with its
+    inline elements.
+    """
+    path = [top]
+    while path[-1] != body:
+        path.append(page.parent[path[-1]])
+    named = [k for k, i in enumerate(path) if page.tag[i] in ("article", "main")]
+    path = path[:named[-1] + 1] if named else path
+    below = {i: [] for i in path}
+    for i in range(body + 1, len(page.tag)):
+        if page.parent[i] in below and not page.noise[i]:
+            below[page.parent[i]].append(i)
+    whole, own = [], []
+    for inner, i in zip(path, path[1:]):
+        if _mostly_links(page.chars[i], page.links[i]):
+            continue
+        if page.tag[i] in ("article", "main"):
+            whole.append(i)
+            continue
+        blocks = [j for j in below[i] if page.tag[j] in BLOCK or j == inner]
+        inline = [j for j in below[i] if page.tag[j] not in BLOCK and j != inner]
+        whole += [j for j in blocks if j != inner and not _mostly_links(page.chars[j], page.links[j])]
+        if not _mostly_links(page.chars[i] - sum(page.chars[j] for j in blocks),
+                             page.links[i] - sum(page.links[j] for j in blocks)):
+            whole += inline
+            own.append(i)
+    return whole, own
+
+
 def main_text(source):
     """The article of one page; empty for a null, empty or textless page."""
     if not source:
@@ -208,9 +248,14 @@ def main_text(source):
     for i in range(body, n):
         if density[i] >= threshold and density[i] > 0:
             chosen[best[i]] = True
+    whole, own = surroundings(page, top, body)
+    for i in whole:
+        chosen[i] = True
     kept = [False] * n
     for i in range(n):
         kept[i] = not page.noise[i] and (chosen[i] or i > 0 and kept[page.parent[i]])
+    for i in own:
+        kept[i] = not page.noise[i]
     blocks, block = [], []
     for node, raw in [*page.pieces, (-1, "")]:
         if node >= 0:

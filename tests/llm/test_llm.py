@@ -195,6 +195,24 @@ def test_dense_part_wins_over_links():
     assert html_text.main_text(page) == "\n\n".join([text.strip()] * 3)
 
 
+_LINKS = "<div>" + "<p><a href=x>another page</a></p>" * 3 + "</div>"
+
+
+@pytest.mark.parametrize("page,n", [
+    ("<article><h1>T</h1><section>{a}</section><section>{b}</section></article>", 16),
+    ("<div><p>lead</p><div>{a}</div></div><p>end</p>", 12),
+    ("<h1>T</h1>{links}<div><div>{a}</div></div>", 11),
+    ("{links}<main><h1>T</h1><article>{a}</article><p>b</p></main><div>no</div>", 12),
+    ("<article><p>b</p><blockquote>{a}</blockquote><p>c</p></article>", 12),
+    ("<div><p>b</p>see <a href=x>it</a> there<blockquote>{a}</blockquote><p>c</p></div>", 13)])
+def test_parts_around_the_densest_are_kept(page, n):
+    page = page.format(a="<p>" + "long word " * 30 + "</p>" + ("<p>" + "long word " * 30 + "</p>") * 9,
+                       b=("<p>" + "some word " * 10 + "</p>") * 5, links=_LINKS)
+    text = html_text.main_text(f"<body>{page}</body>")
+    assert html_text.main_text(page) == text
+    assert len(text.split("\n\n")) == n and "another" not in text and ("see" in text) == ("see it there" in text)
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20000 + "deep" + "</div>" * 20000) == "deep"
     assert len(html_text.main_text("<p>word " * 50000)) == 50000 * 6 - 2
