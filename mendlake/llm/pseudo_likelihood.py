@@ -4,10 +4,12 @@ The vocabulary holds the corpus's commonest words, from counts over all texts.
 A small network predicts a word from the two words on either side. It is trained
 on every text: in each round, all partitions train on masked positions of their
 own rows from the same weights, which are then averaged. A text's score is the
-sum of the log-probabilities of all its words, each given both its sides.
+sum of the log-probabilities of all its words, each given both its sides. Words
+outside the vocabulary are predicted by length; each then has its own share of
+its length, from the counts of all words.
 """
 
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ RATE = 0.1
 FAN_IN = 32
 #: Positions that are scored at a time.
 CHUNK = 50_000
+#: Places of words outside the vocabulary that a task gathers before it passes them on.
+GATHERED = 500_000
 
 
 def words_of(text):
@@ -43,8 +47,11 @@ class Coder:
     def __init__(self, words):
         self.ids = {w: UNKNOWN + 1 + i for i, w in enumerate(words)}
 
-    def encode(self, texts):
-        """(ids with two edges around every text, positions of words, number of words per text)."""
+    def encode(self, texts, outside=None):
+        """(ids with two edges around every text, positions of words, number of words per text).
+
+        ``outside`` is a list that gets each text's words outside the vocabulary.
+        """
         get, edge = self.ids.get, [0, 0]
         ids, lengths = list(edge), []
         for t in texts:
@@ -52,6 +59,8 @@ class Coder:
             lengths.append(len(words))
             ids += [get(w) or min(len(w), UNKNOWN) for w in words]
             ids += edge
+            if outside is not None:
+                outside.append([w for w in words if w not in self.ids])
         lengths = np.array(lengths, np.int64)
         ids = np.array(ids, np.int32)
         starts = 2 + np.cumsum(lengths + 2) - (lengths + 2)
@@ -196,7 +205,7 @@ _MODEL = "part long, n long, weights binary"
 
 
 def train(docs, rounds=ROUNDS, masked=MASKED, mini_batch=MINI_BATCH):
-    """(words of the vocabulary, network) from all rows of ``docs(text)``.
+    """(words of the vocabulary, network, table of the other words' counts) from all rows of ``docs(text)``.
 
     In each round one position in ``masked`` of every text is predicted. The
     driver gets the vocabulary and, per round, one averaged model: models are
@@ -211,6 +220,7 @@ def train(docs, rounds=ROUNDS, masked=MASKED, mini_batch=MINI_BATCH):
     by_id = np.zeros(VOCABULARY)
     by_id[UNKNOWN + 1:UNKNOWN + 1 + len(top)] = [r["n"] for r in top]
     cut = top[-1] if len(top) == VOCABULARY - UNKNOWN - 1 else None
+    rest = counts.filter("false")
     if cut:
         rest = counts.filter((F.col("n") < cut["n"]) | (F.col("n") == cut["n"]) & (F.col("word") > F.lit(bytes(cut["word"]))))
         for r in rest.groupBy(F.least(F.length("word"), F.lit(UNKNOWN)).alias("k")).agg(F.sum("n").alias("n")).collect():
@@ -241,31 +251,79 @@ def train(docs, rounds=ROUNDS, masked=MASKED, mini_batch=MINI_BATCH):
         if n:
             flat = sum(np.frombuffer(bytes(r["weights"]), "<f4").astype(float) * r["n"] for r in final) / n
             net = _shaped(flat.astype(np.float32), net)
-    return words, net
+    return words, net, rest
+
+
+def _length_class():
+    return F.least(F.length("word"), F.lit(UNKNOWN))
+
+
+def _own_shares(found, rest):
+    """(``row``, ``own``): the summed log shares of a row's outside words in all words of their lengths.
+
+    A word that the counts don't have stands for all such words of its length, as if seen once more.
+    """
+    totals = dict.fromkeys(range(UNKNOWN + 1), 0)
+    totals |= {r["k"]: r["n"] for r in rest.groupBy(_length_class().alias("k")).agg(F.sum("n").alias("n")).collect()}
+    total = F.element_at(F.array(*(F.lit(float(totals[k])) for k in range(UNKNOWN + 1))), _length_class() + 1)
+    share = F.when(F.col("n").isNull(), -F.log(total + 1)).otherwise(F.log(F.col("n") / total))
+    joined = found.join(rest, "word", "left").select(share.alias("own"), "row", F.explode("places").alias("place"))
+    return joined.groupBy((F.col("row") + F.col("place")).alias("row")).agg(F.sum("own").alias("own"))
 
 
-def score(docs, words, net, keys=("doc_id",)):
+def score(docs, words, net, rest, keys=("doc_id",)):
     """The keys with ``n_tokens``, ``log_prob`` (natural, summed over the words) and ``mean_log_prob``.
 
     A null text and a text without words have no tokens, a sum of 0 and no mean.
     """
     shared = docs.sparkSession.sparkContext.broadcast((words, net))
-    schema = T.StructType([*docs.select(*keys).schema.fields, T.StructField("n_tokens", T.LongType()),
-                           T.StructField("log_prob", T.DoubleType())])
+    named = [T.StructField(f"_{i}", docs.schema[k].dataType) for i, k in enumerate(keys)]
+    # A row of a text has its keys and sums; a row of a word has its places, counted from ``row``.
+    schema = T.StructType([*named, T.StructField("row", T.LongType()), T.StructField("n_tokens", T.LongType()),
+                           T.StructField("log_prob", T.DoubleType()), T.StructField("word", T.BinaryType()),
+                           T.StructField("places", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         words, net = shared.value
-        coder = Coder(words)
+        coder, names = Coder(words), schema.names
+        row = first = TaskContext.get().partitionId() << 33
+        found, n_found = defaultdict(list), 0
+
+        def gathered():
+            n = len(found)
+            return pa.RecordBatch.from_arrays(
+                [*(pa.nulls(n, t) for t in types), pa.array(np.full(n, first)), pa.nulls(n, pa.int64()),
+                 pa.nulls(n, pa.float64()), pa.array(list(found), pa.binary()),
+                 pa.array(list(found.values()), pa.list_(pa.int32()))], names=names)
+
         for batch in batches:
+            types = [batch.column(k).type for k in keys]
             for part in parts_of(batch):
-                ids, at, lengths = coder.encode(texts_in(part))
+                outside, n = [], part.num_rows
+                ids, at, lengths = coder.encode(texts_in(part), outside)
                 total = np.concatenate([[0.0], np.cumsum(log_probabilities(net, ids, at))])
                 ends = np.cumsum(lengths)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k) for k in keys), pa.array(lengths), pa.array(total[ends] - total[ends - lengths])],
-                    names=schema.names)
-
-    scored = docs.select(*keys, "text").mapInArrow(run, schema)
+                    [*(part.column(k) for k in keys), pa.array(np.arange(row, row + n)), pa.array(lengths),
+                     pa.array(total[ends] - total[ends - lengths]), pa.nulls(n, pa.binary()),
+                     pa.nulls(n, pa.list_(pa.int32()))], names=names)
+                for place, others in enumerate(outside, row - first):
+                    n_found += len(others)
+                    for w in others:
+                        found[w].append(place)
+                row += n
+                if n_found > GATHERED:
+                    yield gathered()
+                    first, n_found = row, 0
+                    found.clear()
+        if found:
+            yield gathered()
+
+    both = settle(docs.select(*keys, "text").mapInArrow(run, schema), "scores")
+    own = _own_shares(both.filter("word IS NOT NULL").select("word", "row", "places"), rest)
+    scored = both.filter("word IS NULL").join(own, "row", "left").select(
+        *(F.col(f.name).alias(k) for f, k in zip(named, keys)), "n_tokens",
+        (F.col("log_prob") + F.coalesce("own", F.lit(0.0))).alias("log_prob"))
     return scored.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
 
 

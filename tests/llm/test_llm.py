@@ -336,6 +336,23 @@ def test_pseudo_likelihood(spark):
     assert all(got[i]["mean_log_prob"] > got[100 + i]["mean_log_prob"] for i, _ in held_out)
 
 
+@pytest.mark.parametrize("gathered", [500_000, 1])
+def test_words_outside_the_vocabulary_have_their_own_share(spark, monkeypatch, gathered):
+    monkeypatch.setattr(pseudo_likelihood, "GATHERED", gathered)
+    known = " ".join(f"word{i:05}" for i in range(pseudo_likelihood.VOCABULARY - pseudo_likelihood.UNKNOWN - 1))
+    rows = [(0, " ".join([known] * 9)), (1, "often " * 6 + "seven"), (2, "often"), (3, "seven"), (4, "seven often seven")]
+    docs = spark.createDataFrame(rows[:2], "doc_id long, text string")
+    words, net, rest = pseudo_likelihood.train(docs, rounds=0)
+    assert {bytes(r["word"]): r["n"] for r in rest.collect()} == {b"often": 6, b"seven": 1}
+    asked = spark.createDataFrame([*rows[1:], (5, "never"), (6, "word00001")], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["log_prob"] for r in pseudo_likelihood.score(asked, words, net, rest).collect()}
+    plain = {i: pseudo_likelihood.log_probabilities(net, *pseudo_likelihood.Coder(words).encode([t])[:2]).sum()
+             for i, t in [*rows[1:], (5, "never"), (6, "word00001")]}
+    often, seven = np.log(6 / 7), np.log(1 / 7)
+    own = {1: 6 * often + seven, 2: often, 3: seven, 4: often + 2 * seven, 5: -np.log(8), 6: 0}
+    assert got == pytest.approx({i: plain[i] + own[i] for i in own})
+
+
 def test_probabilities_sum_to_one():
     net = pseudo_likelihood.new_network(np.arange(pseudo_likelihood.VOCABULARY, dtype=float))
     ids = np.zeros(5, np.int32)
