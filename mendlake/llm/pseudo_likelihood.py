@@ -25,7 +25,7 @@ VOCABULARY = CLASSES * CLASS_SIZE
 CONTEXT = (-2, -1, 1, 2)
 HIDDEN = 16
 ROUNDS = 2
-#: One position in so many is masked in a round.
+#: Positions are dealt to so many disjoint masks; each round takes its part of the masks, all rounds together all.
 MASKED = 8
 MINI_BATCH = 1024
 RATE = 0.1
@@ -173,6 +173,13 @@ def _shaped(flat, like):
     return out
 
 
+def masks_of(ids, at, lengths, masked):
+    """Positions in ``masked`` groups. A position's group depends on its text alone, so every round deals alike."""
+    place = np.arange(len(at)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    group = (place * 2654435761 + ids[at] * np.int64(40503) + np.repeat(lengths, lengths) * 2246822519) % 2**32 * masked >> 32
+    return [at[group == g] for g in range(masked)]
+
+
 def word_counts(docs):
     """(``word``, ``n``) over all texts; a task adds up what it reads before it passes it on."""
     def run(batches):
@@ -207,8 +214,8 @@ _MODEL = "part long, n long, weights binary"
 def train(docs, rounds=ROUNDS, masked=MASKED, mini_batch=MINI_BATCH):
     """(words of the vocabulary, network, table of the other words' counts) from all rows of ``docs(text)``.
 
-    In each round one position in ``masked`` of every text is predicted. The
-    driver gets the vocabulary and, per round, one averaged model: models are
+    All positions of every text are predicted, in ``masked`` disjoint masks of
+    which each round takes every ``rounds``-th. The driver gets the vocabulary and, per round, one averaged model: models are
     averaged ``FAN_IN`` at a time, in three steps, so that 32**3 partitions
     leave one and more leave one for each so many. A corpus without words gives
     the untrained network.
@@ -234,10 +241,9 @@ def train(docs, rounds=ROUNDS, masked=MASKED, mini_batch=MINI_BATCH):
             coder, trainer = Coder(words), Trainer(start, mini_batch)
             for batch in batches:
                 for part in parts_of(batch):
-                    ids, at, _ = coder.encode(texts_in(part))
-                    # Positions of a text by its place and words, so each round masks others.
-                    mask = (at * 2654435761 + ids[at] * 40503 + turn * (2**32 // rounds)) % 2**32 < 2**32 // masked
-                    trainer.train(ids, at[mask])
+                    ids, at, lengths = coder.encode(texts_in(part))
+                    for mask in masks_of(ids, at, lengths, masked)[turn % masked::rounds]:
+                        trainer.train(ids, mask)
             if trainer.seen:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([trainer.seen], pa.int64()),

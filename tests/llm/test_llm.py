@@ -336,6 +336,18 @@ def test_pseudo_likelihood(spark):
     assert all(got[i]["mean_log_prob"] > got[100 + i]["mean_log_prob"] for i, _ in held_out)
 
 
+def test_every_position_is_a_target_and_production_parameters_learn(spark):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{(s + i) % 30}" for i in range(60)) for s in rng.integers(0, 30, 4000)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    ids, at, lengths = pseudo_likelihood.Coder([]).encode(texts[:50])
+    groups = pseudo_likelihood.masks_of(ids, at, lengths, pseudo_likelihood.MASKED)
+    assert sorted(np.concatenate(groups)) == sorted(at) and min(map(len, groups)) > 0
+    model = pseudo_likelihood.train(docs)
+    got = pseudo_likelihood.score(docs.limit(20).selectExpr("1 AS doc_id", "text"), *model).collect()
+    assert np.mean([r["mean_log_prob"] for r in got]) > -np.log(30) / 2
+
+
 @pytest.mark.parametrize("gathered", [500_000, 1])
 def test_words_outside_the_vocabulary_have_their_own_share(spark, monkeypatch, gathered):
     monkeypatch.setattr(pseudo_likelihood, "GATHERED", gathered)
