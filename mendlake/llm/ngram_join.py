@@ -29,7 +29,8 @@ PERCENT = 85
 #: Sets of a coarse component that meet in one task; larger components are dealt out in pairs of blocks.
 BLOCK_SETS = 2000
 
-_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
+                 0x27D4EB2F165667C5], np.uint64)
 
 
 class WordHashes(dict):
