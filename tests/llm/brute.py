@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -155,3 +156,66 @@ def targets(sizes):
         if not over:
             return {s: 3.0 * sizes[s] if s in full else weight[s] * share for s in order}
         full |= over
+
+
+def with_planted_runs(rows):
+    """{(doc_id, text): words}; every tenth text, by checksum of its id, repeats a stretch of its words."""
+    out = {}
+    for i, text in rows:
+        w, h = words(text), zlib.crc32(str(i).encode()) if i is not None else 1
+        g = h // 10
+        if h % 10 == 0 and w:
+            a = g % len(w)
+            p = 1 + (len(w) - a) // (3 + g % 8)
+            w = [w[k] if k < a else w[a + (k - a) % p] for k in range(len(w))]
+        out[i, text] = w
+    return out
+
+
+def runs(w, shortest=12):
+    """Sorted (start, period, length) of all runs of a list, by comparing it with itself at every distance."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        j = 0
+        while j + q < len(w):
+            s = j
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j - s + q >= max(shortest, 2 * q):
+                found.setdefault((s, j - s + q), q)
+            j += 1
+    return sorted((s, q, n) for (s, n), q in found.items())
+
+
+def run_row(w):
+    """n_runs, start, length, period, exponent_milli, runs_sha256 and collapsed_sha256 of a list of words."""
+    found, gone = runs(w), set()
+    for s, q, n in found:
+        gone |= set(range(s + q, s + n))
+    best = min(((-n, s, q) for s, q, n in found), default=None)
+    listed = "".join(f"{s},{n},{q}\n" for s, q, n in found)
+    left = " ".join(x for k, x in enumerate(w) if k not in gone)
+    top = (None,) * 4 if best is None else (best[1], -best[0], best[2], 1000 * -best[0] // best[2])
+    return (len(found), *top, *(hashlib.sha256(x.encode()).hexdigest() for x in (listed, left)))
+
+
+def clusters(rows, k=8, rounds=10):
+    """Sorted (vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256) of integer vectors."""
+    if not rows:
+        return []
+    order = sorted(rows, key=lambda r: (r[0] is None, hashlib.sha256(f"3:{r[0]}".encode()).hexdigest(), r[1]))
+    points = [list(v) for _, v in order[:k]]
+
+    def assign():
+        return [min((sum((a - b) ** 2 for a, b in zip(v, p)), c) for c, p in enumerate(points)) for _, v in rows]
+
+    for _ in range(rounds):
+        near = [c for _, c in assign()]
+        for c in set(near):
+            own = [v for (_, v), x in zip(rows, near) if x == c]
+            points[c] = [sum(x) // len(own) for x in zip(*own)]
+    near, sums = assign(), Counter()
+    for d, c in near:
+        sums[c] += d
+    digest = [hashlib.sha256(",".join(map(str, p)).encode()).hexdigest() for p in points]
+    return sorted(((i, c, d, sums[c], sum(sums.values()), digest[c]) for (i, _), (d, c) in zip(rows, near)), key=repr)
