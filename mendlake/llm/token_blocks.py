@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mendlake.llm import bpe
-from mendlake.llm.common import parts_of, settle, table, texts_in
+from mendlake.llm.common import parts_of, table, texts_in
 from mendlake.session import shared_dir
 
 #: Ids after which a block ends; a longer document has a block of its own.
@@ -160,8 +160,6 @@ class UnitCoder:
     # White space beyond ASCII, and characters of which libraries differ.
     _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
     _BESIDE = [p for c in "\t\n\x0b\x0c\r" for p in (c + " ", " " + c)] + ["  "]
-    #: Words whose characters the vocabulary writes as they are, but for the space.
-    _PLAIN = re.compile(" ?[!-~]+")
 
     def __init__(self, definition):
         self.words = bpe.WordTable(definition)
@@ -172,6 +170,7 @@ class UnitCoder:
         self.width = 2 if size <= 1 << 16 else 4
         self.packed = [i.to_bytes(self.width, "little") for i in range(size)]
         self.letters = {b: c for c, b in bpe.byte_alphabet().items()}
+        self.blank = self.letters[32]
         self.coded, self.units = Remembered(self._word), Remembered(self._unit)
 
     def _regular(self, text):
@@ -182,20 +181,19 @@ class UnitCoder:
     def _word(self, word):
         if word in self.special:
             return self.packed[self.special[word]]
-        if self._PLAIN.fullmatch(word):
-            shown = word.replace(" ", self.letters[32])
+        if word.isascii() and word.isprintable():  # as the vocabulary writes them, but for the space
+            shown = word.replace(" ", self.blank)
         else:
             shown = word.encode().decode("latin-1").translate(self.letters)
         packed = self.packed
         return b"".join([packed[t.id] for t in self.model.tokenize(shown)])
 
     def _unit(self, unit):
-        if unit.isascii():
-            if unit.isalpha():
-                return self.coded[" " + unit]
-            words = self.words.ascii.findall(" " + unit)
-        else:
-            words = self.words.split(" " + unit)
+        if unit.isalpha():  # one word, and hardly ever one that other units have
+            return self._word(" " + unit)
+        if unit[:-1].isalpha() and unit[-1] in ",.;:!?":
+            return self.units[unit[:-1]] + self.coded[unit[-1]]
+        words = self.words.ascii.findall(" " + unit) if unit.isascii() else self.words.split(" " + unit)
         return b"".join([self.coded[w] for w in words])
 
     def encode(self, texts):
@@ -248,6 +246,12 @@ def id_width(definition):
 BLOCKS = "part int, block int, before long, n_docs long, n_ids long, least_id long, greatest_id long, data binary"
 
 
+def _in_order(df):
+    """Rows in ascending order of doc_id, dealt by ranges of it; null ids first, rows of one id as they were read."""
+    rows = df.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("_turn", F.monotonically_increasing_id())
+    return rows.repartitionByRange("doc_id", "_turn").sortWithinPartitions("doc_id", "_turn").drop("_turn")
+
+
 def write_blocks(encoded, path, width, block_ids=BLOCK_IDS):
     """Writes ``encoded(doc_id, ids)`` as blocks in ascending order of doc_id, null ids first.
 
@@ -256,6 +260,10 @@ def write_blocks(encoded, path, width, block_ids=BLOCK_IDS):
     makes no blocks. A task holds one block, so its memory is that of
     ``block_ids`` ids or of the longest document.
     """
+    _write_ordered(_in_order(encoded.select("doc_id", "ids")), path, width, block_ids)
+
+
+def _write_ordered(ordered, path, width, block_ids):
     def flush(part, block, before, docs, parts):
         n, known = sum(map(len, parts)) // width, [d for d in docs if d is not None]
         row = {"part": part, "block": block, "before": before, "n_docs": len(docs), "n_ids": n,
@@ -277,9 +285,7 @@ def write_blocks(encoded, path, width, block_ids=BLOCK_IDS):
         if docs:
             yield flush(part, block, before, docs, parts)
 
-    rows = encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids", F.monotonically_increasing_id().alias("_turn"))
-    ordered = rows.repartitionByRange("doc_id", "_turn").sortWithinPartitions("doc_id", "_turn")
-    ordered.select("doc_id", "ids").mapInArrow(run, BLOCKS).write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(run, BLOCKS).write.option("compression", "none").parquet(path)
 
 
 def read_blocks(spark, path):
@@ -351,8 +357,8 @@ def write_documents(docs, path, definition, end_id=0, block_ids=BLOCK_IDS):
     often; other columns are left aside whatever their names; an empty table
     makes no blocks.
     """
-    encoded = settle(encode(docs, definition, end_id=end_id), "encoded")
-    write_blocks(encoded, path, id_width(definition), block_ids)
+    ordered = _in_order(docs.select("doc_id", "text"))
+    _write_ordered(encode(ordered, definition, end_id=end_id), path, id_width(definition), block_ids)
 
 
 def op12_token_blocks(spark, sf_dir, path=None):
