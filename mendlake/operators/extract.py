@@ -14,6 +14,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mendlake.functions import text as X
+from mendlake.session import settle
+from mendlake.sources.blobs import BlobStore, blob_id
 
 # The start of history when a rule names none.
 DEFAULT_START = "2020-01-01 00:00:00"
@@ -141,7 +143,7 @@ def header_impl_pairs(files, tree, keys=("repo_url", "sha")):
 
     The counterpart has the same stem and the other role. One in the same
     directory wins, in extension order; else the first in tree order; else none.
-    The tree is read once: rows of wanted stems only, reduced to one per stem,
+    The tree is read once: rows of wanted commits only, reduced to one per stem,
     role and directory, and these again to one per stem and role, so the joins
     never form pairs within a group.
     """
@@ -156,7 +158,8 @@ def header_impl_pairs(files, tree, keys=("repo_url", "sha")):
         X.dir_name("path").alias("_dir"),
         is_header.alias("_header"),
     )
-    sources = sources.join(files.select(*keys, "stem").distinct(), [*keys, "stem"], "left_semi")
+    # Trees of commits that nobody asks about go before anything is grouped.
+    sources = sources.join(files.select(*keys).distinct(), list(keys), "left_semi")
     per_dir = sources.groupBy(*keys, "stem", "_header", "_dir").agg(
         F.min(F.struct("_rank", "_path"))["_path"].alias("_sibling"),
         F.min(F.struct("ordinal", "_path")).alias("_first"),
@@ -175,6 +178,29 @@ def header_impl_pairs(files, tree, keys=("repo_url", "sha")):
     )
 
 
+ROLES = (
+    ("header_before", "parent_sha", "header_path"),
+    ("header_after", "sha", "header_path"),
+    ("impl_before", "parent_sha", "impl_path"),
+    ("impl_after", "sha", "impl_path"),
+)
+IDENTITY = ("repo_url", "sha", "stem")
+
+#: Lookups of one content that a task answers; those of a content asked for more often are dealt out.
+HOT_LOOKUPS = 10_000
+
+
+def _asked(pairs):
+    """The up to four lookups of a pair as rows: its columns, ``_role``, ``_sha`` and ``_path``."""
+    lookups = F.array(*[
+        F.struct(F.lit(role).alias("role"), F.col(sha).alias("at_sha"), F.col(path).alias("at_path"))
+        for role, sha, path in ROLES
+    ])
+    asked = pairs.withColumn("_ask", F.explode(F.filter(lookups, lambda x: x["at_path"].isNotNull())))
+    return asked.select(
+        *pairs.columns, F.col("_ask.role").alias("_role"), F.col("_ask.at_sha").alias("_sha"), F.col("_ask.at_path").alias("_path"))
+
+
 def attach_contents(pairs, blobs):
     """Adds the four contents, ``""`` for a file that does not exist at that commit.
 
@@ -182,44 +208,68 @@ def attach_contents(pairs, blobs):
     The up to four lookups of a pair become rows of one join. The keys that are
     asked for meet ``blobs`` first: while Spark can broadcast them, texts travel
     only for files that are asked for, and beyond that both joins share one
-    shuffle of ``blobs``. Blobs kept bucketed by (repo_url, sha, path) need none.
+    shuffle of ``blobs``. A ``BlobStore`` needs none, see ``attach_changed_contents``.
     """
-    roles = [
-        ("header_before", "parent_sha", "header_path"),
-        ("header_after", "sha", "header_path"),
-        ("impl_before", "parent_sha", "impl_path"),
-        ("impl_after", "sha", "impl_path"),
-    ]
-    lookups = F.array(*[
-        F.struct(F.lit(role).alias("role"), F.col(sha).alias("at_sha"), F.col(path).alias("at_path"))
-        for role, sha, path in roles
-    ])
-    asked = (
-        pairs.withColumn("_ask", F.explode(F.filter(lookups, lambda x: x["at_path"].isNotNull())))
-        .select(
-            *pairs.columns,
-            F.col("_ask.role").alias("_role"),
-            F.col("_ask.at_sha").alias("_sha"),
-            F.col("_ask.at_path").alias("_path"),
-        )
-    )
     found = blobs.select(
         "repo_url", F.col("sha").alias("_sha"), F.col("path").alias("_path"), "content"
     )
-    key = ["repo_url", "_sha", "_path"]
+    asked, key = _asked(pairs), ["repo_url", "_sha", "_path"]
     found = found.join(asked.select(*key).distinct(), key, "left_semi")
-    answered = asked.join(found, ["repo_url", "_sha", "_path"], "left")
-    identity = ("repo_url", "sha", "stem")
-    carried = [c for c in pairs.columns if c not in identity]
-    contents = [F.max(F.when(F.col("_role") == role, F.col("content"))).alias(role) for role, _, _ in roles]
+    answered = asked.join(found, key, "left")
+    carried = [c for c in pairs.columns if c not in IDENTITY]
+    contents = [F.max(F.when(F.col("_role") == role, F.col("content"))).alias(role) for role, _, _ in ROLES]
     # The rows of a pair come from different tasks: combining them before the
     # shuffle would sort all texts for nothing.
-    gathered = answered.repartition(*identity).groupBy(*identity).agg(F.min(F.struct(*carried)).alias("_pair"), *contents)
+    gathered = answered.repartition(*IDENTITY).groupBy(*IDENTITY).agg(F.min(F.struct(*carried)).alias("_pair"), *contents)
     return gathered.select(
-        *identity, "_pair.*", *[F.coalesce(role, F.lit("")).alias(role) for role, _, _ in roles]
+        *IDENTITY, "_pair.*", *[F.coalesce(role, F.lit("")).alias(role) for role, _, _ in ROLES]
     )
 
 
+def attach_identities(pairs, keys):
+    """Adds the ``blob_id`` of each role under the role's name, null for a missing or empty file. No text is read."""
+    known = keys.select("repo_url", F.col("sha").alias("_sha"), F.col("path").alias("_path"), "blob_id")
+    answered = _asked(pairs).join(known, ["repo_url", "_sha", "_path"], "left")
+    carried = [c for c in pairs.columns if c not in IDENTITY]
+    filled = F.when(F.col("blob_id") != blob_id(F.lit("")), F.col("blob_id"))
+    ids = [F.max(F.when(F.col("_role") == role, filled)).alias(role) for role, _, _ in ROLES]
+    gathered = answered.groupBy(*IDENTITY).agg(F.min(F.struct(*carried)).alias("_pair"), *ids)
+    return gathered.select(*IDENTITY, "_pair.*", *[role for role, _, _ in ROLES])
+
+
+def attach_changed_contents(pairs, store):
+    """As ``attach_contents``, but only pairs whose contents differ and exist afterwards, from a ``BlobStore``.
+
+    Identities decide first: pairs with the same contents on both sides, or none
+    afterwards, go before any text is read, and pairs with the same four contents
+    are looked up once. Lookups travel to the buckets of ``contents``; a content
+    that very many ask for is copied for groups of them, so no task answers more
+    than about ``HOT_LOOKUPS`` rows of it. A text moves once, to its pair.
+    """
+    roles = [role for role, _, _ in ROLES]
+    ids = attach_identities(pairs, store.keys).filter(
+        "(header_after IS NOT NULL OR impl_after IS NOT NULL)"
+        " AND NOT (header_before <=> header_after AND impl_before <=> impl_after)")
+    # Of a fixed length each, so the text of the four is unique.
+    fours = F.sha2(F.concat(*[F.coalesce(r, F.lit(b"\0" * 32)) for r in roles]), 256)
+    # Read for the lookups and for the pairs; narrow, and cheaper than computing the pairs again.
+    ids = settle(ids.withColumn("_four", fours), "identities")
+    each = F.array(*[F.struct(F.lit(r).alias("_role"), F.col(r).alias("blob_id")) for r in roles])
+    wanted = ids.select("_four", *roles).dropDuplicates(["_four"]).select("_four", F.inline(each)).filter("blob_id IS NOT NULL")
+    groups = F.ceil(F.count(F.lit(1)) / F.lit(HOT_LOOKUPS)).cast("int")
+    hot = wanted.groupBy("blob_id").agg(groups.alias("_groups")).filter("_groups > 1")
+    dealt = wanted.join(hot, "blob_id", "left")
+    plain = dealt.filter("_groups IS NULL").drop("_groups").join(store.contents, "blob_id")
+    copies = store.contents.join(hot, "blob_id").select(
+        "blob_id", "content", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("_group"))
+    often = dealt.filter("_groups IS NOT NULL").withColumn("_group", F.pmod(F.xxhash64("_four"), "_groups").cast("int"))
+    often = often.join(copies, ["blob_id", "_group"]).select("blob_id", "_four", "_role", "content")
+    found = plain.select("blob_id", "_four", "_role", "content").union(often)
+    contents = [F.max(F.when(F.col("_role") == role, F.col("content"))).alias(role) for role in roles]
+    texts = found.repartition("_four").groupBy("_four").agg(*contents)
+    return ids.drop(*roles).join(texts, "_four").drop("_four").withColumns({r: F.coalesce(r, F.lit("")) for r in roles})
+
+
 def changed_code(contents):
     """Before and after code of each pair; pairs without code or without change go."""
     return (
@@ -232,7 +282,10 @@ def changed_code(contents):
 
 
 def candidates(commits, commit_files, repo_tree, blobs, rules, now=None, tree_keys=("repo_url", "sha")):
-    """Candidate pairs of all repositories, with the keys that later steps use."""
+    """Candidate pairs of all repositories, with the keys that later steps use.
+
+    ``blobs`` is a table of contents by key, or a ``BlobStore``.
+    """
     # Files are reduced per stem before they meet their commit: a commit with very
     # many files then comes into one join partition only, which can be split.
     files = (
@@ -240,7 +293,8 @@ def candidates(commits, commit_files, repo_tree, blobs, rules, now=None, tree_ke
         .join(fix_commits(commits, rules, now), ["repo_url", "sha"])
         .drop("ordinal", "status")
     )
-    code = changed_code(attach_contents(header_impl_pairs(files, repo_tree, tree_keys), blobs))
+    attach = attach_changed_contents if isinstance(blobs, BlobStore) else attach_contents
+    code = changed_code(attach(header_impl_pairs(files, repo_tree, tree_keys), blobs))
     return code.select(
         "code_original", "code_fixed",
         F.col("rule_url").alias("repo_url"), "sha",

@@ -268,17 +268,19 @@ def latest_settings(updates):
     )
 
 
-def update_entries(store, updates):
+def update_entries(store, updates, holders=None):
     """New snapshot after setting fields by entry id; other entries stay as they are.
 
     Adds ``matched``, ``modified`` and ``refused``: an update that changes nothing
     matches its entry without modifying it. Where a path is unknown, a value is
     of the wrong form, a field that must be there would become null, or a new
     content hash is taken, the entry stays as it is and ``refused`` lists the
-    paths. Of several entries that get one hash, none does.
+    paths. Of several entries that get one hash, none does. ``holders`` (entry_id,
+    code_hash) has all entries whose hashes are taken, where ``store`` is a part.
     """
     settings = latest_settings(updates)
-    joined = store.join(settings, "entry_id", "left").join(_taken_hashes(store, settings), "entry_id", "left")
+    taken = _taken_hashes(store if holders is None else holders, settings)
+    joined = store.join(settings, "entry_id", "left").join(taken, "entry_id", "left")
     new_values, changed, wrong = {}, F.lit(False), []
     for path, kind in UPDATABLE.items():
         text = F.element_at("_set", path)

@@ -62,7 +62,7 @@ def header_impl_pairs(spark, sf_dir):
 def _candidates(spark, sf_dir):
     return extract.candidates(
         P.commits(spark, sf_dir), P.view(spark, sf_dir, "p_repo_files").drop("parent_sha"),
-        P.view(spark, sf_dir, "p_repo_tree"), P.view(spark, sf_dir, "p_blobs"),
+        P.view(spark, sf_dir, "p_repo_tree"), P.blob_store(spark, sf_dir, shared_dir(spark, "blobs")),
         P.rules(spark, sf_dir), NOW, ("repo_url",),
     )
 
@@ -105,7 +105,7 @@ def ingest_entries(spark, sf_dir):
     diagnostics = P.view(spark, sf_dir, "p_diagnostics").withColumnRenamed("pair_id", "sha")
     stored = P.view(spark, sf_dir, "p_store_hashes")
     fresh = ingest.new_entries(
-        _candidates(spark, sf_dir), diagnostics, P.taxonomy(spark, sf_dir), stored, NOW, key="sha"
+        _candidates(spark, sf_dir), diagnostics, P.taxonomy(spark, sf_dir), stored, NOW, key="sha", once=False
     )
     return fresh.select(
         "entry_id", "code_hash", "repo.url", "repo.commit_hash", X.sha256_hex("code_fixed").alias("fixed_hash"),

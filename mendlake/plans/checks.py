@@ -82,23 +82,29 @@ check("header_impl_pairs", NAMES.format(source="p_repo_files") + PAIRS.format(fi
       "SELECT sha, ordinal, header_path, impl_path FROM paired", "p_repo_files", "p_repo_tree")
 
 CANDIDATES = FIX + NAMES.format(source="(SELECT f.repo_url, f.sha, f.ordinal, f.path, f.status, c.parent_sha, c.rule_url, c.author_date FROM p_repo_files f JOIN chosen c ON c.repo_url = f.repo_url AND c.sha = f.sha)").replace("AND_WITH", ",", 1) + FIRST + PAIRS.format(files="firsts") + f""",
-contents AS (
-SELECT p.*, coalesce(hb.content, '') AS hb, coalesce(ha.content, '') AS ha, coalesce(ib.content, '') AS ib, coalesce(ia.content, '') AS ia
+known AS MATERIALIZED (SELECT b.repo_url, b.sha, b.path, b.doc, coalesce(d.text, '') <> '' AS filled FROM p_blob_docs b JOIN documents d ON d.doc_id = b.doc),
+identities AS (
+SELECT p.*, hb.doc AS hb, ib.doc AS ib, ha.doc AS ha, ia.doc AS ia
 FROM paired p
-LEFT JOIN p_blobs hb ON hb.repo_url = p.repo_url AND hb.sha = p.parent_sha AND hb.path = p.header_path
-LEFT JOIN p_blobs ha ON ha.repo_url = p.repo_url AND ha.sha = p.sha AND ha.path = p.header_path
-LEFT JOIN p_blobs ib ON ib.repo_url = p.repo_url AND ib.sha = p.parent_sha AND ib.path = p.impl_path
-LEFT JOIN p_blobs ia ON ia.repo_url = p.repo_url AND ia.sha = p.sha AND ia.path = p.impl_path),
-pairs AS (
-SELECT *, concat_ws(chr(10), nullif({strip('hb')}, ''), nullif({strip('ib')}, '')) AS code_original,
-  concat_ws(chr(10), nullif({strip('ha')}, ''), nullif({strip('ia')}, '')) AS code_fixed
-FROM contents WHERE ha <> '' OR ia <> ''),
-found AS (SELECT *, sha256(code_original) AS code_hash FROM pairs WHERE code_original <> code_fixed)
+LEFT JOIN known hb ON hb.repo_url = p.repo_url AND hb.sha = p.parent_sha AND hb.path = p.header_path
+LEFT JOIN known ha ON ha.repo_url = p.repo_url AND ha.sha = p.sha AND ha.path = p.header_path
+LEFT JOIN known ib ON ib.repo_url = p.repo_url AND ib.sha = p.parent_sha AND ib.path = p.impl_path
+LEFT JOIN known ia ON ia.repo_url = p.repo_url AND ia.sha = p.sha AND ia.path = p.impl_path
+WHERE coalesce(ha.filled, false) OR coalesce(ia.filled, false)),
+blocks AS MATERIALIZED (
+SELECT h, i, sha256(code) AS hash, length(code) AS n, row_number() OVER (ORDER BY code) AS place FROM (
+  SELECT x.h, x.i, concat_ws(chr(10), nullif({strip("coalesce(h.text, '')")}, ''), nullif({strip("coalesce(i.text, '')")}, '')) AS code
+  FROM (SELECT hb AS h, ib AS i FROM identities UNION SELECT ha, ia FROM identities) x
+  LEFT JOIN documents h ON h.doc_id = x.h LEFT JOIN documents i ON i.doc_id = x.i) y),
+found AS (
+SELECT p.repo_url, p.rule_url, p.sha, p.stem, p.author_date, o.hash AS code_hash, f.hash AS fixed_hash, o.n AS n_original, f.n AS n_fixed,
+  f.place AS fixed_place
+FROM identities p JOIN blocks o ON o.h IS NOT DISTINCT FROM p.hb AND o.i IS NOT DISTINCT FROM p.ib
+JOIN blocks f ON f.h IS NOT DISTINCT FROM p.ha AND f.i IS NOT DISTINCT FROM p.ia WHERE o.hash <> f.hash)
 """
-CANDIDATE_VIEWS = ("p_commits", "p_rules", "p_repo_files", "p_repo_tree", "p_blobs")
+CANDIDATE_VIEWS = ("p_commits", "p_rules", "p_repo_files", "p_repo_tree", "p_blob_docs")
 check("candidates", CANDIDATES + """
-SELECT rule_url AS repo_url, sha, stem AS base_name, code_hash, sha256(code_fixed) AS fixed_hash,
-  length(code_original) AS n_original, length(code_fixed) AS n_fixed FROM found
+SELECT rule_url AS repo_url, sha, stem AS base_name, code_hash, fixed_hash, n_original, n_fixed FROM found
 """, *CANDIDATE_VIEWS)
 
 check("code_hash", "SELECT doc_id, sha256(text) AS code_hash FROM documents")
@@ -198,9 +204,9 @@ SELECT f.*, l.cppcheck, l.mm FROM found f JOIN (
 """
 INGEST_VIEWS = (*CANDIDATE_VIEWS, "p_diagnostics", "p_taxonomy", "p_store_hashes")
 check("ingest_entries", INGEST + """,
-ranked AS (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER BY author_date, CAST(sha AS VARCHAR), rule_url, code_fixed) AS nth FROM labelled)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER BY author_date, CAST(sha AS VARCHAR), rule_url, fixed_place) AS nth FROM labelled)
 SELECT substring(code_hash, 1, 24) AS entry_id, code_hash, rule_url AS url, CAST(sha AS VARCHAR) AS commit_hash,
-  sha256(code_fixed) AS fixed_hash, cppcheck, mm AS memory_management
+  fixed_hash, cppcheck, mm AS memory_management
 FROM ranked WHERE nth = 1 AND code_hash NOT IN (SELECT code_hash FROM p_store_hashes)
 """, *INGEST_VIEWS)
 check("stage_counts", INGEST + """

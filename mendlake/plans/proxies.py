@@ -8,6 +8,7 @@ braces are tables or other views.
 from pyspark.sql import functions as F
 
 from mendlake.schema import GROUPS
+from mendlake.sources import blobs
 
 TABLES = ("documents", "events", "labels", "lineitem", "orders", "part")
 
@@ -78,9 +79,12 @@ SELECT DISTINCT repo_url, sha, path FROM {p_repo_files}
 UNION SELECT DISTINCT repo_url, parent_sha AS sha, path FROM {p_repo_files} WHERE parent_sha IS NOT NULL""",
 
     "p_blobs": """
-SELECT k.repo_url, k.sha, k.path, d.text AS content
-FROM (SELECT *, ((sha - sha % 3) * 7 + length(path) + ascii(substring(path, 6, 1))) % (SELECT count(*) + 7 FROM {documents}) AS doc
-  FROM {p_blob_keys}) k JOIN {documents} d ON d.doc_id = k.doc""",
+SELECT k.repo_url, k.sha, k.path, d.text AS content FROM {p_blob_docs} k JOIN {documents} d ON d.doc_id = k.doc""",
+
+    # The document that a file's content is, without the text.
+    "p_blob_docs": """
+SELECT k.repo_url, k.sha, k.path,
+  ((sha - sha % 3) * 7 + length(path) + ascii(substring(path, 6, 1))) % (SELECT count(*) + 7 FROM {documents}) AS doc FROM {p_blob_keys} k""",
 
     "p_entries": """
 SELECT d.doc_id, lpad(CAST(d.doc_id AS VARCHAR(30)), 24, '0') AS entry_id, d.text AS code_original,
@@ -195,7 +199,7 @@ def ctes(*names):
     for name in ordered:
         sql = VIEWS[name].replace("SHA256HEX", "sha256").replace("\\\\", "\\")
         sql = sql.format(**{n: n for n in (*TABLES, *VIEWS)})
-        parts.append(f"{name} AS {'MATERIALIZED ' if name == 'p_blobs' else ''}({sql.strip()})")
+        parts.append(f"{name} AS {'MATERIALIZED ' if name == 'p_blob_docs' else ''}({sql.strip()})")
     return "WITH " + ",\n".join(parts) + "\n"
 
 
@@ -217,6 +221,14 @@ def rules(spark, sf_dir):
     return view(spark, sf_dir, "p_rules").select("url", "start_date", "end_date", patterns.alias("fix_regexes"))
 
 
+def blob_store(spark, sf_dir, path):
+    """``p_blobs`` by identity in bucketed tables: documents are the contents, so no text is copied per key."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", blobs.blob_id(F.col("text")).alias("blob_id"), "text")
+    keys = view(spark, sf_dir, "p_blob_docs").join(documents.drop("text").withColumnRenamed("doc_id", "doc"), "doc").drop("doc")
+    contents = documents.select("blob_id", F.coalesce("text", F.lit("")).alias("content")).dropDuplicates(["blob_id"])
+    return blobs.write_blobs(keys, contents, path)
+
+
 def entries(spark, sf_dir):
     """``p_entries`` in stored form, with unique identifiers; hashes repeat."""
     issues = F.filter(F.array("issue_1", "issue_2", "issue_3"), lambda i: i.isNotNull())

@@ -38,6 +38,13 @@ def shared_dir(spark, name):
     return tempfile.mkdtemp(prefix=f"{name}-", dir=_local_root())
 
 
+def settle(df, name):
+    """``df`` written as a table in the shared folder and read back: it is computed once, whoever reads it and however often."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @functools.cache
 def _local_root():
     """The folder of this process for local sessions; it goes when the process ends."""

@@ -1,7 +1,6 @@
 """Readers and writers of entries: JSON documents, JSON lines, flat CSV, Parquet."""
 
 import csv
-import os
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -9,7 +8,8 @@ from pyspark.sql import types as T
 
 from mendlake.functions.text import py_lines, safe_name
 from mendlake.operators.store import one_per_hash
-from mendlake.schema import ENTRY_SCHEMA, GROUPS, QUALITY, group_flag, scheme_groups
+from mendlake.schema import GROUPS, QUALITY, group_flag, scheme_groups
+from mendlake.sources.store_files import compact_store, new_run, open_store, read_store, write_store  # noqa: F401
 
 # Code keeps its blanks, quotes and line breaks only with these options.
 CSV_WRITE = {
@@ -282,38 +282,3 @@ def readable_documents(entries):
 def write_readable_json(entries, path, mode="errorifexists"):
     """Readable documents; of several with one content hash the last replaces the others."""
     readable_documents(one_per_hash(entries, "last")).write.options(**JSON_WRITE).mode(mode).json(path)
-
-
-# --- Parquet store -----------------------------------------------------------
-
-# Every write is a part of its own: folders run=<who wrote>/batch_id=<number>.
-STORE_SCHEMA = T.StructType(ENTRY_SCHEMA.fields + [
-    T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())
-])
-
-
-def new_run(kind):
-    """A name that no other run has."""
-    return f"{kind}-{os.urandom(16).hex()}"
-
-
-def open_store(spark, path):
-    """The entries of a store with the part they are in; the store is made when missing."""
-    empty = spark.createDataFrame([], STORE_SCHEMA)
-    empty.write.mode("ignore").partitionBy("run", "batch_id").parquet(path)
-    return spark.read.schema(STORE_SCHEMA).parquet(path)
-
-
-def read_store(spark, path):
-    return spark.read.schema(STORE_SCHEMA).parquet(path).select(*ENTRY_SCHEMA.fieldNames())
-
-
-def write_store(entries, path, mode="errorifexists"):
-    """Writes entries as a part of their own; ``overwrite`` replaces the whole store."""
-    part = entries.select(*ENTRY_SCHEMA.fieldNames(), F.lit(new_run("batch")).alias("run"), F.lit(0).alias("batch_id"))
-    part.write.mode(mode).partitionBy("run", "batch_id").parquet(path)
-
-
-def compact_store(spark, path, new_path):
-    """The same entries as one part at a new place, for stores of very many small parts."""
-    write_store(read_store(spark, path), new_path)

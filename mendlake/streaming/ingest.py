@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from mendlake.operators import store
 from mendlake.operators.label import label_pairs
-from mendlake.plans.ingest import build_entries, first_per_pair, label_candidates
-from mendlake.schema import ENTRY_SCHEMA
-from mendlake.sources import entries as io
+from mendlake.plans.ingest import build_entries, first_per_pair, label_candidates, with_fixed_code
+from mendlake.session import settle
+from mendlake.sources import store_files
 
 CANDIDATE_SCHEMA = T.StructType([
     T.StructField("code_original", T.StringType()),
@@ -58,7 +58,7 @@ REACHED = "the target of this run is reached"
 def run_name(spark, checkpoint):
     """The name of a stream's run, kept beside its progress: a new checkpoint is a new run."""
     path = f"{checkpoint.rstrip('/')}/store_run"
-    spark.createDataFrame([(io.new_run("stream"),)], "run string").coalesce(1).write.mode("ignore").parquet(path)
+    spark.createDataFrame([(store_files.new_run("stream"),)], "run string").coalesce(1).write.mode("ignore").parquet(path)
     return spark.read.schema("run string").parquet(path).first()["run"]
 
 
@@ -72,29 +72,26 @@ def insert_batch(batch, batch_id, path, taxonomy, target=None, now=None, strict=
     comes again when the stream starts with a larger target.
     """
     spark = batch.sparkSession
-    own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
-    opened = io.open_store(spark, path)
     room = None
     if target is not None:
+        opened = store_files.open_store(spark, path)
         room = target - opened.filter((F.col("run") == run) & (F.col("batch_id") < batch_id)).count()
         if room <= 0:
             raise TargetReached(REACHED)
-    # Few of the store's hashes are in the batch; only these meet its entries.
-    stored = opened.filter(~own).select("code_hash").join(batch.select("code_hash").distinct(), "code_hash", "left_semi")
     # Read by the labelling and by the entries; a lost copy is computed again.
     once = first_per_pair(batch).persist(StorageLevel.MEMORY_AND_DISK)
-    part = f"{path}/run={run}/batch_id={batch_id}"
     try:
-        labels = label_pairs(diagnostic_rows(once), taxonomy, strict=strict)
+        stored = store_files.known_hashes(spark, path, once, apart_from=(run, batch_id))
+        labels = label_pairs(diagnostic_rows(once), taxonomy, strict=strict, fixed=with_fixed_code(once))
         columns = [c for c in batch.columns if c not in ("before_lines", "after_lines")]
         entries = build_entries(label_candidates(once.select(*columns), labels), now)
         fresh = store.insert_if_new(entries, stored)
         if room is not None:
             fresh = store.first_entries(fresh, room)
-        fresh.write.mode("overwrite").parquet(part)
+        inserted = store_files.write_part(settle(fresh, "fresh"), path, run, batch_id)
     finally:
         once.unpersist()
-    if room is not None and spark.read.schema(ENTRY_SCHEMA).parquet(part).count() >= room:
+    if room is not None and inserted >= room:
         raise TargetReached(REACHED)
 
 

@@ -87,7 +87,7 @@ def test_target(spark, candidates, taxonomy):
 def test_stage_counts(spark, candidates, taxonomy):
     stored = spark.createDataFrame([(sha("g"),)], "code_hash string")
     out = ingest.stage_counts(
-        candidates.select("code_hash", "pair_id"), stream.diagnostic_rows(candidates), taxonomy, stored)
+        candidates.select("code_hash", "pair_id", "code_fixed"), stream.diagnostic_rows(candidates), taxonomy, stored)
     assert {r["stage"]: r["n_rows"] for r in out.collect()} == {"pushed": 21, "labelled": 17, "inserted": 14}
 
 
@@ -190,5 +190,5 @@ def test_rate_of_a_stream(spark, tmp_path):
 
 def test_empty_store_schema(spark, tmp_path):
     opened = io.open_store(spark, str(tmp_path / "s"))
-    assert opened.count() == 0 and opened.columns == ENTRY_SCHEMA.names + ["run", "batch_id"]
+    assert opened.count() == 0 and opened.columns == ENTRY_SCHEMA.names + ["run", "batch_id", "prefix"]
     assert entries(spark).count() == 0
