@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mendlake.llm import bpe
-from mendlake.llm.common import parts_of, table, texts_in
+from mendlake.llm.common import parts_of, settle, table, texts_in
 from mendlake.session import shared_dir
 
 #: Ids after which a block ends; a longer document has a block of its own.
@@ -246,12 +246,6 @@ def id_width(definition):
 BLOCKS = "part int, block int, before long, n_docs long, n_ids long, least_id long, greatest_id long, data binary"
 
 
-def _in_order(df):
-    """Rows in ascending order of doc_id, dealt by ranges of it; null ids first, rows of one id as they were read."""
-    rows = df.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("_turn", F.monotonically_increasing_id())
-    return rows.repartitionByRange("doc_id", "_turn").sortWithinPartitions("doc_id", "_turn").drop("_turn")
-
-
 def write_blocks(encoded, path, width, block_ids=BLOCK_IDS):
     """Writes ``encoded(doc_id, ids)`` as blocks in ascending order of doc_id, null ids first.
 
@@ -260,10 +254,6 @@ def write_blocks(encoded, path, width, block_ids=BLOCK_IDS):
     makes no blocks. A task holds one block, so its memory is that of
     ``block_ids`` ids or of the longest document.
     """
-    _write_ordered(_in_order(encoded.select("doc_id", "ids")), path, width, block_ids)
-
-
-def _write_ordered(ordered, path, width, block_ids):
     def flush(part, block, before, docs, parts):
         n, known = sum(map(len, parts)) // width, [d for d in docs if d is not None]
         row = {"part": part, "block": block, "before": before, "n_docs": len(docs), "n_ids": n,
@@ -285,7 +275,9 @@ def _write_ordered(ordered, path, width, block_ids):
         if docs:
             yield flush(part, block, before, docs, parts)
 
-    ordered.mapInArrow(run, BLOCKS).write.option("compression", "none").parquet(path)
+    rows = encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids", F.monotonically_increasing_id().alias("_turn"))
+    ordered = rows.repartitionByRange("doc_id", "_turn").sortWithinPartitions("doc_id", "_turn")
+    ordered.select("doc_id", "ids").mapInArrow(run, BLOCKS).write.option("compression", "zstd").parquet(path)
 
 
 def read_blocks(spark, path):
@@ -357,8 +349,8 @@ def write_documents(docs, path, definition, end_id=0, block_ids=BLOCK_IDS):
     often; other columns are left aside whatever their names; an empty table
     makes no blocks.
     """
-    ordered = _in_order(docs.select("doc_id", "text"))
-    _write_ordered(encode(ordered, definition, end_id=end_id), path, id_width(definition), block_ids)
+    encoded = settle(encode(docs, definition, end_id=end_id), "encoded", compression="zstd")
+    write_blocks(encoded, path, id_width(definition), block_ids)
 
 
 def op12_token_blocks(spark, sf_dir, path=None):
