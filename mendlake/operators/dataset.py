@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mendlake.functions.training import TITLES, UNKNOWN, active_label, prompt
+from mendlake.session import settle
 
 
 def training_rows(entries):
@@ -67,12 +68,13 @@ def stratified_split(rows, test_size=0.2, seed=42, labels=tuple(TITLES.values())
     bucket = F.floor(F.conv(F.substring("_key", 1, 4), 16, 10).cast("int") / F.lit(65536 // buckets))
     listed = F.col("label").isin(*labels)
     keyed = rows.withColumn("_key", key)
-    narrow = keyed.select(
+    # Read three times below; the code itself is read for the keys and for the result only.
+    narrow = settle(keyed.select(
         F.when(listed, F.col("label")).otherwise(
             F.raise_error(F.concat(F.lit("label not listed: "), F.coalesce("label", F.lit("null"))))
         ).alias("label"),
         "_key", bucket.alias("_bucket"),
-    )
+    ), "split-keys")
     counted = narrow.groupBy("label", "_bucket").agg(F.count(F.lit(1)).alias("n"))
     quotas = split_quotas(counted.groupBy("label").agg(F.sum("n").alias("n")), test_size)
     upto = Window.partitionBy("label").orderBy("_bucket")

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from mendlake.operators.select import first_rows
 from mendlake.schema import COARSE_GROUPS, FILTER_ALIASES, GROUPS, QUALITY, QUALITY_GROUPS, group_flag
 
 # Texts that set a flag parameter; any other text leaves it open.
@@ -233,10 +234,9 @@ def find(entries, query=None, sort=None, limit=None):
     A limit of zero or less means all; without a sort, the first by identifier.
     """
     out = entries.filter(document_filter(query)) if query else entries
-    limited = limit is not None and limit > 0
-    if sort or limited:
-        out = out.orderBy(*sort_columns(sort or {}), "entry_id")
-    return out.limit(limit) if limited else out
+    if limit is not None and limit > 0:
+        return first_rows(out, sort_columns(sort or {}), limit, "entry_id")
+    return out.orderBy(*sort_columns(sort), "entry_id") if sort else out
 
 
 def get_entry(entries, entry_id):

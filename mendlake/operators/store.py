@@ -11,6 +11,7 @@ import json
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from mendlake.operators.select import first_rows
 from mendlake.schema import EDIT_ALIASES, GROUPS, REPO_TYPE, WIRE_SCHEMA, entry_id, group_flag
 
 # Form of a content hash, and of date texts that are accepted.
@@ -412,5 +413,5 @@ def unmatched(changes, store):
 
 
 def first_entries(entries, target, order=ARRIVAL):
-    """The first ``target`` entries in arrival order."""
-    return entries.orderBy(*order, "code_hash").limit(target)
+    """The first ``target`` entries in arrival order; content hashes must be unique."""
+    return first_rows(entries, map(F.col, order), target, "code_hash")

@@ -8,8 +8,8 @@ from mendlake.operators import dataset, evaluate, extract, label, query, report,
 from mendlake.plans import ingest
 from mendlake.plans import proxies as P
 from mendlake.schema import GROUPS
-from mendlake.session import shared_dir
-from mendlake.sources import config
+from mendlake.session import settle, shared_dir
+from mendlake.sources import config, store_files
 from mendlake.sources import entries as io
 from mendlake.streaming import ingest as stream
 
@@ -675,6 +675,83 @@ def stream_target(spark, sf_dir):
     return spark.createDataFrame(counts, "moment string, n_entries long")
 
 
+@registered
+def stream_from_settings(spark, sf_dir):
+    """Entries per repository after a run as a configuration file says, with room for all, and after one with a target."""
+    root, taxonomy = shared_dir(spark, "stream-settings"), P.taxonomy(spark, sf_dir)
+    P.stream_candidates(spark, sf_dir).repartition(4).write.parquet(f"{root}/candidates")
+    counts = []
+    for name, target in (("all", 1_000_000_000), ("target", 40)):
+        rules = '[{"url": "https://github.com/o/src1"}, "https://github.com/o/src2.git", {"start_date": "2020-01-01"}, ' \
+            '{"url": "https://github.com/o/src3", "start_date": "1990-01-01", "end_date": "2024-01-01"}]'
+        text = f'{{"repositories": {rules}, "target_record_count": {target}, "queue_max_size": 2}}'
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{root}/{name}")
+        stream.finish(stream.ingest_from_settings(
+            spark, f"{root}/{name}/*.txt", f"{root}/candidates", f"{root}/store-{name}", f"{root}/checkpoint-{name}", taxonomy, now=NOW))
+        stored = io.read_store(spark, f"{root}/store-{name}")
+        others = ~F.col("repo.url").isin(*[f"https://github.com/o/src{n}" for n in (1, 2, 3)])
+        counts.append(stored.agg(F.lit(name).alias("run"), F.count(F.lit(1)).alias("n_entries"), F.count_if(others).alias("n_others")))
+    return counts[0].union(counts[1])
+
+
+# --- the store in place ----------------------------------------------------------
+
+def _filled_store(spark, sf_dir, path):
+    """A store of the fixture's entries, one per hash, in two parts."""
+    once = store.one_per_hash(P.entries(spark, sf_dir))
+    half = F.pmod(F.xxhash64("code_hash"), F.lit(2)) == 0
+    io.write_store(once.filter(half), path)
+    io.write_store(once.filter(~half), path, "append")
+    return path
+
+
+@registered
+def append_to_store(spark, sf_dir):
+    """A store of labelled texts takes up all entries; those it has already are found by prefix and filter."""
+    path = shared_dir(spark, "append-store")
+    once = store.one_per_hash(P.entries(spark, sf_dir))
+    io.write_store(once.join(P.view(spark, sf_dir, "p_store_hashes"), "code_hash", "left_semi").select(*once.columns), path)
+    before = io.read_store(spark, path).count()
+    inserted = ingest.append_entries(P.entries(spark, sf_dir), path)
+    again = ingest.append_entries(P.entries(spark, sf_dir), path)
+    return io.read_store(spark, path).agg(
+        *[F.lit(v).cast("long").alias(k) for k, v in (("n_before", before), ("n_inserted", inserted), ("n_again", again))],
+        F.count(F.lit(1)).alias("n_entries"), F.count_distinct("code_hash").alias("n_hashes"))
+
+
+@registered
+def update_in_place(spark, sf_dir):
+    """The store after updates that rewrite the partitions they touch; some hashes change."""
+    path = _filled_store(spark, sf_dir, shared_dir(spark, "update-store"))
+    updates = P.updates(spark, sf_dir).unionByName(P.hash_updates(spark, sf_dir))
+    store_files.update_store(spark, path, updates)
+    return io.read_store(spark, path).select(
+        "entry_id", "code_hash", X.sha256_hex("code_fixed").alias("fixed_hash"), "repo.commit_hash",
+        "labels.groups.concurrency", "labels.groups.memory_management", "labels.clang")
+
+
+@registered
+def patch_in_place(spark, sf_dir):
+    """The store after label edits that rewrite the partitions they touch."""
+    path = _filled_store(spark, sf_dir, shared_dir(spark, "patch-store"))
+    store_files.patch_store(spark, path, P.edits(spark, sf_dir))
+    return io.read_store(spark, path).select(
+        "entry_id", _joined("labels.cppcheck").alias("cppcheck"), "labels.groups.memory_management",
+        "labels.groups.concurrency", "labels.groups.logic_error")
+
+
+@registered
+def delete_in_place(spark, sf_dir):
+    """The store after deletions, and after the same entries came again."""
+    path = _filled_store(spark, sf_dir, shared_dir(spark, "delete-store"))
+    ids = P.view(spark, sf_dir, "p_edits").select("entry_id").distinct()
+    deleted = store_files.delete_from_store(spark, path, ids).count()
+    left = io.read_store(spark, path).select("entry_id", "code_hash", F.lit("left").alias("moment"))
+    left = settle(left.withColumn("n_deleted", F.lit(deleted).cast("long")), "left")
+    back = ingest.append_entries(store.one_per_hash(P.entries(spark, sf_dir)), path)
+    return left.union(io.read_store(spark, path).select("entry_id", "code_hash", F.lit("back"), F.lit(back).cast("long")))
+
+
 @registered
 def ingest_rate(spark, sf_dir):
     rates = stream.ingest_rate(P.view(spark, sf_dir, "p_predictions"))

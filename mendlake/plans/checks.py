@@ -287,7 +287,7 @@ UNION ALL SELECT 'rejected', count(*), true FROM reasoned WHERE reasons <> ''
 UNION ALL SELECT 'unreadable', 0, true
 """, "p_wire", "p_store_hashes")
 
-check("update_entries", """
+UPDATE = """
 AND_WITH latest AS (
 SELECT entry_id, path, value FROM (SELECT *, row_number() OVER (PARTITION BY entry_id, path ORDER BY seq DESC) AS nth FROM p_updates) WHERE nth = 1),
 wide AS (
@@ -298,7 +298,8 @@ SELECT entry_id, bool_or(path = 'code_fixed') AS s1, max(value) FILTER (path = '
 FROM latest GROUP BY entry_id),
 judged AS (
 SELECT *, concat_ws(',', CASE WHEN s3 AND v3 = 'banana' THEN 'labels.groups.concurrency' END,
-  CASE WHEN s2 AND v2 IS NULL THEN 'repo.commit_hash' END) AS refused FROM wide),
+  CASE WHEN s2 AND v2 IS NULL THEN 'repo.commit_hash' END) AS refused FROM wide)"""
+check("update_entries", UPDATE + """,
 now AS (
 SELECT e.entry_id, w.entry_id IS NOT NULL AS matched, e.code_fixed, e.commit_hash, e.concurrency, e.memory_management,
   coalesce(refused, '') AS refused, coalesce(refused, '') = '' AS ok,
@@ -312,7 +313,7 @@ SELECT entry_id, matched, refused, n1 IS DISTINCT FROM code_fixed OR n2 IS DISTI
 check("delete_entries", "SELECT entry_id FROM p_entries WHERE entry_id NOT IN (SELECT entry_id FROM p_edits)", "p_entries", "p_edits")
 check("deleted_entries", "SELECT entry_id FROM p_entries WHERE entry_id IN (SELECT entry_id FROM p_edits)", "p_entries", "p_edits")
 check("unmatched_edits", "SELECT entry_id, seq FROM p_edits WHERE entry_id NOT IN (SELECT entry_id FROM p_entries)", "p_entries", "p_edits")
-check("patch_labels", ITEMS + """,
+PATCH = ITEMS + """,
 steps AS (SELECT entry_id, seq, add_label AS label, false AS removing FROM p_edits
   UNION ALL SELECT entry_id, seq, remove_label, true FROM p_edits WHERE remove_label IS NOT NULL),
 named AS (SELECT *, CASE label WHEN 'MemError' THEN 'memory_management' WHEN 'memory_management' THEN 'memory_management'
@@ -328,15 +329,48 @@ final AS (SELECT entry_id, 0 AS part, pos, label FROM old UNION ALL SELECT a.ent
 lists AS (SELECT entry_id, string_agg(label, ',' ORDER BY part, pos) AS cppcheck FROM final GROUP BY entry_id),
 wide AS (SELECT entry_id, bool_or(value) FILTER (field = 'memory_management') AS f1, bool_or(value) FILTER (field = 'concurrency') AS f2,
   bool_or(value) FILTER (field = 'logic_error') AS f3 FROM flags GROUP BY entry_id)
-SELECT e.entry_id, e.entry_id IN (SELECT entry_id FROM p_edits) AS matched, coalesce(l.cppcheck, '') AS cppcheck,
+"""
+PATCHED = """coalesce(l.cppcheck, '') AS cppcheck,
   coalesce(f1, memory_management) AS memory_management, coalesce(f2, concurrency) AS concurrency, coalesce(f3, logic_error) AS logic_error
-FROM p_entries e LEFT JOIN lists l ON l.entry_id = e.entry_id LEFT JOIN wide w ON w.entry_id = e.entry_id
-""", "p_entries", "p_edits")
+FROM {} e LEFT JOIN lists l ON l.entry_id = e.entry_id LEFT JOIN wide w ON w.entry_id = e.entry_id
+"""
+check("patch_labels", PATCH + "SELECT e.entry_id, e.entry_id IN (SELECT entry_id FROM p_edits) AS matched, " + PATCHED.format("p_entries"),
+      "p_entries", "p_edits")
 check("target_cap", f"""
 SELECT entry_id, code_hash FROM (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER BY {ORDER.format('ASC')}) AS nth FROM p_entries)
 WHERE nth = 1 ORDER BY {ORDER.format('ASC')} LIMIT 50
 """, "p_entries")
 
+# --- the store in place ----------------------------------------------------------
+
+ONCE = f"""
+once AS (SELECT * EXCLUDE (nth) FROM
+  (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER BY {ORDER.format('ASC')}) AS nth FROM p_entries) WHERE nth = 1)
+"""
+check("append_to_store", """
+AND_WITH total AS (SELECT count(DISTINCT code_hash) AS n, count(DISTINCT CASE WHEN code_hash IN (SELECT code_hash FROM p_store_hashes) THEN code_hash END) AS old
+FROM p_entries)
+SELECT old AS n_before, n - old AS n_inserted, CAST(0 AS BIGINT) AS n_again, n AS n_entries, n AS n_hashes FROM total
+""", "p_entries", "p_store_hashes")
+check("update_in_place", UPDATE + "," + ONCE + """,
+claims AS (SELECT code_hash, count(DISTINCT entry_id) AS n FROM
+  (SELECT entry_id, code_hash FROM once UNION SELECT entry_id, value FROM p_hash_updates) GROUP BY code_hash),
+fresh AS (SELECT h.entry_id, h.value, c.n > 1 AS taken FROM p_hash_updates h JOIN claims c ON c.code_hash = h.value),
+now AS (SELECT e.*, w.*, f.value, coalesce(w.refused, '') = '' AND NOT coalesce(f.taken, false) AS ok
+FROM once e LEFT JOIN (SELECT * RENAME (entry_id AS id) FROM judged) w ON w.id = e.entry_id
+LEFT JOIN (SELECT * RENAME (entry_id AS id2) FROM fresh) f ON f.id2 = e.entry_id)
+SELECT entry_id, CASE WHEN ok AND value IS NOT NULL THEN value ELSE code_hash END AS code_hash,
+  sha256(CASE WHEN ok AND s1 THEN v1 ELSE code_fixed END) AS fixed_hash, CASE WHEN ok AND s2 THEN v2 ELSE commit_hash END AS commit_hash,
+  CASE WHEN ok AND s3 THEN true ELSE concurrency END AS concurrency, CASE WHEN ok AND s4 THEN v4 = 'true' ELSE memory_management END AS memory_management,
+  '{}' AS clang FROM now
+""", "p_entries", "p_updates", "p_hash_updates")
+check("patch_in_place", PATCH + "," + ONCE + "SELECT e.entry_id, " + PATCHED.format("once"), "p_entries", "p_edits")
+check("delete_in_place", "AND_WITH" + ONCE + """,
+gone AS (SELECT count(*) AS n FROM once WHERE entry_id IN (SELECT entry_id FROM p_edits))
+SELECT entry_id, code_hash, 'left' AS moment, n AS n_deleted FROM once, gone WHERE entry_id NOT IN (SELECT entry_id FROM p_edits)
+UNION ALL SELECT entry_id, code_hash, 'back', n FROM once, gone
+""", "p_entries", "p_edits")
+
 # --- queries -------------------------------------------------------------------
 
 check("label_filter", f"SELECT entry_id FROM p_entries WHERE memory_management AND {QUALITY_OR} AND issue_2 = 'nullPointer'", "p_entries")
@@ -514,7 +548,7 @@ SELECT b AS baseline_correct, t AS tuned_correct, n AS baseline_total, n AS tune
 
 HITS = """
 AND_WITH hits AS (
-SELECT DISTINCT code_hash, CASE WHEN before_1 = 'memleak' AND after_1 <> 'memleak' THEN 'memleak' END AS i1,
+SELECT DISTINCT code_hash, CASE WHEN before_1 = 'memleak' AND (after_1 <> 'memleak' OR coalesce(code_fixed, '') = '') THEN 'memleak' END AS i1,
   CASE WHEN before_2 = 'nullPointer' THEN 'nullPointer' END AS i2 FROM p_stream)
 """
 STREAMED = HITS + """
@@ -527,6 +561,13 @@ check("stream_target", HITS + """,
 total AS (SELECT count(*) AS n FROM hits WHERE i1 IS NOT NULL OR i2 IS NOT NULL)
 SELECT 'at_target' AS moment, least(50, n) AS n_entries FROM total UNION ALL SELECT 'in_the_end', n FROM total
 """, "p_stream")
+check("stream_from_settings", HITS + """,
+chosen AS (SELECT count(DISTINCT s.code_hash) AS n FROM p_stream s JOIN hits h ON h.code_hash = s.code_hash
+  WHERE (h.i1 IS NOT NULL OR h.i2 IS NOT NULL) AND s.commit_date >= TIMESTAMP '1990-01-01'
+  AND (s.repo_url IN ('https://github.com/o/src1', 'https://github.com/o/src2') AND s.commit_date >= TIMESTAMP '2020-01-01'
+    OR s.repo_url = 'https://github.com/o/src3' AND s.commit_date < TIMESTAMP '2024-01-02'))
+SELECT 'all' AS run, n AS n_entries, CAST(0 AS BIGINT) AS n_others FROM chosen UNION ALL SELECT 'target', least(40, n), 0 FROM chosen
+""", "p_stream")
 check("ingest_rate", """
 SELECT strftime(time_bucket(INTERVAL 5 SECOND, ingest_timestamp), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_entries,
   count(*) / 5.0 AS entries_per_second FROM p_predictions GROUP BY 1

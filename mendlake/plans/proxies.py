@@ -5,6 +5,8 @@ hash function, so a query and its check start from the same rows. Names in
 braces are tables or other views.
 """
 
+import re
+
 from pyspark.sql import functions as F
 
 from mendlake.schema import GROUPS
@@ -131,6 +133,12 @@ SELECT lpad(CAST(user_id * 10 AS VARCHAR(30)), 24, '0') AS entry_id, event_id AS
     WHEN 'view' THEN CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END ELSE '{{}}' END AS value
 FROM {events}""",
 
+    # New hashes for some entries: free ones, one that another entry has, and one for two entries.
+    "p_hash_updates": """
+SELECT entry_id, 1000000000 + doc_id AS seq, CASE doc_id % 40 WHEN 3 THEN SHA256HEX(CAST(doc_id AS VARCHAR(30)))
+  WHEN 11 THEN (SELECT min(code_hash) FROM {p_entries}) ELSE SHA256HEX('two' || CAST(doc_id - doc_id % 40 AS VARCHAR(30))) END AS value
+FROM {p_entries} WHERE doc_id % 40 IN (3, 11, 17, 23)""",
+
     "p_wire": """
 SELECT doc_id, CASE WHEN doc_id % 17 = 3 THEN NULL ELSE code_original END AS code_original, code_fixed,
   CASE doc_id % 19 WHEN 4 THEN upper(code_hash) WHEN 5 THEN substring(code_hash, 1, 63) WHEN 6 THEN code_hash || 'a'
@@ -146,7 +154,8 @@ FROM {p_entries}""",
 
     # Findings depend on the text alone, so copies of a text have the same.
     "p_stream": """
-SELECT d.doc_id, d.text AS code_original, d.text || chr(10) || 'fixed' AS code_fixed, SHA256HEX(d.text) AS code_hash,
+SELECT d.doc_id, d.text AS code_original, CASE length(d.text) % 7 WHEN 3 THEN NULL WHEN 4 THEN '' ELSE d.text || chr(10) || 'fixed' END AS code_fixed,
+  SHA256HEX(d.text) AS code_hash,
   'https://github.com/o/' || d.source AS repo_url, e.ts AS commit_date,
   CASE WHEN length(d.text) % 2 = 0 THEN 'memleak' ELSE 'checkersReport' END AS before_1,
   CASE WHEN length(d.text) % 3 = 0 THEN 'nullPointer' ELSE 'syntaxError' END AS before_2,
@@ -174,7 +183,7 @@ def view(spark, sf_dir, name):
     """A driver table or proxy view as a DataFrame."""
     if name not in VIEWS:
         return table(spark, sf_dir, name)
-    sql = VIEWS[name].replace("SHA256HEX(d.text)", "sha2(d.text, 256)")
+    sql = re.sub(r"SHA256HEX(\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*)\)", r"sha2\1, 256)", VIEWS[name])
     return spark.sql(sql, **{n: view(spark, sf_dir, n) for n in sorted(_uses(sql))})
 
 
@@ -255,6 +264,11 @@ def updates(spark, sf_dir):
     return view(spark, sf_dir, "p_updates").select("entry_id", "seq", F.create_map("path", "value").alias("fields"))
 
 
+def hash_updates(spark, sf_dir):
+    rows = view(spark, sf_dir, "p_hash_updates")
+    return rows.select("entry_id", "seq", F.create_map(F.lit("code_hash"), "value").alias("fields"))
+
+
 def wire(spark, sf_dir):
     """``p_wire`` as documents before validation."""
     return view(spark, sf_dir, "p_wire").select(
@@ -276,7 +290,8 @@ def stream_candidates(spark, sf_dir):
     return view(spark, sf_dir, "p_stream").select(
         "code_original", "code_fixed", "repo_url", F.col("doc_id").cast("string").alias("sha"),
         F.col("commit_date").cast("timestamp").alias("commit_date"), F.lit("t").alias("base_name"), "code_hash",
-        F.sha2(F.concat("code_original", F.lit("\n\n"), "code_fixed"), 256).alias("pair_id"),
+        F.sha2(F.concat("code_original", F.lit("\n\n"), F.coalesce("code_fixed", F.lit("-"))), 256).alias("pair_id"),
         F.array(line("before_1"), line("before_2")).alias("before_lines"),
-        F.array(line("after_1")).alias("after_lines"),
+        # What is not there was not analysed.
+        F.when(F.col("code_fixed") != "", F.array(line("after_1"))).alias("after_lines"),
     )

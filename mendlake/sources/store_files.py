@@ -27,10 +27,11 @@ PARTITION = (*PART, "prefix")
 STORE_SCHEMA = T.StructType(ENTRY_SCHEMA.fields + [
     T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType()), T.StructField("prefix", T.StringType())
 ])
-#: Digits of the content hash that name a partition.
-PREFIX_DIGITS = 2
+#: Digits of the content hash that name a partition: sixteen folders a part. A store of many terabytes
+#: wants two or three; the number must not change once a store is written.
+PREFIX_DIGITS = 1
 
-FILTER_SCHEMA = "level int, bucket long, bits binary, run string, batch_id long, prefix string"
+FILTER_SCHEMA = "prefix string, level int, bucket long, bits binary, run string, batch_id long"
 #: Bits of a bitmap, as many as Spark's bitmap functions use, bits that a hash sets, and bitmap bits per hash.
 BITMAP_BITS, HASHES, BITS_PER_HASH = 32768, 4, 10
 
@@ -62,7 +63,7 @@ def write_store(entries, path, mode="errorifexists", files_per_prefix=1):
     """Writes entries as a part of their own; ``overwrite`` replaces the whole store.
 
     ``files_per_prefix`` is how many tasks write a prefix: one for small parts,
-    more where a two-hundred-and-fifty-sixth of the entries is too much for one.
+    more where a sixteenth of the entries is too much for one.
     """
     part = entries.select(*ENTRY_SCHEMA.fieldNames())
     if mode == "overwrite":
@@ -114,18 +115,18 @@ def _filter_rows(hashes):
     each = hashes.join(levels, list(PARTITION)).select(
         *PARTITION, "level", (name % _power("level")).alias("bucket"), F.explode(F.array(*bits)).alias("_bit"))
     rows = each.groupBy(*PARTITION, "level", "bucket").agg(F.bitmap_construct_agg("_bit").alias("bits"))
-    return rows.select("level", "bucket", "bits", *PARTITION)
+    return rows.select("prefix", "level", "bucket", "bits", *PART)
 
 
 def write_filters(hashes, path, run, batch_id):
     """Filters of one part, in place of those it had."""
     rows = _filter_rows(hashes).drop(*PART)
-    rows.write.mode("overwrite").partitionBy("prefix").parquet(f"{path}/_filters/run={run}/batch_id={batch_id}")
+    rows.write.mode("overwrite").parquet(f"{path}/_filters/run={run}/batch_id={batch_id}")
 
 
 def _filters(spark, path):
     empty = spark.createDataFrame([], FILTER_SCHEMA)
-    empty.write.mode("ignore").partitionBy(*PARTITION).parquet(f"{path}/_filters")
+    empty.write.mode("ignore").partitionBy(*PART).parquet(f"{path}/_filters")
     return spark.read.schema(FILTER_SCHEMA).parquet(f"{path}/_filters")
 
 
@@ -168,8 +169,10 @@ def known_hashes(spark, path, hashes, apart_from=None):
     if apart_from is not None:
         opened = opened.filter(~((F.col("run") == apart_from[0]) & (F.col("batch_id") == apart_from[1])))
     suspects = settle(possible_hashes(spark, path, wanted).distinct(), "suspect-hashes")
-    touched = F.col("prefix").isin(_prefixes(suspects))
-    found = stored_suspects(opened.filter(touched), suspects)
+    touched = _prefixes(suspects)
+    found = suspects.select("code_hash").limit(0)
+    if touched:
+        found = stored_suspects(opened.filter(F.col("prefix").isin(touched)), suspects)
     parts = opened.select(*PART).distinct().join(_filters(spark, path).select(*PART).distinct(), list(PART), "left_anti").collect()
     if parts:  # of writes that left no filters
         bare = F.concat_ws("/", *PART).isin([f"{r['run']}/{r['batch_id']}" for r in parts])
@@ -250,7 +253,7 @@ def _change(spark, path, changes, change):
     result = result.unionByName(emptied.select(*nothing, *PARTITION))
     # Filters first: they may hold more than the entries, never less.
     more = _filter_rows(rows.select("code_hash", *PART))
-    more.write.mode("append").partitionBy(*PARTITION).parquet(f"{path}/_filters")
+    more.write.mode("append").partitionBy(*PART).parquet(f"{path}/_filters")
     (result.repartition(*PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITION).parquet(path))
     return report

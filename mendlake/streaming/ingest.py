@@ -11,11 +11,13 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mendlake.functions import text as X
 from mendlake.operators import store
+from mendlake.operators.extract import DEFAULT_START
 from mendlake.operators.label import label_pairs
 from mendlake.plans.ingest import build_entries, first_per_pair, label_candidates, with_fixed_code
 from mendlake.session import settle
-from mendlake.sources import store_files
+from mendlake.sources import config, store_files
 
 CANDIDATE_SCHEMA = T.StructType([
     T.StructField("code_original", T.StringType()),
@@ -110,6 +112,32 @@ def ingest_stream(candidates, path, checkpoint, taxonomy, target=None, now=None,
     )
 
 
+def of_repositories(candidates, rules):
+    """Candidates of the rules' repositories within their dates; open ends are the default start and no end."""
+    own = rules.select(
+        X.repo_slug("url").alias("_slug"), F.coalesce(F.col("start_date").cast("timestamp"), F.lit(DEFAULT_START).cast("timestamp")).alias("_from"),
+        (F.date_add("end_date", 1).cast("timestamp")).alias("_until"),
+    ).filter("_slug IS NOT NULL")
+    # One row per repository, so that no candidate comes twice: the earliest start and the latest end.
+    own = own.groupBy("_slug").agg(F.min("_from").alias("_from"), F.max("_until").alias("_until"), F.bool_or(F.col("_until").isNull()).alias("_open"))
+    joined = candidates.withColumn("_slug", X.repo_slug("repo_url")).join(own, "_slug")
+    inside = (F.col("commit_date") >= F.col("_from")) & (F.col("_open") | (F.col("commit_date") < F.col("_until")))
+    return joined.filter(inside).select(*candidates.columns)
+
+
+def ingest_from_settings(spark, settings, source, path, checkpoint, taxonomy, **options):
+    """Starts the stream that a configuration file describes, on the candidate files in ``source``.
+
+    Its repositories and their dates say which candidates count, its target how
+    many entries the run stores, and its queue size how many files a batch takes.
+    ``options`` are those of ``ingest_stream``; an unreadable file has no repositories.
+    """
+    chosen = config.load_settings(spark, settings).first()
+    candidates = read_candidates(spark, source, files_per_batch=max(1, chosen["queue_max_size"]))
+    wanted = of_repositories(candidates, config.load_rules(spark, settings))
+    return ingest_stream(wanted, path, checkpoint, taxonomy, target=chosen["target_record_count"], **options)
+
+
 def finish(running):
     """Waits for a stream; true when it ended because its target was reached."""
     try:
