@@ -8,6 +8,7 @@ reaches it, the subtree with the largest sum is text as well. So is, on the way
 up to the article, main or body, all that stands beside it and is not mostly links.
 """
 
+import functools
 import html
 import math
 import re
@@ -26,15 +27,31 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead "
     "tr ul".split()
 )
-CONTAINERS = frozenset("#page html body main article section div center td blockquote".split())
-NOISE_TAGS = RAW | frozenset("head nav header footer aside menu form button select input label option dialog".split())
+CONTAINERS = frozenset("#page html body main article section div center td blockquote form".split())
+NOISE_TAGS = RAW | frozenset("head nav header footer aside menu button select input label option dialog".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 legend".split())
 #: Words in class, id or role that mark what is no part of an article.
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement adsense banner sponsor sponsored promo promotion sidebar menu nav navbar "
     "navigation breadcrumb breadcrumbs footer cookie cookies consent gdpr notice notices alert popup modal overlay "
     "comment comments reply replies disqus respond related recommended share sharing social newsletter subscribe "
-    "subscription login signup search toolbar widget pagination pager complementary contentinfo".split()
+    "subscription login signup search toolbar widget pagination pager complementary contentinfo sidebars menus adsbygoogle "
+    "masthead widgets popups outbrain taboola".split()
 )
+#: Words that say where or in what form something stands; beside a noise word they change nothing.
+PLACE_WORDS = frozenset(
+    "list lists area section body box boxes slot slots bar bars container wrapper wrap item items thread threads site page main "
+    "left right top bottom post posts user users reader readers form article entry block blocks inner outer content unit zone "
+    "panel module group row column col card cards title heading link links text primary secondary global mobile desktop sticky "
+    "fixed button buttons icons holder".split()
+)
+#: A value that begins with one of these speaks of what is elsewhere.
+NEGATIONS = frozenset("no has with without not non".split())
+#: Headings of what is no part of an article.
+NOISE_HEADING = re.compile(
+    r"\W*(\d+\W+)?((reader |user )?comments?|leave a (comment|reply)|join the (conversation|discussion)|related( \w+)?|you (may|might) also like"
+    r"|recommended( for you)?|more from .*|share this.*|advertisement|sponsored( content)?|newsletter|sign up.*|subscribe.*)"
+    r"(\W*\(?\d+\)?)?\W*", re.I)
 #: Opening the first ends an open element of the second kind.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
@@ -49,15 +66,34 @@ _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 
+def _is_noise_word(word):
+    """A noise word, alone or written together with a word for its place."""
+    if word in NOISE_WORDS:
+        return True
+    return any(word[:k] in NOISE_WORDS and word[k:] in PLACE_WORDS or word[:k] in PLACE_WORDS and word[k:] in NOISE_WORDS
+               for k in range(2, len(word) - 1))
+
+
+@functools.lru_cache(100_000)
+def _marks(value):
+    """Whether a class, id or role says that an element is no part of an article.
+
+    It has a noise word, and its other words only say where or how it stands. A
+    value that begins with a negation, or with a word of another kind, does not count.
+    """
+    words = [w.lower() for w in re.findall("[A-Z]?[a-z]+|[A-Z]+", value)]
+    if not words or words[0] in NEGATIONS:
+        return False
+    noise = [w in PLACE_WORDS or _is_noise_word(w) for w in words]
+    return all(noise) and any(w not in PLACE_WORDS for w in words)
+
+
 def _is_marked(text):
-    """Whether class, id or role of a tag have a value all of whose words mark what is no part of an article."""
-    for a in _ATTRIBUTE.finditer(text, _NAME.match(text).end()):
-        if a.group(1).lower() in ("class", "id", "role"):
-            for value in "".join(g or "" for g in a.groups()[1:]).lower().split():
-                words = re.findall("[a-z]+", value)
-                if words and NOISE_WORDS.issuperset(words):
-                    return True
-    return False
+    """Whether class, id or role of a tag mark what is no part of an article."""
+    return any(
+        a.group(1).lower() in ("class", "id", "role") and any(map(_marks, "".join(g or "" for g in a.groups()[1:]).split()))
+        for a in _ATTRIBUTE.finditer(text, _NAME.match(text).end())
+    )
 
 
 class Page:
@@ -114,21 +150,51 @@ class Page:
         self.parent.append(up)
         self.noise.append(
             self.noise[up] or name in NOISE_TAGS and not (name == "header" and self._inside("article")))
-        self._marked.append(name not in ("html", "body", "article", "main") and _is_marked(text))
+        self._marked.append(name == "form" or name not in ("html", "body", "article", "main") and _is_marked(text))
         if name not in VOID and not (text.endswith("/>") and name not in BLOCK):
             self._open.append(len(self.tag) - 1)
 
     def _spread(self):
-        """Marked elements are noise with all below them, unless one is a container with most of the page's text."""
-        chars = [0] * len(self.tag)
+        """Marked elements are noise with all below them.
+
+        A container with most of the page's text is not, unless an article or main
+        part has come before it: what follows is then beside it.
+        """
+        chars, words = [0] * len(self.tag), {}
         for node, raw in self.pieces:
             if node >= 0 and not self.noise[node]:
-                chars[node] += len(" ".join(raw.split()))
+                text = " ".join(raw.split())
+                chars[node] += len(text)
+                if self.tag[node] in HEADINGS:
+                    words[node] = words.get(node, "") + text
+        self._mark_by_heading(words)
         for i in range(len(self.tag) - 1, 0, -1):
             chars[self.parent[i]] += chars[i]
+        first = next((i for i in range(len(self.tag)) if self.tag[i] in ("article", "main") and not self.noise[i]
+                      and not self._marked[i] and chars[i]), len(self.tag))
+        within = [False] * len(self.tag)
         for i in range(1, len(self.tag)):
-            kept = self.tag[i] in CONTAINERS and 2 * chars[i] > chars[0]
-            self.noise[i] = self.noise[i] or self.noise[self.parent[i]] or self._marked[i] and not kept
+            up = self.parent[i]
+            within[i] = i == first or within[up]
+            kept = self.tag[i] in CONTAINERS and 2 * chars[i] > chars[0] and (i < first or within[i])
+            self.noise[i] = self.noise[i] or self.noise[up] or self._marked[i] and not kept
+
+    def _mark_by_heading(self, words):
+        """A section, list or division that begins with a heading such as "Comments" is marked."""
+        started = [False] * len(self.tag)
+        for node, raw in self.pieces:
+            if node < 0 or self.noise[node] or not raw.strip():
+                continue
+            path, at = [], node
+            while at > 0 and not started[at]:
+                started[at] = True
+                path.append(at)
+                at = self.parent[at]
+            heading = next((i for i in path if self.tag[i] in HEADINGS), None)
+            if heading is not None and NOISE_HEADING.fullmatch(words.get(heading, "")):
+                for i in path:
+                    if i != heading and self.tag[i] in ("section", "div", "ul", "ol"):
+                        self._marked[i] = True
 
     def _inside(self, name):
         return any(self.tag[i] == name for i in self._open)
@@ -260,9 +326,9 @@ def main_text(source):
     for node, raw in [*page.pieces, (-1, "")]:
         if node >= 0:
             if kept[node]:
-                block.append(raw)
+                block.append(html.unescape(raw))  # a reference does not go on in another element
         elif block:
-            text = " ".join(html.unescape("".join(block)).split())
+            text = " ".join("".join(block).split())
             if text:
                 blocks.append(text)
             block = []
@@ -279,7 +345,9 @@ def extract_main_text(pages):
 
     A null page is empty and has an empty text. Each page stands for itself:
     repeated rows give repeated results, an empty table an empty one. Elements
-    that page authors mark as menus, adverts, comments and the like never count.
+    that page authors mark as menus, adverts, comments and the like never count,
+    nor do forms, unless one holds most of the page's text. Other columns are
+    left aside whatever their names; a very long page is one task's work.
     """
     texts = pages.select("page_id", "url", _main_texts("html").alias("text"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))

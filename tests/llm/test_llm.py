@@ -3,12 +3,14 @@
 import hashlib
 import itertools
 import os
+import random
 
 import brute
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from mendlake.llm import anchors, bpe, html_text, kd_search, line_dedup, mixing, ngram_join, pseudo_likelihood
@@ -47,7 +49,8 @@ def vectors():
     rows[400] = (400, [1.0, 2.0], 0)  # of another length
     rows[401] = (401, [3.0, 2.0], 0)
     rows[402] = (402, [], 0)
-    return rows + [rows[9], rows[300]]
+    # Rows that repeat in full, and ids with several vectors.
+    return rows + [rows[9], rows[300], (200, rows[11][1], 0), (12, rows[13][1], 0), (12, [9.0] * 6, 0), (500, [5.0] * 6, 0)]
 
 
 @pytest.fixture(scope="module")
@@ -213,6 +216,123 @@ def test_parts_around_the_densest_are_kept(page, n):
     assert len(text.split("\n\n")) == n and "another" not in text and ("see" in text) == ("see it there" in text)
 
 
+MARKS = ("comment-list commentlist comments-area comments-section comment-thread post-comments reader-comments user-comments ad-slot "
+         "ad-container adsbygoogle advert-box related-posts site-sidebar left-sidebar site-footer main-nav cookie-bar signup-form "
+         "comments sidebar adSlot commentBox").split()
+PROSE = "<p>" + "The article goes on with many plain words here. " * 6 + "</p>"
+
+
+@pytest.mark.parametrize("mark", MARKS)
+@pytest.mark.parametrize("around", ["div", "article", "body"])
+def test_usual_marks(mark, around):
+    """Beside a division, in an article and in the body, by class and id."""
+    beside = f"<div {{}}='x {mark}'><p>{'Some other text of no use, in whole sentences. ' * 3}</p></div>"
+    for name in ("class", "id"):
+        part = beside.format(name)
+        page = {"div": f"<div class='story'>{PROSE * 3}</div>{part}", "article": f"<article>{PROSE * 3}{part}</article>",
+                "body": PROSE * 3 + part}[around]
+        assert html_text.main_text(f"<html><body>{page}</body></html>").count("no use") == 0
+        assert html_text.main_text(f"<html><body>{page}</body></html>").count("goes on") == 18
+
+
+@pytest.mark.parametrize("value", ["has-sidebar", "no-comments", "category-social", "with-ads", "post", "main-content", "ad-free", "search-results",
+                                   "social-history", "shareholders", "article-body", "header-image-story"])
+def test_values_that_are_no_marks(value):
+    page = f"<body><div class='{value}'>{PROSE}</div><div class='other'>{PROSE * 2}</div></body>"
+    assert html_text.main_text(page).count("goes on") == 18
+
+
+def test_forms_headings_and_references():
+    inside = f"<body><form action='x'><input value='v'><div>{PROSE * 3}</div><button>Go</button></form></body>"
+    assert html_text.main_text(inside).count("goes on") == 18 and "Go" not in html_text.main_text(inside)
+    beside = f"<body><div>{PROSE * 3}</div><form><p>Your name and address please, and then some.</p></form></body>"
+    assert "Your name" not in html_text.main_text(beside)
+    for heading in ("Comments", "3 Comments", "Related articles", "Leave a reply", "You may also like (4)", "Advertisement"):
+        page = f"<body><article>{PROSE * 3}</article><section><h3>{heading}</h3><p>{'Words by others, that nobody asked for. ' * 3}</p></section></body>"
+        assert "others" not in html_text.main_text(page)
+        page = f"<body><div>{PROSE * 3}<div><h4>{heading}</h4><ul><li>{'Words by others, that nobody asked for. ' * 3}</li></ul></div></div></body>"
+        assert "others" not in html_text.main_text(page) and html_text.main_text(page).count("goes on") == 18
+    page = f"<body><article><section><h2>Comments on the law</h2><p>{'It says a lot. ' * 20}</p></section></article></body>"
+    assert "It says" in html_text.main_text(page)
+    assert html_text.main_text("<p>A&<b>lt;</b> &lt;b&gt; &amp;amp; caf&eacute;</p>") == "A&lt; <b> &amp; café"
+
+
+def test_a_long_thread_beside_an_article():
+    thread = f"<div class='comments-section'>{'<p>' + 'Yes, no, and so on, says somebody. ' * 30 + '</p>'}</div>"
+    assert "says somebody" not in html_text.main_text(f"<body><article>{PROSE}</article>{thread}</body>")
+    # Alone on its page it is what there is.
+    assert "says somebody" in html_text.main_text(f"<body><div>Title</div>{thread}</body>")
+
+
+def _dom(r, depth=0):
+    """A random tree of (tag, children), children being trees and texts."""
+    tags = ["div", "p", "section", "a", "span", "ul"] if depth < 5 else ["p", "a"]
+    return (r.choice(tags), [_dom(r, depth + 1) if depth < 6 and r.random() < 0.6 else "w" * r.randint(1, 40) for _ in range(r.randint(0, 4))])
+
+
+def _plain_density(tree):
+    """{path: (density, sum over children)} by the rule, from each node's whole subtree."""
+    def below(t, linked=False):  # characters, in links, elements, link elements
+        tag, children = t
+        linked, total = linked or tag == "a", [0, 0, 0, 0]
+        for c in children:
+            if isinstance(c, str):
+                total = [total[0] + len(c), total[1] + len(c) * linked, *total[2:]]
+            else:
+                inner = below(c, linked)
+                total = [a + b for a, b in zip(total, (*inner[:2], inner[2] + 1, inner[3] + (c[0] == "a")))]
+        return total
+
+    def walk(t, path, linked):
+        c, lc, n, ln = below(t, linked)
+        density = 0.0
+        if c:
+            base = np.log(c / max(1, c - lc) * lc + share * c + np.e)
+            density = c / max(1, n) * max(0.0, np.log(c / max(1, lc) * max(1, n) / max(1, ln))) / base
+        out, total = {}, 0.0
+        for k, child in enumerate(t[1]):
+            if not isinstance(child, str):
+                inner = walk(child, (*path, k), linked or t[0] == "a")
+                total += inner[*path, k][0]
+                out |= inner
+        return {**out, path: (density, total)}
+
+    c, lc, *_ = below(tree)
+    share = lc / max(1, c)
+    return walk(tree, (), False)
+
+
+def test_densities_equal_a_plain_version():
+    r = random.Random(12)
+
+    def written(t):
+        return t if isinstance(t, str) else f"<{t[0]}>{''.join(map(written, t[1]))}</{t[0]}>"
+
+    def nested(t, inside=()):
+        """Trees that the reader takes as they are: no link in a link, no block in a paragraph."""
+        return t[0] not in inside and not (set(inside) & {"p"} and t[0] in ("div", "section", "ul")) and all(
+            isinstance(c, str) or nested(c, (*inside, t[0]) if t[0] in ("a", "p") else inside) for c in t[1])
+
+    trees = [t for t in (("body", [_dom(r) for _ in range(3)]) for _ in range(3000)) if nested(t)]
+    assert len(trees) > 100
+    for tree in trees:
+        page = html_text.Page(written(tree))
+        body, density, total = html_text.densities(page)
+        want = _plain_density(tree)
+        order = []
+
+        def visit(t, path):
+            order.append(path)
+            for k, c in enumerate(t[1]):
+                if not isinstance(c, str):
+                    visit(c, (*path, k))
+
+        visit(tree, ())
+        assert len(order) == len(page.tag) - 1
+        for node, path in enumerate(order, 1):
+            assert np.isclose(density[node], want[path][0]) and np.isclose(total[node], want[path][1])
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20000 + "deep" + "</div>" * 20000) == "deep"
     assert len(html_text.main_text("<p>word " * 50000)) == 50000 * 6 - 2
@@ -431,29 +551,41 @@ def test_anchors_depend_on_the_string_alone():
 
 # --- search -----------------------------------------------------------------
 
-def test_search(spark, sf, monkeypatch):
-    monkeypatch.setattr(kd_search, "SHARD_ROWS", 100)
-    fit = {i: tuple(np.floor(1024 * np.array(e, float)).astype(int).tolist()) for i, e, _ in vectors()
-           if e and None not in e and np.isfinite(np.array(e, float)).all()}
-    want = set()
-    for q in fit:
+def test_search(spark, sf):
+    fit = [(i, tuple(np.floor(1024 * np.array(e, float)).astype(int).tolist())) for i, e, _ in vectors()
+           if e and None not in e and np.isfinite(np.array(e, float)).all()]
+    want = []
+    for n, (q, u) in enumerate(fit):
         if q % 100 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(fit[q], v)), i) for i, v in fit.items() if i != q and len(v) == len(fit[q]))
-            want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:10])}
-    got = [tuple(r) for r in kd_search.top_k(*_asked(spark, sf), shard_rows=100).collect()]
-    assert set(got) == want and len(got) == len(want)
-    assert set(map(tuple, rows_of(spark, "op8_kd_search", sf))) == want
+            scored = sorted((-sum(a * b for a, b in zip(u, v)), i) for m, (i, v) in enumerate(fit) if m != n and len(v) == len(u))
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:10])]
+    for shard_rows in (100, 8192):
+        got = kd_search.top_k(*_asked(spark, sf), shard_rows=shard_rows).drop("query_row")
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert sorted(map(tuple, rows_of(spark, "op8_kd_search", sf))) == sorted(want)
+    assert len({r[0] for r in want}) < len(want) / 10  # rows that share an id ask as well
 
 
 def _asked(spark, sf):
-    v = kd_search.quantised(spark.read.parquet(f"{sf}/embeddings.parquet"))
+    v = kd_search.quantised(spark.read.parquet(f"{sf}/embeddings.parquet")).withColumn("row", F.monotonically_increasing_id())
+    v = spark.createDataFrame(v.collect(), v.schema)  # rows keep their numbers
     return v, v.filter("vec_id % 100 = 0")
 
 
+def test_rows_that_share_an_id(spark):
+    rows = [(0, 0, [3, 0], 1), (1, 1, [1, 0], 1), (2, 1, [9, 0], 2), (3, 2, [2, 0], 1), (4, 0, [1, 1], 1)]
+    v = spark.createDataFrame(rows, "row long, vec_id long, vector array<long>, copies long")
+    got = kd_search.top_k(v, v.filter("row IN (0, 2)"), k=3).collect()
+    assert sorted(tuple(r) for r in got if r["query_row"] == 0) == [(0, 0, 1, 1, 27), (0, 0, 2, 1, 27), (0, 0, 3, 2, 6)]
+    # Two equal rows ask, each sees the other one.
+    assert sorted(tuple(r) for r in got if r["query_row"] == 2) == sorted([(2, 1, 1, 1, 81), (2, 1, 2, 0, 27), (2, 1, 3, 2, 18)] * 2)
+
+
 def test_scores_beyond_exact_doubles(spark):
     big = 2**29
     v = spark.createDataFrame([(0, [big, 1]), (1, [big, 1]), (2, [big, 2]), (3, [-big, 0])], "vec_id long, vector array<long>")
-    got = [tuple(r) for r in kd_search.top_k(v, v.filter("vec_id = 0")).collect()]
+    v = v.withColumns({"row": F.col("vec_id"), "copies": F.lit(1).cast("long")})
+    got = [tuple(r) for r in kd_search.top_k(v, v.filter("vec_id = 0")).drop("query_row").collect()]
     assert sorted(got) == [(0, 1, 2, big * big + 2), (0, 2, 1, big * big + 1), (0, 3, 3, -big * big)]
 
 
