@@ -14,7 +14,6 @@ ascending order of document ids.
 
 import functools
 import json
-import re
 import struct
 
 import numpy as np
@@ -31,9 +30,10 @@ from mendlake.session import shared_dir
 BLOCK_IDS = 1 << 20
 #: Ones of the bitmap per sampled place.
 SAMPLE = 64
-#: Distinct units, and as many words, in a generation of a worker's tables.
-TABLE_ENTRIES = 400_000
+#: Distinct units and words in a generation of a worker's tables, some 200 bytes each.
+UNIT_ENTRIES, WORD_ENTRIES = 700_000, 200_000
 
+COMPRESSION = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 MAGIC = b"EFT1"
 _HEADER = struct.Struct("<4sBIIqQII")  # magic, id width, documents, null ids, least id, ids, sizes of both sequences
 _SEQUENCE = struct.Struct("<QQB")  # numbers, last number, low bits
@@ -132,14 +132,13 @@ class Block:
 class Remembered(dict):
     """Values of a function, the latest and those used lately kept; bounded by two generations of ``limit`` entries."""
 
-    def __init__(self, make, limit=TABLE_ENTRIES):
+    def __init__(self, make, limit):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
+        old = self.old
+        value = old[key] if key in old else self.make(key)
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
@@ -158,8 +157,7 @@ class UnitCoder:
     """
 
     # White space beyond ASCII, and characters of which libraries differ.
-    _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-    _BESIDE = [p for c in "\t\n\x0b\x0c\r" for p in (c + " ", " " + c)] + ["  "]
+    _ODD = "\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
     def __init__(self, definition):
         self.words = bpe.WordTable(definition)
@@ -171,12 +169,16 @@ class UnitCoder:
         self.packed = [i.to_bytes(self.width, "little") for i in range(size)]
         self.letters = {b: c for c, b in bpe.byte_alphabet().items()}
         self.blank = self.letters[32]
-        self.coded, self.units = Remembered(self._word), Remembered(self._unit)
+        self.coded, self.units = Remembered(self._word, WORD_ENTRIES), Remembered(self._unit, UNIT_ENTRIES)
 
     def _regular(self, text):
-        if any(s in text for s in self.special) or any(p in text for p in self._BESIDE):
+        """Whether spaces stand alone between other characters, and all white space is ASCII."""
+        if "  " in text or any(s in text for s in self.special):
             return False
-        return text.isascii() or not self._ODD.search(text)
+        for c in "\n\t\r\x0b\x0c":  # looking for one character costs next to nothing
+            if c in text and (c + " " in text or " " + c in text):
+                return False
+        return text.isascii() or not any(c in text for c in self._ODD)
 
     def _word(self, word):
         if word in self.special:
@@ -190,7 +192,9 @@ class UnitCoder:
 
     def _unit(self, unit):
         if unit.isalpha():  # one word, and hardly ever one that other units have
-            return self._word(" " + unit)
+            packed = self.packed
+            shown = self.blank + (unit if unit.isascii() else unit.encode().decode("latin-1").translate(self.letters))
+            return b"".join([packed[t.id] for t in self.model.tokenize(shown)])
         if unit[:-1].isalpha() and unit[-1] in ",.;:!?":
             return self.units[unit[:-1]] + self.coded[unit[-1]]
         words = self.words.ascii.findall(" " + unit) if unit.isascii() else self.words.split(" " + unit)
@@ -201,8 +205,10 @@ class UnitCoder:
         out, coded, units = [], self.coded, self.units
         for text in texts:
             if self._regular(text):
-                first, *rest = text.split(" ")
-                out.append(b"".join([*[coded[w] for w in self.words.split(first)], *[units[u] for u in rest]]))
+                parts = text.split(" ")
+                parts[0] = b"".join([coded[w] for w in self.words.split(parts[0])])
+                parts[1:] = [units[u] for u in parts[1:]]
+                out.append(b"".join(parts))
             else:
                 out.append(b"".join([coded[w] for w in self.words.split(text)]))
         return out
@@ -277,7 +283,7 @@ def write_blocks(encoded, path, width, block_ids=BLOCK_IDS):
 
     rows = encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids", F.monotonically_increasing_id().alias("_turn"))
     ordered = rows.repartitionByRange("doc_id", "_turn").sortWithinPartitions("doc_id", "_turn")
-    ordered.select("doc_id", "ids").mapInArrow(run, BLOCKS).write.option("compression", "zstd").parquet(path)
+    ordered.select("doc_id", "ids").mapInArrow(run, BLOCKS).write.options(**COMPRESSION).parquet(path)
 
 
 def read_blocks(spark, path):
@@ -349,7 +355,7 @@ def write_documents(docs, path, definition, end_id=0, block_ids=BLOCK_IDS):
     often; other columns are left aside whatever their names; an empty table
     makes no blocks.
     """
-    encoded = settle(encode(docs, definition, end_id=end_id), "encoded", compression="zstd")
+    encoded = settle(encode(docs, definition, end_id=end_id), "encoded", **COMPRESSION)
     write_blocks(encoded, path, id_width(definition), block_ids)
 
 
