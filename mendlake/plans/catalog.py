@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from mendlake.functions import text as X
 from mendlake.functions.training import active_label
+from mendlake.operators import history as H
 from mendlake.operators import dataset, evaluate, extract, label, query, report, store
 from mendlake.plans import ingest
 from mendlake.plans import proxies as P
@@ -59,6 +60,24 @@ def header_impl_pairs(spark, sf_dir):
     return pairs.select("sha", "ordinal", "header_path", "impl_path")
 
 
+@registered
+def tree_at_commits(spark, sf_dir):
+    """Files and counterparts at every commit, with trees looked up in the history of all paths."""
+    history, commits = P.view(spark, sf_dir, "p_repo_files"), P.commits(spark, sf_dir)
+    files = extract.source_files(history).withColumn("stem", X.stem("path"))
+    asked = files.join(commits.select("repo_url", "sha", "author_date"), ["repo_url", "sha"])
+    tree = H.tree_at(asked, H.path_intervals(commits, history))
+    pairs = extract.header_impl_pairs(files, tree, ("repo_url", "sha"))
+    return pairs.select("sha", "ordinal", "header_path", "impl_path")
+
+
+@registered
+def path_intervals(spark, sf_dir):
+    """Stretches of commits in which each path of each repository exists."""
+    found = H.path_intervals(P.commits(spark, sf_dir), P.view(spark, sf_dir, "p_repo_files"))
+    return found.select("repo_url", "path", F.col("_from.sha").alias("from_sha"), F.col("_until.sha").alias("until_sha"))
+
+
 def _candidates(spark, sf_dir):
     return extract.candidates(
         P.commits(spark, sf_dir), P.view(spark, sf_dir, "p_repo_files").drop("parent_sha"),
@@ -465,8 +484,9 @@ def readable_json_files(spark, sf_dir):
     """Readable documents, one per content hash, read back: code as lists of lines."""
     path = shared_dir(spark, "readable-json")
     io.write_readable_json(P.entries(spark, sf_dir), path)
-    back = spark.read.schema("file_name string, code_hash string, code_original array<string>").json(path)
-    return back.select("file_name", "code_hash", F.size("code_original").alias("n_lines"))
+    back = spark.read.schema("file_name string, code_hash string, code_original array<string>, code_fixed array<string>").json(path)
+    lines = [X.sha256_hex(F.array_join(c, "|")).alias(f"{c}_lines") for c in ("code_original", "code_fixed")]
+    return back.select("file_name", "code_hash", F.size("code_original").alias("n_lines"), *lines)
 
 
 @registered

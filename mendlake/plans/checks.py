@@ -81,6 +81,34 @@ FROM {files} f LEFT JOIN matched m ON m.repo_url = f.repo_url AND m.sha = f.sha
 check("header_impl_pairs", NAMES.format(source="p_repo_files") + PAIRS.format(files="stems") +
       "SELECT sha, ordinal, header_path, impl_path FROM paired", "p_repo_files", "p_repo_tree")
 
+EVENTS = """
+AND_WITH places AS (SELECT repo_url, sha, row_number() OVER (PARTITION BY repo_url ORDER BY author_date, sha) AS n FROM p_commits),
+events AS (SELECT f.repo_url, f.path, p.n, arg_max(f.status, f.ordinal) <> 'removed' AS present
+  FROM p_repo_files f JOIN places p ON p.repo_url = f.repo_url AND p.sha = f.sha GROUP BY f.repo_url, f.path, p.n)
+"""
+check("path_intervals", EVENTS + """,
+turns AS (SELECT * FROM (SELECT *, lag(present) OVER (PARTITION BY repo_url, path ORDER BY n) AS was FROM events)
+  WHERE present <> coalesce(was, false)),
+ended AS (SELECT *, lead(n) OVER (PARTITION BY repo_url, path ORDER BY n) AS until_n FROM turns)
+SELECT e.repo_url, e.path, a.sha AS from_sha, b.sha AS until_sha FROM ended e JOIN places a ON a.repo_url = e.repo_url AND a.n = e.n
+LEFT JOIN places b ON b.repo_url = e.repo_url AND b.n = e.until_n WHERE e.present
+""", "p_commits", "p_repo_files")
+# Every path that could be a counterpart is looked up by its last event up to the commit.
+check("tree_at_commits", EVENTS + NAMES.format(source="p_repo_files").replace("AND_WITH", ",", 1) + r""",
+paths AS (SELECT DISTINCT repo_url, path, regexp_extract(path, '(\.[^./]*)$', 1) AS ext,
+  regexp_extract(path, '([^/]*)\.[^./]*$', 1) AS stem, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir FROM events),
+asked AS (SELECT f.*, p.n FROM stems f JOIN places p ON p.repo_url = f.repo_url AND p.sha = f.sha),
+others AS (SELECT a.sha, a.ordinal, a.dir, a.n, t.repo_url, t.path, t.ext, t.dir AS other_dir FROM asked a
+  JOIN paths t ON t.repo_url = a.repo_url AND t.stem = a.stem AND t.ext IN ('.h', '.hpp', '.cpp', '.cxx', '.cc')
+  AND (t.ext IN ('.h', '.hpp')) = (a.ext NOT IN ('.h', '.hpp'))),
+alive AS (SELECT o.* FROM others o ASOF JOIN events e ON e.repo_url = o.repo_url AND e.path = o.path AND o.n >= e.n WHERE e.present),
+best AS (SELECT sha, ordinal, path AS other FROM (SELECT *, row_number() OVER (PARTITION BY sha, ordinal ORDER BY
+  CASE WHEN other_dir = dir THEN list_position(['.h', '.hpp', '.cpp', '.cxx', '.cc'], ext) ELSE 9 END, path) AS nth FROM alive) WHERE nth = 1)
+SELECT a.sha, a.ordinal, CASE WHEN a.ext IN ('.h', '.hpp') THEN a.path ELSE b.other END AS header_path,
+  CASE WHEN a.ext IN ('.h', '.hpp') THEN b.other ELSE a.path END AS impl_path
+FROM asked a LEFT JOIN best b ON b.sha = a.sha AND b.ordinal = a.ordinal
+""", "p_commits", "p_repo_files")
+
 CANDIDATES = FIX + NAMES.format(source="(SELECT f.repo_url, f.sha, f.ordinal, f.path, f.status, c.parent_sha, c.rule_url, c.author_date FROM p_repo_files f JOIN chosen c ON c.repo_url = f.repo_url AND c.sha = f.sha)").replace("AND_WITH", ",", 1) + FIRST + PAIRS.format(files="firsts") + f""",
 known AS MATERIALIZED (SELECT b.repo_url, b.sha, b.path, b.doc, coalesce(d.text, '') <> '' AS filled FROM p_blob_docs b JOIN documents d ON d.doc_id = b.doc),
 identities AS (
@@ -430,9 +458,12 @@ check("json_lines_files", AS_IS, "p_entries")
 check("json_document_files", AS_IS, "p_entries")
 check("query_result_file", AS_IS + "WHERE logic_error AND 'memleak' IN (issue_1, issue_2, issue_3)", "p_entries")
 check("readable_json_files", f"""
-AND_WITH texts AS (SELECT DISTINCT code_hash, code_original FROM p_entries)
-SELECT code_hash || '.json' AS file_name, code_hash, CASE WHEN code_original = '' THEN 0
-  ELSE len(string_split_regex(regexp_replace(code_original, '(?:{BREAKS})$', ''), '{BREAKS}')) END AS n_lines FROM texts
+AND_WITH texts AS (SELECT code_hash, code_original, code_fixed FROM
+  (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER BY {ORDER.format('DESC')}) AS nth FROM p_entries) WHERE nth = 1),
+lines AS (SELECT *, CASE WHEN code_original = '' THEN [] ELSE string_split_regex(regexp_replace(code_original, '(?:{BREAKS})$', ''), '{BREAKS}') END AS o,
+  CASE WHEN code_fixed = '' THEN [] ELSE string_split_regex(regexp_replace(code_fixed, '(?:{BREAKS})$', ''), '{BREAKS}') END AS f FROM texts)
+SELECT code_hash || '.json' AS file_name, code_hash, len(o) AS n_lines, sha256(coalesce(array_to_string(o, '|'), '')) AS code_original_lines,
+  CASE WHEN code_fixed IS NOT NULL THEN sha256(coalesce(array_to_string(f, '|'), '')) END AS code_fixed_lines FROM lines
 """, "p_entries")
 IMPORTED = """,
 per_hash AS (SELECT code_hash, count(*) AS n, code_hash IN (SELECT code_hash FROM p_store_hashes) AS known FROM good GROUP BY code_hash)
