@@ -680,6 +680,20 @@ def stream_ingest_two_runs(spark, sf_dir):
     return _stored_by_stream(spark, f"{root}/store")
 
 
+@registered
+def stream_remembering(spark, sf_dir):
+    """Candidates that come several times, in several batches and after a restart, taken once from streaming state."""
+    root, taxonomy = shared_dir(spark, "stream-remembering"), P.taxonomy(spark, sf_dir)
+    candidates = P.stream_candidates(spark, sf_dir)
+    part = F.pmod(F.col("sha").cast("long"), F.lit(4))
+    for chosen in (part < 3, part > 0):  # half of them come again
+        candidates.filter(chosen).repartition(2).write.mode("append").parquet(f"{root}/candidates")
+        stream.finish(stream.ingest_stream(
+            stream.read_candidates(spark, f"{root}/candidates", files_per_batch=1),
+            f"{root}/store", f"{root}/checkpoint", taxonomy, now=NOW, within="6 hours"))
+    return _stored_by_stream(spark, f"{root}/store")
+
+
 @registered
 def stream_target(spark, sf_dir):
     """Entries after a run with a target of 50, and after it went on without one."""

@@ -586,7 +586,7 @@ STREAMED = HITS + """
 SELECT substring(code_hash, 1, 24) AS entry_id, code_hash, concat_ws(',', i1, i2) AS cppcheck, i1 IS NOT NULL AS memory_management,
   i2 IS NOT NULL AS invalid_access FROM hits WHERE i1 IS NOT NULL OR i2 IS NOT NULL
 """
-for name in ("stream_ingest", "stream_ingest_two_runs"):
+for name in ("stream_ingest", "stream_ingest_two_runs", "stream_remembering"):
     check(name, STREAMED, "p_stream")
 check("stream_target", HITS + """,
 total AS (SELECT count(*) AS n FROM hits WHERE i1 IS NOT NULL OR i2 IS NOT NULL)

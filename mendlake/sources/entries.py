@@ -1,8 +1,10 @@
 """Readers and writers of entries: JSON documents, JSON lines, flat CSV, Parquet."""
 
 import csv
+import io
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -207,15 +209,28 @@ def read_csv(spark, path, first_row_only=False):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+#: Lines that a header may take, with line breaks in quoted names.
+HEADER_LINES = 50
+
+
 def csv_headers(spark, path):
     """(column names, files) for each header among the CSV files; of repeated names the first counts."""
     lines = spark.read.option("pathGlobFilter", "*.csv").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("line"), "value")
-    first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    place = F.row_number().over(Window.partitionBy("file").orderBy("line"))
+    # Tasks keep the first lines of a file before they send any.
+    first = lines.filter("start = 0").withColumn("nth", place).filter(F.col("nth") <= HEADER_LINES)
+    heads = first.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("nth", "value"))).alias("l"))
+    # The first line, or as many as it takes to close its quotes.
+    quotes = F.transform(F.sequence(F.lit(1), F.size("l")), lambda n: F.struct(
+        (F.regexp_count(F.array_join(F.transform(F.slice("l", 1, n), lambda x: x["value"]), "\n"), F.lit('"')) % 2).alias("odd"), n.alias("n")))
+    n = F.coalesce(F.get(F.filter(quotes, lambda q: q["odd"] == 0), 0)["n"], F.size("l"))
+    header = F.array_join(F.transform(F.slice("l", 1, n), lambda x: x["value"]), "\n")
     found = []
-    for r in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
-        names = next(csv.reader([r["header"].removeprefix("\ufeff")]))
+    grouped = heads.select("file", header.alias("header")).groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    for r in grouped.orderBy("header").collect():
+        names = next(csv.reader(io.StringIO(r["header"].removeprefix("\ufeff"), newline="")))
         names = [n if n not in names[:i] else f"_repeated_{i}" for i, n in enumerate(names)]
         found.append((names, list(r["files"])))
     return found

@@ -97,8 +97,29 @@ def insert_batch(batch, batch_id, path, taxonomy, target=None, now=None, strict=
         raise TargetReached(REACHED)
 
 
-def ingest_stream(candidates, path, checkpoint, taxonomy, target=None, now=None, strict=True, trigger=None):
-    """Starts the stream; by default it takes all that waits and then stops. See ``finish``."""
+def once_within(candidates, duration, keys=("pair_id",)):
+    """Candidates without those that came already within ``duration``, from streaming state.
+
+    The time of a candidate is that of the micro-batch that reads it, so none is
+    ever late, however old its commit, and none is lost: what comes again after
+    its key has left the state is found by the store. State holds the keys of
+    the last ``duration`` only.
+    """
+    timed = candidates.withColumn("_read", F.current_timestamp()).withWatermark("_read", duration)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_read")
+
+
+def ingest_stream(candidates, path, checkpoint, taxonomy, target=None, now=None, strict=True, trigger=None, within=None):
+    """Starts the stream; by default it takes all that waits and then stops. See ``finish``.
+
+    With ``within``, such as ``"6 hours"``, pairs that came in that time are
+    dropped by ``once_within`` before they are labelled. A stream with a target
+    must do without: its last batch comes again, but its state would not.
+    """
+    if within:
+        if target is not None:
+            raise ValueError("a stream with a target cannot remember what it has read")
+        candidates = once_within(candidates, within)
     run = run_name(candidates.sparkSession, checkpoint)
 
     def each(batch, batch_id):

@@ -21,7 +21,7 @@ def line(issue):
 def candidate(n, text, before, after, fixed="fixed"):
     when = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=n)
     return (
-        text, fixed, "https://github.com/o/r", f"s{n:03d}", when, f"f{n}", sha(text), sha(sha(text) + sha(fixed)),
+        text, fixed, "https://github.com/o/r", f"s{n:03d}", when, f"f{n}", sha(text), sha(sha(text) + sha(fixed or "")),
         None if before is None else [line(i) for i in before], None if after is None else [line(i) for i in after],
     )
 
@@ -166,6 +166,51 @@ def test_runs_and_appends_share_a_store(spark, candidates, taxonomy, tmp_path):
     assert rows(io.read_store(spark, str(tmp_path / "compact"))) == rows(io.read_store(spark, path))
 
 
+def test_pairs_without_fixed_code_have_all_issues(spark, taxonomy):
+    rows = [candidate(1, "a", ["memleak", "zerodiv"], None, fixed=None), candidate(2, "b", ["memleak"], None, fixed=""),
+            candidate(3, "c", ["memleak"], None), candidate(4, "d", ["syntaxError"], None, fixed=None)]
+    rows = [(*r[:7], f"pair{n}", *r[8:]) for n, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, stream.CANDIDATE_SCHEMA)
+    out = ingest.new_entries(df.drop("before_lines", "after_lines"), stream.diagnostic_rows(df), taxonomy,
+                             spark.createDataFrame([], "code_hash string"), NOW)
+    assert rows_of(out) == sorted([(sha("a"), ("memleak", "zerodiv")), (sha("b"), ("memleak",))])
+    counts = ingest.stage_counts(df, stream.diagnostic_rows(df), taxonomy, spark.createDataFrame([], "code_hash string"))
+    assert {r["stage"]: r["n_rows"] for r in counts.collect()} == {"pushed": 4, "labelled": 2, "inserted": 2}
+
+
+def rows_of(df):
+    return sorted((r["code_hash"], tuple(r["labels"]["cppcheck"])) for r in df.collect())
+
+
+def test_a_stream_that_remembers(spark, candidates, taxonomy, tmp_path):
+    source, path, checkpoint, out = (str(tmp_path / n) for n in ("in", "store", "cp", "out"))
+    for turn in range(2):  # the same candidates again, by older commits and after a restart
+        older = F.col("commit_date") - F.expr(f"interval {turn} years")
+        candidates.withColumn("commit_date", older).repartition(2).write.mode("append").parquet(source)
+        run_stream(spark, taxonomy, source, path, checkpoint, within="1 hour")
+        once = stream.once_within(stream.read_candidates(spark, source, files_per_batch=1), "1 hour")
+        (once.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{checkpoint}-once")
+         .trigger(availableNow=True).start().awaitTermination())
+    assert sorted(r["code_hash"] for r in io.read_store(spark, path).collect()) == sorted({w[0] for w in WANT} | {sha("g")})
+    pairs = sorted(r["pair_id"] for r in spark.read.parquet(out).collect())
+    assert pairs == sorted(r["pair_id"] for r in candidates.select("pair_id").distinct().collect())
+    with pytest.raises(ValueError):
+        stream.ingest_stream(stream.read_candidates(spark, source), path, checkpoint, taxonomy, target=3, within="1 hour")
+
+
+def test_settings_choose_repositories_and_dates(spark, candidates):
+    rules = spark.createDataFrame(
+        [("https://github.com/o/a.git", dt.date(2024, 1, 1), dt.date(2024, 1, 1)), ("https://github.com/o/b", None, None), ("nowhere", None, None)],
+        "url string, start_date date, end_date date").withColumn("fix_regexes", F.array().cast("array<string>"))
+    row = candidates.limit(1)
+    urls = [("https://github.com/o/a", "2024-01-01 23:59:59"), ("https://github.com/o/a", "2024-01-02"), ("https://github.com/o/b", "2019-12-31"),
+            ("https://github.com/o/b.git", "2030-01-01"), ("https://github.com/o/c", "2024-01-01")]
+    df = row.drop("repo_url", "commit_date").crossJoin(spark.createDataFrame(urls, "repo_url string, day string"))
+    df = df.withColumn("commit_date", F.col("day").cast("timestamp")).drop("day")
+    got = [(r["repo_url"][-5:], r["commit_date"].year) for r in stream.of_repositories(df, rules).collect()]
+    assert sorted(got) == [("b.git", 2030), ("m/o/a", 2024)]
+
+
 def test_rate(spark):
     start = dt.datetime(2024, 1, 1)
     seconds = [0, 1, 4.9, 5, 12]

@@ -262,3 +262,14 @@ def test_readable_documents_are_written(spark, df, tmp_path):
     got = spark.read.json(str(tmp_path / "out"))
     assert got.count() == df.count() and {r["repo"]["commit_hash"] for r in got.collect()} == {"zzz"}
     assert "array" in dict(got.dtypes)["code_original"]
+
+
+def test_csv_header_with_line_breaks_in_its_names(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"repo\nurl","code\n""x""",code_hash\n"u\nv",2,3\n')
+    (tmp_path / "b.csv").write_text("code_hash,repo_url\n7,8\n")
+    (tmp_path / "c.csv").write_text("")
+    (tmp_path / "d.csv").write_text('"never closed\n1,2\n')
+    found = {tuple(names): [f.rsplit("/", 1)[1] for f in files] for names, files in io.csv_headers(spark, str(tmp_path))}
+    assert found[("repo\nurl", 'code\n"x"', "code_hash")] == ["a.csv"] and found[("code_hash", "repo_url")] == ["b.csv"] and len(found) == 3
+    (tmp_path / "d.csv").unlink()
+    assert sorted(r["code_hash"] for r in io.read_csv(spark, str(tmp_path)).collect()) == ["3", "7"]
