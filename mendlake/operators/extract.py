@@ -158,8 +158,8 @@ def header_impl_pairs(files, tree, keys=("repo_url", "sha")):
         X.dir_name("path").alias("_dir"),
         is_header.alias("_header"),
     )
-    # Trees of commits that nobody asks about go before anything is grouped.
-    sources = sources.join(files.select(*keys).distinct(), list(keys), "left_semi")
+    if "sha" in keys:  # trees of commits that nobody asks about go before anything is grouped
+        sources = sources.join(files.select(*keys).distinct(), list(keys), "left_semi")
     per_dir = sources.groupBy(*keys, "stem", "_header", "_dir").agg(
         F.min(F.struct("_rank", "_path"))["_path"].alias("_sibling"),
         F.min(F.struct("ordinal", "_path")).alias("_first"),

@@ -78,17 +78,18 @@ def path_intervals(spark, sf_dir):
     return found.select("repo_url", "path", F.col("_from.sha").alias("from_sha"), F.col("_until.sha").alias("until_sha"))
 
 
-def _candidates(spark, sf_dir):
+def _candidates(spark, sf_dir, blobs=None):
     return extract.candidates(
         P.commits(spark, sf_dir), P.view(spark, sf_dir, "p_repo_files").drop("parent_sha"),
-        P.view(spark, sf_dir, "p_repo_tree"), P.blob_store(spark, sf_dir, shared_dir(spark, "blobs")),
+        P.view(spark, sf_dir, "p_repo_tree"), P.view(spark, sf_dir, "p_blobs") if blobs is None else blobs,
         P.rules(spark, sf_dir), NOW, ("repo_url",),
     )
 
 
 @registered
 def candidates(spark, sf_dir):
-    return _candidates(spark, sf_dir).select(
+    """Before and after code, from contents by identity in bucketed tables."""
+    return _candidates(spark, sf_dir, P.blob_store(spark, sf_dir, shared_dir(spark, "blobs"))).select(
         "repo_url", "sha", "base_name", "code_hash", X.sha256_hex("code_fixed").alias("fixed_hash"),
         F.length("code_original").alias("n_original"), F.length("code_fixed").alias("n_fixed"),
     )
