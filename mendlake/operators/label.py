@@ -48,17 +48,8 @@ def filter_issues(issues, taxonomy):
     return issues.join(taxonomy.filter("ignored").select("issue_id"), "issue_id", "left_anti")
 
 
-def fixed_issues(diagnostics, taxonomy, key="pair_id", strict=True, fixed=None):
-    """Issues found before and no longer after, as ``issues`` of (issue_id, category).
-
-    A pair with a side that failed or was never analysed has no trustworthy
-    difference and is left out; ``strict=False`` takes such an ``after`` side for
-    one without findings. ``fixed`` names pairs (column ``key``) that have fixed
-    code: for others all issues found before count, whatever rows the other side has.
-
-    The first grouping, by pair and issue, leaves few rows for the second, so a
-    pair with very many diagnostic lines is reduced before it meets in one task.
-    """
+def _found_per_pair(diagnostics, taxonomy, key):
+    """Per pair what was found before, whether it was found after, and which sides were analysed or failed."""
     found = cppcheck_id(F.col("line"))
     failed = F.coalesce(F.col("status"), F.lit("ok")) != "ok"
     before, after = F.col("side") == "before", F.col("side") == "after"
@@ -77,13 +68,27 @@ def fixed_issues(diagnostics, taxonomy, key="pair_id", strict=True, fixed=None):
     )
     known = per_issue.join(taxonomy.select("issue_id", "category", "ignored"), "issue_id", "left")
     counts = F.col("issue_id").isNotNull() & F.col("_before") & ~F.coalesce("ignored", F.lit(False))
-    per_pair = known.groupBy(key).agg(
+    return known.groupBy(key).agg(
         F.bool_or("_before").alias("_analysed"),
         F.bool_or("_after").alias("_after_analysed"),
         F.bool_or("_before_failed").alias("_before_failed"),
         F.bool_or("_after_failed").alias("_after_failed"),
         F.collect_list(F.when(counts, F.struct("issue_id", "category", "_after"))).alias("_found"),
     )
+
+
+def fixed_issues(diagnostics, taxonomy, key="pair_id", strict=True, fixed=None):
+    """Issues found before and no longer after, as ``issues`` of (issue_id, category).
+
+    A pair with a side that failed or was never analysed has no trustworthy
+    difference and is left out; ``strict=False`` takes such an ``after`` side for
+    one without findings. ``fixed`` names pairs (column ``key``) that have fixed
+    code: for others all issues found before count, whatever rows the other side has.
+
+    The first grouping, by pair and issue, leaves few rows for the second, so a
+    pair with very many diagnostic lines is reduced before it meets in one task.
+    """
+    per_pair = _found_per_pair(diagnostics, taxonomy, key)
     if fixed is not None:
         per_pair = per_pair.join(fixed.select(key).distinct().withColumn("_fixed", F.lit(True)), key, "left")
         ignore_after = F.col("_fixed").isNull()
@@ -125,16 +130,36 @@ def group_flags(issues, scheme="fine13"):
 def label_pairs(diagnostics, taxonomy, key="pair_id", scheme="fine13", strict=True, fixed=None):
     """``key, labels`` with the removed issues, an empty clang object and the flags."""
     issues = fixed_issues(diagnostics, taxonomy, key, strict, fixed)
-    return issues.select(
-        key,
-        F.struct(
-            F.transform("issues", lambda x: x["issue_id"]).alias("cppcheck"),
-            F.lit("{}").alias("clang"),
-            group_flags(F.col("issues"), scheme).alias("groups"),
-        ).alias("labels"),
+    return issues.select(key, _labels(F.col("issues"), scheme).alias("labels"))
+
+
+def _labels(issues, scheme):
+    return F.struct(
+        F.transform(issues, lambda x: x["issue_id"]).alias("cppcheck"),
+        F.lit("{}").alias("clang"),
+        group_flags(issues, scheme).alias("groups"),
     )
 
 
+def label_both(diagnostics, taxonomy, key="pair_id", scheme="fine13", strict=True):
+    """``key, labels, labels_unfixed``: as ``label_pairs`` for a pair with fixed code, and for one without.
+
+    For those who know only later which of their pairs have fixed code. Null
+    where the analyses that count failed or are not there.
+    """
+    before, after = ~F.col("_before_failed"), F.col("_after_analysed") & ~F.col("_after_failed")
+    gone = F.filter("_found", lambda x: ~x["_after"] if strict else ~x["_after"] | F.col("_after_failed"))
+    sides = _found_per_pair(diagnostics, taxonomy, key).filter("_analysed").select(
+        key, F.when(before & after if strict else before, gone).alias("_gone"), F.when(before, F.col("_found")).alias("_all"))
+
+    def listed(c):
+        return F.array_sort(F.transform(c, lambda x: F.struct(x["issue_id"], x["category"])))
+
+    sides = sides.select(key, listed("_gone").alias("_gone"), listed("_all").alias("_all"))
+    return sides.select(key, *[
+        F.when(F.col(c).isNotNull(), _labels(F.col(c), scheme)).alias(name) for c, name in (("_gone", "labels"), ("_all", "labels_unfixed"))])
+
+
 def labelled(pairs):
     """Pairs with at least one removed issue."""
     return pairs.filter(F.size("labels.cppcheck") > 0)

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from mendlake.functions import text as X
 from mendlake.operators import store
 from mendlake.operators.extract import DEFAULT_START
-from mendlake.operators.label import label_pairs
-from mendlake.plans.ingest import build_entries, first_per_pair, label_candidates, with_fixed_code
+from mendlake.operators.label import label_both
+from mendlake.plans.ingest import build_entries, first_per_pair, label_candidates
 from mendlake.session import settle
 from mendlake.sources import config, store_files
 
@@ -84,7 +84,7 @@ def insert_batch(batch, batch_id, path, taxonomy, target=None, now=None, strict=
     once = first_per_pair(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stored = store_files.known_hashes(spark, path, once, apart_from=(run, batch_id))
-        labels = label_pairs(diagnostic_rows(once), taxonomy, strict=strict, fixed=with_fixed_code(once))
+        labels = label_both(diagnostic_rows(once), taxonomy, strict=strict)
         columns = [c for c in batch.columns if c not in ("before_lines", "after_lines")]
         entries = build_entries(label_candidates(once.select(*columns), labels), now)
         fresh = store.insert_if_new(entries, stored)
