@@ -27,12 +27,12 @@ HIDDEN = 16
 ROUNDS = 2
 #: Positions are dealt to so many disjoint masks; each round takes its part of the masks, all rounds together all.
 MASKED = 8
-MINI_BATCH = 1024
+MINI_BATCH = 4096
 RATE = 0.1
 #: Models that are averaged in one task.
 FAN_IN = 32
-#: Positions that are scored at a time.
-CHUNK = 50_000
+#: Positions that are scored at a time; what a step computes then stays in a core's cache.
+CHUNK = 4096
 #: Places of words outside the vocabulary that a task gathers before it passes them on.
 GATHERED = 500_000
 
@@ -90,33 +90,60 @@ def _hidden(net, ids, at):
     return np.tanh(total, out=total)
 
 
-def _log_softmax(x):
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+_ONES = np.ones(CLASS_SIZE, np.float32)
+#: Logits of at most this size need no shift before their exponentials are summed as float32.
+SAFE = 60.0
+
+
+def _largest(weights, bias):
+    """What the size of a logit cannot exceed: hidden values are at most 1 in size."""
+    return np.abs(weights).sum(axis=-1).max() + np.abs(bias).max()
+
+
+def _shifted(x, largest):
+    if not largest <= SAFE:
+        x -= x.max(axis=1, keepdims=True)
+    return x
+
+
+def _log_shares(x, column, largest):
+    """The logarithm of each row's share at ``column`` in the softmax of ``x``, which is overwritten."""
+    x = _shifted(x, largest)
+    own = x[np.arange(len(x)), column].astype(float)
+    return own - np.log(np.exp(x, out=x) @ _ONES)
+
+
+def _errors(x, column, largest):
+    """Softmax of ``x``, in place, less 1 at each row's ``column``."""
+    x = _shifted(x, largest)
+    np.exp(x, out=x)
+    x *= (1 / (x @ _ONES))[:, None]
+    x[np.arange(len(x)), column] -= 1
+    return x
+
+
+def _by_class(ids, at):
+    """Positions in the order of their words' classes, with that order and [first, last) for each class."""
+    group = (ids[at] // CLASS_SIZE).astype(np.uint8)
+    order = np.argsort(group, kind="stable")
+    return at[order], order, np.searchsorted(group[order], np.arange(CLASSES + 1)).tolist()
 
 
 def log_probabilities(net, ids, at):
     """Log-probability of the word at each position: of its class, and of itself within the class."""
     out = np.empty(len(at))
-    for start in range(0, len(at), CHUNK):
-        here = at[start:start + CHUNK]
-        h = _hidden(net, ids, here)
-        group, word = np.divmod(ids[here], CLASS_SIZE)
-        score = _log_softmax(h @ net["classes"].T + net["class_bias"])[np.arange(len(here)), group].astype(float)
-        for g, rows in _by_class(group):
-            inner = _log_softmax(h[rows] @ net["words"][g].T + net["word_bias"][g])
-            score[rows] += inner[np.arange(len(rows)), word[rows]]
-        out[start:start + CHUNK] = score
+    at, order, cuts = _by_class(ids, at)
+    outer, inner = _largest(net["classes"], net["class_bias"]), _largest(net["words"], net["word_bias"])
+    for g, (first, last) in enumerate(zip(cuts, cuts[1:])):
+        for start in range(first, last, CHUNK):
+            end = min(start + CHUNK, last)
+            h = _hidden(net, ids, at[start:end])
+            score = _log_shares(h @ net["classes"].T + net["class_bias"], g, outer)
+            score += _log_shares(h @ net["words"][g].T + net["word_bias"][g], ids[at[start:end]] % CLASS_SIZE, inner)
+            out[order[start:end]] = score
     return out
 
 
-def _by_class(group):
-    """(class, rows) for the classes that occur."""
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    return [(g, order[cuts[g]:cuts[g + 1]]) for g in range(CLASSES) if cuts[g] < cuts[g + 1]]
-
-
 class Trainer:
     """Adagrad on mini-batches of masked positions."""
 
@@ -125,10 +152,16 @@ class Trainer:
         self.squares = {k: np.full_like(v, 1e-3) for k, v in net.items()}
         self.mini_batch, self.seen = mini_batch, 0
 
-    def _step(self, name, index, gradient):
-        squares, values = self.squares[name], self.net[name]
-        squares[index] += gradient * gradient
-        values[index] -= RATE * gradient / np.sqrt(squares[index])
+    def _step(self, name, gradient, rows=None):
+        squares, values = (x[name].reshape(-1, *gradient.shape[1:]) for x in (self.squares, self.net))
+        if rows is None:
+            squares += gradient * gradient
+            values -= RATE * gradient / np.sqrt(squares)
+            return
+        total = squares.take(rows, axis=0)
+        total += gradient * gradient
+        squares[rows] = total
+        values[rows] = values.take(rows, axis=0) - RATE * gradient / np.sqrt(total)
 
     def train(self, ids, at):
         for start in range(0, len(at), self.mini_batch):
@@ -137,28 +170,34 @@ class Trainer:
 
     def _batch(self, ids, at):
         net = self.net
-        h = _hidden(net, ids, at)
+        at, _, cuts = _by_class(ids, at)
         group, word = np.divmod(ids[at], CLASS_SIZE)
-        outer = np.exp(_log_softmax(h @ net["classes"].T + net["class_bias"]))
-        outer[np.arange(len(at)), group] -= 1
-        back = outer @ net["classes"]
-        for g, rows in _by_class(group):
-            here, weights = h[rows], net["words"][g]
-            inner = np.exp(_log_softmax(here @ weights.T + net["word_bias"][g]))
-            inner[np.arange(len(rows)), word[rows]] -= 1
-            back[rows] += inner @ weights
-            self._step("words", g, inner.T @ here)
-            self._step("word_bias", g, inner.sum(axis=0))
+        spans = [(g, a, b) for g, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+        h = _hidden(net, ids, at)
+        outer = _errors(h @ net["classes"].T + net["class_bias"], group, _largest(net["classes"], net["class_bias"]))
+        inner = net["word_bias"][group]
+        for g, a, b in spans:
+            inner[a:b] += h[a:b] @ net["words"][g].T
+        inner = _errors(inner, word, _largest(net["words"], net["word_bias"]))
+        back, words, bias = outer @ net["classes"], np.zeros_like(net["words"]), np.zeros_like(net["word_bias"])
+        ones = np.ones(len(at), np.float32)
+        for g, a, b in spans:
+            back[a:b] += inner[a:b] @ net["words"][g]
+            words[g], bias[g] = inner[a:b].T @ h[a:b], ones[a:b] @ inner[a:b]
         back *= 1 - h * h
-        self._step("classes", slice(None), outer.T @ h)
-        self._step("class_bias", slice(None), outer.sum(axis=0))
-        self._step("hidden_bias", slice(None), back.sum(axis=0))
-        for side, step in enumerate(CONTEXT):
-            near = ids[at + step]
-            order = np.argsort(near, kind="stable")
-            near = near[order]
-            first = np.flatnonzero(np.diff(near, prepend=-1))
-            self._step("sides", (side, near[first]), np.add.reduceat(back[order], first, axis=0))
+        self._step("words", words)
+        self._step("word_bias", bias)
+        self._step("classes", outer.T @ h)
+        self._step("class_bias", ones @ outer)
+        self._step("hidden_bias", ones @ back)
+        # The rows of all sides in one table; each that occurs gets a slot, in which its gradients are summed.
+        near = np.concatenate([ids[at + step] + side * VOCABULARY for side, step in enumerate(CONTEXT)])
+        occurs = np.zeros(len(CONTEXT) * VOCABULARY, bool)
+        occurs[near] = True
+        used, slot = np.flatnonzero(occurs), np.cumsum(occurs) - 1
+        slot, columns = slot[near], np.tile(back.T, len(CONTEXT))
+        sums = [np.bincount(slot, column, len(used)) for column in columns]
+        self._step("sides", np.stack(sums, axis=1).astype(np.float32), used)
 
 
 def _flat(net):
