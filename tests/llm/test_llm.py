@@ -495,6 +495,27 @@ def test_probabilities_sum_to_one():
     assert total == pytest.approx(1, abs=1e-3)
 
 
+@pytest.mark.parametrize("scale", [0.1, 30.0])
+def test_network_equals_plain_loops(scale):
+    pl, rng = pseudo_likelihood, np.random.default_rng(8)
+    net = pl.new_network(rng.integers(0, 50, pl.VOCABULARY).astype(float))
+    net = {k: (v + rng.normal(0, scale, v.shape)).astype(np.float32) for k, v in net.items()}
+    ids = np.concatenate([[0, 0], rng.integers(1, pl.VOCABULARY, 60), [0, 0]]).astype(np.int32)
+    at = rng.permutation(np.arange(2, 62))
+
+    def log_share(weights, bias, hidden, chosen):
+        logits = [sum(float(w) * x for w, x in zip(row, hidden)) + float(b) for row, b in zip(weights, bias)]
+        return logits[chosen] - max(logits) - np.log(sum(np.exp(x - max(logits)) for x in logits))
+
+    for place, got in zip(at, pl.log_probabilities(net, ids, at)):
+        hidden = [np.tanh(float(net["hidden_bias"][k]) + sum(
+            float(net["sides"][side][ids[place + step]][k]) for side, step in enumerate(pl.CONTEXT))) for k in range(pl.HIDDEN)]
+        group, word = divmod(int(ids[place]), pl.CLASS_SIZE)
+        want = log_share(net["classes"], net["class_bias"], hidden, group)
+        want += log_share(net["words"][group], net["word_bias"][group], hidden, word)
+        assert got == pytest.approx(want, rel=1e-3, abs=1e-3)
+
+
 # --- repeated bytes ---------------------------------------------------------
 
 @pytest.mark.parametrize("hot,merge", [(5000, 2_000_000), (1, 2_000_000), (5000, 3000)])
@@ -539,6 +560,23 @@ def test_merge_equals_sorting(shards):
             assert (block[i] == block[i - 1]) == (a == b)
 
 
+@pytest.mark.parametrize("shard", [200, 10_000_000])
+def test_first_documents_equal_a_search_of_all_strings(monkeypatch, shard):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard)
+    rng = np.random.default_rng(6)
+    strings = [bytes(rng.integers(0, 256 if i % 2 else 2, rng.integers(50, 110)).astype(np.uint8)) for i in range(40)]
+    strings += [s[:30] + strings[i][-60:] for i, s in enumerate(strings[:20])] + [b"a" * 60, b"a" * 90, b"ab" * 40]
+    strings = list(dict.fromkeys(s.replace(b"\xff", b"\xfe") for s in strings))
+    firsts = rng.integers(0, 20, len(strings))
+    least = {}
+    for s, f in zip(strings, firsts.tolist()):
+        for i in range(len(s) - 49):
+            least[s[i:i + 50]] = min(f, least.get(s[i:i + 50], f))
+    for s, f, got in zip(strings, firsts.tolist(), suffix_dedup.first_documents(strings, firsts)):
+        want = [least[s[i:i + 50]] for i in range(len(s) - 49)]
+        assert ([got] * len(want) if isinstance(got, int) else got.tolist()) == want
+
+
 def test_anchors_depend_on_the_string_alone():
     rng = np.random.default_rng(3)
     data = rng.integers(0, 4, 400).astype(np.uint8)
