@@ -7,13 +7,14 @@ blocked Bloom filter per part and prefix, as rows of bitmaps: a hash sets four
 bits of one bitmap that it names itself. Only hashes whose bits are all set are
 looked for in the part, so a false positive costs a read and never a row.
 
-Filters are written before the entries they are for: a write that fails in
-between leaves a filter that is too full, never one that lacks an entry.
+A part's filters are made from what was written; until then it has none, and a
+part without filters is read in any case. Changes write theirs before the entries.
 Changes rewrite the partitions that hold changed entries and no others.
 """
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,11 +60,12 @@ def read_store(spark, path):
     return opened.select(*ENTRY_SCHEMA.fieldNames())
 
 
-def write_store(entries, path, mode="errorifexists", files_per_prefix=1):
+def write_store(entries, path, mode="errorifexists", files_per_prefix=None):
     """Writes entries as a part of their own; ``overwrite`` replaces the whole store.
 
-    ``files_per_prefix`` is how many tasks write a prefix: one for small parts,
-    more where a sixteenth of the entries is too much for one.
+    ``files_per_prefix`` is how many tasks write a prefix; unless given, adaptive
+    execution takes one for small parts and more where a sixteenth of the entries
+    is too much for one.
     """
     part = entries.select(*ENTRY_SCHEMA.fieldNames())
     if mode == "overwrite":
@@ -74,19 +76,26 @@ def write_store(entries, path, mode="errorifexists", files_per_prefix=1):
     write_part(part, path, new_run("batch"), 0, files_per_prefix)
 
 
-def write_part(entries, path, run, batch_id, files_per_prefix=1):
+def write_part(entries, path, run, batch_id, files_per_prefix=None):
     """Writes, or writes again, one part and its filters; returns how many entries it has.
 
-    ``entries`` is read twice; give a table, or something kept, rather than a long plan.
+    ``entries`` is read once. Filters that the part had go first, and the new ones
+    are made from the entries written: a write that fails in between leaves a
+    part without filters, never one whose filters lack an entry.
     """
     spark = entries.sparkSession
-    write_filters(entries.select("code_hash", F.lit(run).alias("run"), F.lit(batch_id).cast("long").alias("batch_id")), path, run, batch_id)
+    spark.createDataFrame([], FILTER_SCHEMA).drop(*PART).write.mode("overwrite").parquet(f"{path}/_filters/run={run}/batch_id={batch_id}")
     seen = Observation("inserted")
     dealt = entries.select(*ENTRY_SCHEMA.fieldNames(), prefix_of(F.col("code_hash")).alias("prefix"))
-    dealt = dealt.repartition("prefix", F.pmod(F.xxhash64("code_hash"), F.lit(files_per_prefix)))
+    if files_per_prefix is None:
+        dealt = dealt.hint("rebalance", "prefix")
+    else:
+        dealt = dealt.repartition("prefix", F.pmod(F.xxhash64("code_hash"), F.lit(files_per_prefix)))
     target = f"{path}/run={run}/batch_id={batch_id}"
     counted = dealt.observe(seen, F.count(F.lit(1)).alias("n"))
     counted.write.mode("overwrite").partitionBy("prefix").parquet(target)
+    written = spark.read.schema(ENTRY_SCHEMA).parquet(target)
+    write_filters(written.select("code_hash", F.lit(run).alias("run"), F.lit(batch_id).cast("long").alias("batch_id")), path, run, batch_id)
     return seen.get["n"]
 
 
@@ -186,15 +195,22 @@ def stored_suspects(opened, suspects):
     return opened.select("code_hash", *PART).join(suspects, ["code_hash", *PART], "left_semi").select("code_hash")
 
 
-def append_new(entries, path, files_per_prefix=1):
-    """Appends what the store does not have and returns how many entries that were."""
+def append_new(entries, path, files_per_prefix=None):
+    """Appends what the store does not have and returns how many entries that were.
+
+    Hashes are looked up before any text is read; rows are then read for the new
+    hashes alone. ``entries`` is read twice: give something kept rather than a long plan.
+    """
     spark = entries.sparkSession
-    once = settle(store.one_per_hash(entries), "append")
-    fresh = once.join(known_hashes(spark, path, once), "code_hash", "left_anti").select(*ENTRY_SCHEMA.fieldNames())
-    return write_part(settle(fresh, "fresh"), path, new_run("batch"), 0, files_per_prefix)
+    hashes = settle(entries.select("code_hash").distinct(), "append")
+    new = settle(hashes.join(known_hashes(spark, path, hashes), "code_hash", "left_anti"), "fresh")
+    fresh = entries.join(new, "code_hash", "left_semi")
+    if not new.filter("code_hash IS NULL").isEmpty():  # no key to look up: the first arrival without a hash is new
+        fresh = fresh.union(entries.filter("code_hash IS NULL").select(*fresh.columns))
+    return write_part(store.one_per_hash(fresh.select(*entries.columns)), path, new_run("batch"), 0, files_per_prefix)
 
 
-def compact_store(spark, path, new_path, files_per_prefix=1):
+def compact_store(spark, path, new_path, files_per_prefix=None):
     """The same entries as one part at a new place, for stores of very many small parts or of an older layout."""
     write_store(read_store(spark, path), new_path, files_per_prefix=files_per_prefix)
 
@@ -204,7 +220,7 @@ def compact_store(spark, path, new_path, files_per_prefix=1):
 def update_store(spark, path, updates):
     """Applies ``store.update_entries`` in place; returns ``entry_id, matched, modified, refused`` of the entries named."""
     def change(touched, opened):
-        changed = store.update_entries(touched, updates, holders=opened.select("entry_id", "code_hash"))
+        changed = _kept(store.update_entries(touched, updates, holders=opened.select("entry_id", "code_hash")))
         return changed, changed.filter("matched").select("entry_id", "matched", "modified", "refused")
 
     return _change(spark, path, updates, change)
@@ -213,7 +229,7 @@ def update_store(spark, path, updates):
 def patch_store(spark, path, edits):
     """Applies ``store.patch_labels`` in place; returns ``entry_id`` of the entries it found."""
     def change(touched, opened):
-        changed = store.patch_labels(touched, edits)
+        changed = _kept(store.patch_labels(touched, edits))
         return changed, changed.filter("matched").select("entry_id")
 
     return _change(spark, path, edits, change)
@@ -222,11 +238,16 @@ def patch_store(spark, path, edits):
 def delete_from_store(spark, path, ids):
     """Removes the listed entries in place; returns ``entry_id`` of those that were there."""
     def change(touched, opened):
-        return store.delete_entries(touched, ids), store.deleted_entries(touched, ids).select("entry_id")
+        return _kept(store.delete_entries(touched, ids)), store.deleted_entries(touched, ids).select("entry_id")
 
     return _change(spark, path, ids, change)
 
 
+def _kept(changed):
+    """Changed rows on the executors' disks, for the report and the write; a lost copy is computed again."""
+    return changed.persist(StorageLevel.DISK_ONLY)
+
+
 def _change(spark, path, changes, change):
     """Rewrites the partitions that hold an entry of ``changes(entry_id)``, after ``change(touched, opened)``.
 
@@ -243,7 +264,6 @@ def _change(spark, path, changes, change):
     changed, report = change(touched, opened)
     report = settle(report, "changes")
     rows = changed.select(*ENTRY_SCHEMA.names, *PART, prefix_of(F.col("code_hash")).alias("prefix"), F.col("prefix").alias("_was"))
-    rows = settle(rows, "changed")
     moved = rows.filter("prefix != _was")
     extra = moved.select(*PARTITION).distinct().join(parts, list(PARTITION), "left_anti")
     beside = opened.join(extra, list(PARTITION), "left_semi").select(*STORE_SCHEMA.names)
@@ -254,6 +274,7 @@ def _change(spark, path, changes, change):
     # Filters first: they may hold more than the entries, never less.
     more = _filter_rows(rows.select("code_hash", *PART))
     more.write.mode("append").partitionBy(*PART).parquet(f"{path}/_filters")
-    (result.repartition(*PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (result.hint("rebalance", *PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITION).parquet(path))
+    changed.unpersist()
     return report
