@@ -2,20 +2,23 @@
 
 A tree per commit would repeat nearly all paths with every commit. Here a path
 has one row per stretch of commits in which it exists, and a commit finds its
-paths by range: stretches are cut into whole days and these into blocks of 1, 2,
-4, ... days that begin at multiples of their length, so that a day lies in one
-block of each length. Stretches and commits meet on equal blocks, however long a
-path lives and however many commits ask.
+paths by number: the commits that ask for a stem are numbered in their order, and
+a stretch becomes the range of numbers that it covers. Ranges and numbers meet on
+equal runs of ``RUN`` numbers, so what meets grows with what is found, however
+long a path lives, however many commits ask and however many fall on one day.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mendlake.functions import text as X
+from mendlake.session import settle
 
 #: Blocks of up to 2 ^ 16 days, from 1970 to 2149; what is outside counts as the first or last of them.
 LEVELS = 16
 LAST_DAY = (1 << LEVELS) - 1
+#: Numbers of a run: a stretch meets at most two runs that it does not fill.
+RUN = 16
 
 
 def _day(when):
@@ -41,7 +44,7 @@ def path_intervals(commits, commit_files):
     which tasks combine; so a file that most commits touch sends a row per task.
     The others are sorted by time, each path by itself.
     """
-    events = path_events(commits, commit_files)
+    events = settle(path_events(commits, commit_files), "path-events")
     lives = events.groupBy("repo_url", "path").agg(F.min("_at").alias("_from"), F.bool_and("present").alias("_always"))
     always = lives.filter("_always").select("repo_url", "path", "_from", F.lit(None).cast(events.schema["_at"].dataType).alias("_until"))
     some = events.join(lives.filter("NOT _always").select("repo_url", "path"), ["repo_url", "path"])
@@ -69,21 +72,51 @@ def _blocks(first, last):
     return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), of_level))
 
 
+def _numbered(points, intervals):
+    """Points and both ends of every stretch with ``_n``, how many points of their group come before them.
+
+    A group is a repository and a stem; commits without a date are one of their
+    own. Days are numbered by themselves and then set one behind the other, so no
+    task needs a whole group.
+    """
+    points = points.withColumns({"_dated": F.col("author_date").isNotNull(), "_point": F.lit(1)})
+    dated = F.col("_from.author_date").isNotNull()
+    stretches = intervals.filter(F.col("_until").isNull() | (F.col("_until.author_date").isNotNull() == dated)).select(
+        "repo_url", "stem", "path", "_from", "_until", F.monotonically_increasing_id().alias("_stretch"), dated.alias("_dated"))
+    ends = F.array(F.struct(F.col("_from").alias("at"), F.lit(True).alias("first")), F.struct(F.col("_until").alias("at"), F.lit(False).alias("first")))
+    ends = stretches.withColumn("_end", F.explode(F.filter(ends, lambda e: e["at"].isNotNull()))).select(
+        "repo_url", "stem", "_dated", F.col("_end.at.author_date").alias("author_date"), F.col("_end.at.sha").alias("sha"),
+        "path", "_stretch", F.col("_end.first").alias("_first"), F.lit(0).alias("_point"))
+    rows = points.unionByName(ends, allowMissingColumns=True).withColumn("_day", _day(F.col("author_date")))
+    day = ["repo_url", "stem", "_dated", "_day"]
+    order = Window.partitionBy(*day).orderBy("author_date", "sha", "_point").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = settle(rows.withColumn("_n", F.sum("_point").over(order) - F.col("_point")).drop("author_date"), "numbered")
+    group = Window.partitionBy(*day[:-1])
+    days = rows.groupBy(*day).agg(F.sum("_point").alias("_points"))
+    days = days.withColumns({
+        "_before": F.sum("_points").over(group.orderBy("_day")) - F.col("_points"), "_all": F.sum("_points").over(group)})
+    return rows.join(days, day).withColumn("_n", F.col("_n") + F.col("_before")).drop("_day", "_points", "_before")
+
+
+def _met(asked, intervals):
+    """Commits and stretches that meet in a run, with the commit's number ``_n`` and the stretch's ``_low`` to below ``_high``."""
+    numbered = settle(_numbered(asked.select("repo_url", "sha", "author_date", "stem").distinct(), intervals), "places")
+    group = ["repo_url", "stem", "_dated"]
+    points = numbered.filter("_point = 1").select(*group, "sha", "_n", F.floor(F.col("_n") / RUN).alias("_run"))
+    ranges = numbered.filter("_point = 0").groupBy(*group, "path", "_stretch").agg(
+        F.max(F.when(F.col("_first"), F.col("_n"))).alias("_low"),
+        F.coalesce(F.max(F.when(~F.col("_first"), F.col("_n"))), F.max("_all")).alias("_high"))
+    ranges = ranges.filter("_low < _high").select(
+        *group, "path", "_low", "_high", F.explode(F.sequence(F.floor(F.col("_low") / RUN), F.floor((F.col("_high") - 1) / RUN))).alias("_run"))
+    return points.join(ranges, [*group, "_run"])
+
+
 def tree_at(asked, intervals):
     """``repo_url, sha, path, ordinal`` of the paths that exist at the commits and have the stems that ``asked`` names.
 
     ``asked`` has ``repo_url, sha, author_date, stem``. ``ordinal`` is the same
     for all paths, which leaves their order to the path, as in a sorted tree.
+    Commits without a date see what commits without a date left, and no others do.
     """
-    stretches = intervals.withColumn("_cut", F.explode(_blocks(
-        _day(F.col("_from.author_date")), F.when(F.col("_until").isNull(), F.lit(LAST_DAY)).otherwise(_day(F.col("_until.author_date"))))))
-    stretches = stretches.select("repo_url", "stem", "path", "_from", "_until", F.col("_cut.level").alias("_level"), F.col("_cut.block").alias("_block"))
-    day = _day(F.col("author_date"))
-    blocks = F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda n: F.struct(
-        n.alias("level"), F.call_function("shiftright", day, n).alias("block")))
-    points = asked.select("repo_url", "sha", "author_date", "stem").distinct().select(
-        "repo_url", "sha", "stem", F.struct("author_date", "sha").alias("_at"), F.explode(blocks).alias("_b"))
-    points = points.select("repo_url", "sha", "stem", "_at", F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block"))
-    met = points.join(stretches, ["repo_url", "stem", "_level", "_block"])
-    alive = (F.col("_from") <= F.col("_at")) & (F.col("_until").isNull() | (F.col("_at") < F.col("_until")))
-    return met.filter(alive).select("repo_url", "sha", "path", F.lit(0).alias("ordinal"))
+    found = _met(asked, intervals).filter("_n >= _low AND _n < _high")
+    return found.select("repo_url", "sha", "path", F.lit(0).alias("ordinal"))

@@ -72,3 +72,23 @@ def test_empty_history(spark):
     c, f = spark.createDataFrame([], COMMITS), spark.createDataFrame([], FILES)
     asked = c.withColumn("stem", F.lit("a"))
     assert history.tree_at(asked, history.path_intervals(c, f)).count() == 0
+
+
+def test_what_meets_grows_with_what_is_found_on_a_full_day(spark):
+    day, n = dt.datetime(2020, 1, 1), 600
+    commits = [("u", s, day) for s in range(n)]
+    files = [("u", s, 0, f"d{s // 2 % 50}/a.h", "removed" if s % 2 else "added") for s in range(n)]
+    c, f = spark.createDataFrame(commits, COMMITS), spark.createDataFrame(files, FILES)
+    asked, intervals = c.withColumn("stem", F.lit("a")), history.path_intervals(c, f)
+    found = sorted((r["sha"], r["path"]) for r in history.tree_at(asked, intervals).collect())
+    assert found == [(s, f"d{s // 2 % 50}/a.h") for s in range(0, n, 2)]  # each path is there for one commit
+    assert history._met(asked, intervals).count() <= len(found) + 2 * history.RUN * (n // 2)  # not all commits with all stretches
+
+
+def test_commits_without_a_date(spark):
+    day = dt.datetime(2020, 1, 1)
+    commits = [("u", 1, None), ("u", 2, None), ("u", 3, day), ("u", 4, day)]
+    files = [("u", 1, 0, "x/a.h", "added"), ("u", 2, 0, "y/a.h", "added"), ("u", 3, 0, "z/a.h", "added"), ("u", 4, 0, "z/a.h", "removed")]
+    c, f = spark.createDataFrame(commits, COMMITS), spark.createDataFrame(files, FILES)
+    found = history.tree_at(c.withColumn("stem", F.lit("a")), history.path_intervals(c, f)).collect()
+    assert sorted((r["sha"], r["path"]) for r in found) == [(1, "x/a.h"), (2, "x/a.h"), (2, "y/a.h"), (3, "z/a.h")]
