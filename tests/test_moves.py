@@ -67,6 +67,15 @@ def test_candidate_files_are_bounded(spark, tmp_path, monkeypatch):
     assert len(glob.glob(f"{tmp_path}/many/*.parquet")) == 10 and len(glob.glob(f"{tmp_path}/few/*.parquet")) == 4
 
 
+def test_candidate_files_are_bounded_by_their_texts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "BYTES_PER_FILE", 1000)
+    rows = spark.createDataFrame([("x" * 300, None, n) for n in range(19)] + [("ä" * 150, "", 19)], "a string, b string, n int")
+    catalog._write_candidates(rows, str(tmp_path / "long"), 4)
+    catalog._write_candidates(rows.limit(0), str(tmp_path / "none"), 4)
+    assert len(glob.glob(f"{tmp_path}/long/*.parquet")) == 6  # of 6,000 bytes
+    assert spark.read.parquet(str(tmp_path / "long")).count() == 20 and spark.read.parquet(str(tmp_path / "none")).count() == 0
+
+
 def test_a_folder_of_documents_is_written_by_one_task(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "documents")
     monkeypatch.setattr(catalog, "shared_dir", lambda *a: path)
