@@ -9,15 +9,14 @@ outside the vocabulary are predicted by length; each then has its own share of
 its length, from the counts of all words.
 """
 
-from collections import Counter, defaultdict
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mendlake.llm.common import parts_of, settle, table, texts_in
+from mendlake.llm.common import parts_of, settle, table
 
 #: Words of the vocabulary; 0 is the edge of a text, 1 to 16 are other words by length.
 UNKNOWN, CLASSES, CLASS_SIZE = 16, 64, 64
@@ -35,36 +34,41 @@ FAN_IN = 32
 CHUNK = 4096
 #: Places of words outside the vocabulary that a task gathers before it passes them on.
 GATHERED = 500_000
+#: Bytes of text whose words are counted at a time, and distinct words that a task counts before it passes them on.
+COUNTED, DISTINCT = 8_000_000, 500_000
 
 
-def words_of(text):
-    return text.encode("utf-8", "surrogatepass").lower().split()
+def words_of(texts):
+    """(words of all texts, one after another, number of words per text) of Arrow strings; a null has none."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, bounds = split.flatten().cast(pa.binary()), split.offsets.to_numpy()
+    # White space at an end of a text leaves an empty word there.
+    real = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    return words.filter(real), np.diff(before[bounds - bounds[0]])
 
 
 class Coder:
     """Words as ids of the vocabulary."""
 
     def __init__(self, words):
-        self.ids = {w: UNKNOWN + 1 + i for i, w in enumerate(words)}
+        self.words = pa.array(words, pa.binary())
 
     def encode(self, texts, outside=None):
         """(ids with two edges around every text, positions of words, number of words per text).
 
-        ``outside`` is a list that gets each text's words outside the vocabulary.
+        ``outside`` is a list that gets the words outside the vocabulary and the number of each one's text.
         """
-        get, edge = self.ids.get, [0, 0]
-        ids, lengths = list(edge), []
-        for t in texts:
-            words = words_of(t)
-            lengths.append(len(words))
-            ids += [get(w) or min(len(w), UNKNOWN) for w in words]
-            ids += edge
-            if outside is not None:
-                outside.append([w for w in words if w not in self.ids])
-        lengths = np.array(lengths, np.int64)
-        ids = np.array(ids, np.int32)
+        words, lengths = words_of(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        found = pc.index_in(words, self.words)
+        other = found.is_null().to_numpy(zero_copy_only=False)
+        by_length = np.minimum(pc.binary_length(words).to_numpy(), UNKNOWN)
         starts = 2 + np.cumsum(lengths + 2) - (lengths + 2)
         at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        ids = np.zeros(2 + len(words) + 2 * len(lengths), np.int32)
+        ids[at] = np.where(other, by_length, found.fill_null(0).to_numpy() + (UNKNOWN + 1))
+        if outside is not None:
+            outside += [words.filter(pa.array(other)), np.repeat(np.arange(len(lengths)), lengths)[other]]
         return ids, at, lengths
 
 
@@ -84,12 +88,19 @@ def new_network(counts):
 
 
 def _hidden(net, ids, at):
-    total = np.broadcast_to(net["hidden_bias"], (len(at), HIDDEN)).copy()
-    for side, step in enumerate(CONTEXT):
-        total += net["sides"][side][ids[at + step]]
+    total = net["hidden_bias"]
+    for side, step in zip(net["sides"], CONTEXT):
+        near = side.take(ids[at + step], axis=0)
+        total = np.add(total, near, out=near)
     return np.tanh(total, out=total)
 
 
+def _logits(hidden, weights, bias):
+    out = hidden @ weights.T
+    out += bias
+    return out
+
+
 _ONES = np.ones(CLASS_SIZE, np.float32)
 #: Logits of at most this size need no shift before their exponentials are summed as float32.
 SAFE = 60.0
@@ -138,8 +149,9 @@ def log_probabilities(net, ids, at):
         for start in range(first, last, CHUNK):
             end = min(start + CHUNK, last)
             h = _hidden(net, ids, at[start:end])
-            score = _log_shares(h @ net["classes"].T + net["class_bias"], g, outer)
-            score += _log_shares(h @ net["words"][g].T + net["word_bias"][g], ids[at[start:end]] % CLASS_SIZE, inner)
+            score = _log_shares(_logits(h, net["classes"], net["class_bias"]), g, outer)
+            own = ids[at[start:end]] % CLASS_SIZE
+            score += _log_shares(_logits(h, net["words"][g], net["word_bias"][g]), own, inner)
             out[order[start:end]] = score
     return out
 
@@ -161,7 +173,9 @@ class Trainer:
         total = squares.take(rows, axis=0)
         total += gradient * gradient
         squares[rows] = total
-        values[rows] = values.take(rows, axis=0) - RATE * gradient / np.sqrt(total)
+        gradient *= RATE
+        gradient /= np.sqrt(total, out=total)
+        values[rows] = np.subtract(values.take(rows, axis=0), gradient, out=gradient)
 
     def train(self, ids, at):
         for start in range(0, len(at), self.mini_batch):
@@ -174,16 +188,19 @@ class Trainer:
         group, word = np.divmod(ids[at], CLASS_SIZE)
         spans = [(g, a, b) for g, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
         h = _hidden(net, ids, at)
-        outer = _errors(h @ net["classes"].T + net["class_bias"], group, _largest(net["classes"], net["class_bias"]))
-        inner = net["word_bias"][group]
+        outer = _logits(h, net["classes"], net["class_bias"])
+        outer = _errors(outer, group, _largest(net["classes"], net["class_bias"]))
+        inner = np.empty((len(at), CLASS_SIZE), np.float32)
         for g, a, b in spans:
-            inner[a:b] += h[a:b] @ net["words"][g].T
+            np.matmul(h[a:b], net["words"][g].T, out=inner[a:b])
+            inner[a:b] += net["word_bias"][g]
         inner = _errors(inner, word, _largest(net["words"], net["word_bias"]))
         back, words, bias = outer @ net["classes"], np.zeros_like(net["words"]), np.zeros_like(net["word_bias"])
         ones = np.ones(len(at), np.float32)
         for g, a, b in spans:
             back[a:b] += inner[a:b] @ net["words"][g]
-            words[g], bias[g] = inner[a:b].T @ h[a:b], ones[a:b] @ inner[a:b]
+            np.matmul(inner[a:b].T, h[a:b], out=words[g])
+            np.matmul(ones[a:b], inner[a:b], out=bias[g])
         back *= 1 - h * h
         self._step("words", words)
         self._step("word_bias", bias)
@@ -195,9 +212,11 @@ class Trainer:
         occurs = np.zeros(len(CONTEXT) * VOCABULARY, bool)
         occurs[near] = True
         used, slot = np.flatnonzero(occurs), np.cumsum(occurs) - 1
-        slot, columns = slot[near], np.tile(back.T, len(CONTEXT))
-        sums = [np.bincount(slot, column, len(used)) for column in columns]
-        self._step("sides", np.stack(sums, axis=1).astype(np.float32), used)
+        slot, columns = slot[near], np.tile(back.T.astype(float), len(CONTEXT))
+        sums = np.empty((len(used), HIDDEN), np.float32)
+        for k, column in enumerate(columns):
+            sums[:, k] = np.bincount(slot, column, len(used))
+        self._step("sides", sums, used)
 
 
 def _flat(net):
@@ -222,18 +241,22 @@ def masks_of(ids, at, lengths, masked):
 def word_counts(docs):
     """(``word``, ``n``) over all texts; a task adds up what it reads before it passes it on."""
     def run(batches):
-        counts = Counter()
+        counts, more = [], 0
         for batch in batches:
-            for t in batch.column("text"):
-                counts.update(words_of(t.as_py() or ""))
-                if len(counts) > 500_000:
-                    yield rows(counts)
-                    counts = Counter()
-        yield rows(counts)
-
-    def rows(counts):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+            for part in parts_of(batch, COUNTED):
+                found = pc.value_counts(words_of(part.column("text"))[0])
+                counts.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
+                more += len(found)
+                if more > DISTINCT:
+                    counts, more = [added(counts)], 0
+                    if counts[0].num_rows > DISTINCT:
+                        yield from counts.pop().to_batches()
+        if counts:
+            yield from added(counts).to_batches()
+
+    def added(counts):
+        sums = pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return sums.rename_columns({"word": "word", "n_sum": "n"})
 
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -280,7 +303,7 @@ def train(docs, rounds=ROUNDS, masked=MASKED, mini_batch=MINI_BATCH):
             coder, trainer = Coder(words), Trainer(start, mini_batch)
             for batch in batches:
                 for part in parts_of(batch):
-                    ids, at, lengths = coder.encode(texts_in(part))
+                    ids, at, lengths = coder.encode(part.column("text"))
                     for mask in masks_of(ids, at, lengths, masked)[turn % masked::rounds]:
                         trainer.train(ids, mask)
             if trainer.seen:
@@ -332,36 +355,38 @@ def score(docs, words, net, rest, keys=("doc_id",)):
         words, net = shared.value
         coder, names = Coder(words), schema.names
         row = first = TaskContext.get().partitionId() << 33
-        found, n_found = defaultdict(list), 0
+        found, places, n_found = [], [], 0
 
         def gathered():
-            n = len(found)
+            coded = pa.concat_arrays(found).dictionary_encode()
+            which, n = coded.indices.to_numpy(), len(coded.dictionary)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=n))]).astype(np.int32)
+            grouped = np.concatenate(places)[np.argsort(which, kind="stable")].astype(np.int32)
             return pa.RecordBatch.from_arrays(
                 [*(pa.nulls(n, t) for t in types), pa.array(np.full(n, first)), pa.nulls(n, pa.int64()),
-                 pa.nulls(n, pa.float64()), pa.array(list(found), pa.binary()),
-                 pa.array(list(found.values()), pa.list_(pa.int32()))], names=names)
+                 pa.nulls(n, pa.float64()), coded.dictionary, pa.ListArray.from_arrays(ends, grouped)], names=names)
 
         for batch in batches:
             types = [batch.column(k).type for k in keys]
             for part in parts_of(batch):
                 outside, n = [], part.num_rows
-                ids, at, lengths = coder.encode(texts_in(part), outside)
+                ids, at, lengths = coder.encode(part.column("text"), outside)
                 total = np.concatenate([[0.0], np.cumsum(log_probabilities(net, ids, at))])
                 ends = np.cumsum(lengths)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in keys), pa.array(np.arange(row, row + n)), pa.array(lengths),
                      pa.array(total[ends] - total[ends - lengths]), pa.nulls(n, pa.binary()),
                      pa.nulls(n, pa.list_(pa.int32()))], names=names)
-                for place, others in enumerate(outside, row - first):
-                    n_found += len(others)
-                    for w in others:
-                        found[w].append(place)
+                found.append(outside[0])
+                places.append(outside[1] + (row - first))
+                n_found += len(outside[0])
                 row += n
                 if n_found > GATHERED:
                     yield gathered()
                     first, n_found = row, 0
                     found.clear()
-        if found:
+                    places.clear()
+        if n_found:
             yield gathered()
 
     both = settle(docs.select(*keys, "text").mapInArrow(run, schema), "scores")

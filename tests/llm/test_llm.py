@@ -4,6 +4,8 @@ import hashlib
 import itertools
 import os
 import random
+import time
+from collections import Counter
 
 import brute
 import numpy as np
@@ -516,6 +518,60 @@ def test_network_equals_plain_loops(scale):
         assert got == pytest.approx(want, rel=1e-3, abs=1e-3)
 
 
+ODD_TEXTS = [None, "", " \t\n", "a", " B a\x0b\x0c\rb\x1c\x85\u3000c  ", "\u00c9 \u00e9 " + "x" * 40, "a " * 50, "word0 Word1 nowhere"]
+
+
+def plain_words(text):
+    return (text or "").encode().lower().split()
+
+
+def test_ids_equal_plain_loops():
+    pl, words = pseudo_likelihood, [b"a", b"b", b"word1"]
+    known = {w: pl.UNKNOWN + 1 + i for i, w in enumerate(words)}
+    want, places, outside = [0, 0], [], []
+    for row, text in enumerate(ODD_TEXTS):
+        for w in plain_words(text):
+            places.append(len(want))
+            want.append(known.get(w) or min(len(w), pl.UNKNOWN))
+            outside += [(w, row)] * (w not in known)
+        want += [0, 0]
+    # A slice of a larger array, as parts of a batch are.
+    texts, others = pa.array(["before", *ODD_TEXTS, "after"], pa.string()).slice(1, len(ODD_TEXTS)), []
+    ids, at, lengths = pl.Coder(words).encode(texts, others)
+    assert ids.tolist() == want and at.tolist() == places
+    assert lengths.tolist() == [len(plain_words(t)) for t in ODD_TEXTS]
+    assert list(zip(others[0].to_pylist(), others[1].tolist())) == outside
+
+
+@pytest.mark.parametrize("counted,distinct", [(8_000_000, 500_000), (1, 500_000), (1, 2), (8_000_000, 1)])
+def test_word_counts_equal_plain_loops(spark, monkeypatch, counted, distinct):
+    monkeypatch.setattr(pseudo_likelihood, "COUNTED", counted)
+    monkeypatch.setattr(pseudo_likelihood, "DISTINCT", distinct)
+    docs = spark.createDataFrame([(t,) for t in ODD_TEXTS * 3], "text string").coalesce(1)
+    got = {bytes(r["word"]): r["n"] for r in pseudo_likelihood.word_counts(docs).collect()}
+    assert got == Counter(w for t in ODD_TEXTS * 3 for w in plain_words(t))
+
+
+def test_encoding_costs_less_than_a_loop_over_words():
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, 400) % 100_000) for _ in range(300)]
+    words = [f"w{i}".encode() for i in range(4000)]
+    coder, known = pseudo_likelihood.Coder(words), set(words)
+
+    def loop():
+        for t in texts:
+            found = plain_words(t)
+            [w in known or min(len(w), pseudo_likelihood.UNKNOWN) for w in found]
+            [w for w in found if w not in known]
+
+    def cost(run):
+        began = time.process_time()
+        run()
+        return time.process_time() - began
+
+    assert min(cost(lambda: coder.encode(texts, [])) for _ in range(5)) < 0.7 * min(cost(loop) for _ in range(5))
+
+
 # --- repeated bytes ---------------------------------------------------------
 
 @pytest.mark.parametrize("hot,merge", [(5000, 2_000_000), (1, 2_000_000), (5000, 3000)])
