@@ -95,8 +95,8 @@ def _hidden(net, ids, at):
     return np.tanh(total, out=total)
 
 
-def _logits(hidden, weights, bias):
-    out = hidden @ weights.T
+def _logits(hidden, weights, bias, out=None):
+    out = np.matmul(hidden, weights.T, out=out)
     out += bias
     return out
 
@@ -163,6 +163,8 @@ class Trainer:
         self.net = {k: v.copy() for k, v in net.items()}
         self.squares = {k: np.full_like(v, 1e-3) for k, v in net.items()}
         self.mini_batch, self.seen = mini_batch, 0
+        # Every batch's logits go to the same place: fresh memory for each would cost the system's time.
+        self.outer, self.inner = np.empty((mini_batch, CLASSES), np.float32), np.empty((mini_batch, CLASS_SIZE), np.float32)
 
     def _step(self, name, gradient, rows=None):
         squares, values = (x[name].reshape(-1, *gradient.shape[1:]) for x in (self.squares, self.net))
@@ -188,12 +190,11 @@ class Trainer:
         group, word = np.divmod(ids[at], CLASS_SIZE)
         spans = [(g, a, b) for g, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
         h = _hidden(net, ids, at)
-        outer = _logits(h, net["classes"], net["class_bias"])
+        outer, inner = self.outer[:len(at)], self.inner[:len(at)]
+        _logits(h, net["classes"], net["class_bias"], outer)
         outer = _errors(outer, group, _largest(net["classes"], net["class_bias"]))
-        inner = np.empty((len(at), CLASS_SIZE), np.float32)
         for g, a, b in spans:
-            np.matmul(h[a:b], net["words"][g].T, out=inner[a:b])
-            inner[a:b] += net["word_bias"][g]
+            _logits(h[a:b], net["words"][g], net["word_bias"][g], inner[a:b])
         inner = _errors(inner, word, _largest(net["words"], net["word_bias"]))
         back, words, bias = outer @ net["classes"], np.zeros_like(net["words"]), np.zeros_like(net["word_bias"])
         ones = np.ones(len(at), np.float32)
@@ -212,10 +213,9 @@ class Trainer:
         occurs = np.zeros(len(CONTEXT) * VOCABULARY, bool)
         occurs[near] = True
         used, slot = np.flatnonzero(occurs), np.cumsum(occurs) - 1
-        slot, columns = slot[near], np.tile(back.T.astype(float), len(CONTEXT))
-        sums = np.empty((len(used), HIDDEN), np.float32)
-        for k, column in enumerate(columns):
-            sums[:, k] = np.bincount(slot, column, len(used))
+        slot, sums = slot[near], np.empty((len(used), HIDDEN), np.float32)
+        for k, column in enumerate(back.T.astype(float)):
+            sums[:, k] = np.bincount(slot, np.tile(column, len(CONTEXT)), len(used))
         self._step("sides", sums, used)
 
 
