@@ -273,3 +273,37 @@ def test_csv_header_with_line_breaks_in_its_names(spark, tmp_path):
     assert found[("repo\nurl", 'code\n"x"', "code_hash")] == ["a.csv"] and found[("code_hash", "repo_url")] == ["b.csv"] and len(found) == 3
     (tmp_path / "d.csv").unlink()
     assert sorted(r["code_hash"] for r in io.read_csv(spark, str(tmp_path)).collect()) == ["3", "7"]
+
+
+def test_a_file_for_each_text_is_as_spark_writes_it(spark, tmp_path):
+    texts = ["one", "", None, "zwei\nä", "long " * 1000, "one"]
+    df = spark.createDataFrame([(t, n % 3) for n, t in enumerate(texts)], "value string, folder int")
+
+    def found(path):
+        return sorted((f.parent.name, f.read_bytes()) for f in path.glob("folder=*/*.txt"))
+
+    io.write_text_files(df.repartition(3), f"file://{tmp_path}/own")
+    df.repartition("folder").write.partitionBy("folder").option("maxRecordsPerFile", 1).text(str(tmp_path / "spark"))
+    assert found(tmp_path / "own") == found(tmp_path / "spark") and len(found(tmp_path / "own")) == 6
+    # Not through Hadoop's local file system, which starts processes for every file; nothing else is left.
+    assert sorted(p.name for p in (tmp_path / "own").iterdir()) == ["folder=0", "folder=1", "folder=2"]
+    assert not list((tmp_path / "own").glob("folder=*/.*"))
+    with pytest.raises(FileExistsError):
+        io.write_text_files(df, str(tmp_path / "own"))
+    io.write_text_files(df.limit(0), str(tmp_path / "none"))
+    assert list((tmp_path / "none").iterdir()) == []
+
+
+def test_documents_are_read_as_bytes_and_as_the_text_reader_does(spark, tmp_path):
+    texts = [b'{"code_hash": "a"}\n', b"", b"\xff\xfe broken", "﻿{}".encode(), b'{"code_hash": "\xc3\xa4"}', b"{\r\n}"]
+    for n, text in enumerate(texts):
+        (tmp_path / f"d{n} ä.json").write_bytes(text)
+    (tmp_path / "other.xml").write_bytes(b"{}")
+    got = io.read_json_documents(spark, str(tmp_path))
+    assert "content:binary" in got._jdf.queryExecution().executedPlan().toString()
+    plain = spark.read.text(str(tmp_path), wholetext=True, pathGlobFilter="*.json").select(
+        "value", F.col("_metadata.file_name").alias("file_name"))
+    assert rows(got) == rows(io.wire_from_json(plain)) and got.count() == 5  # a file without a byte gives no row
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z" / "d.json.gz").write_bytes(__import__("gzip").compress(texts[0]))
+    assert [r["code_hash"] for r in io.read_json_documents(spark, str(tmp_path / "z"), "*.gz").collect()] == ["a"]
