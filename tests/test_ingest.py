@@ -237,3 +237,13 @@ def test_empty_store_schema(spark, tmp_path):
     opened = io.open_store(spark, str(tmp_path / "s"))
     assert opened.count() == 0 and opened.columns == ENTRY_SCHEMA.names + ["run", "batch_id", "prefix"]
     assert entries(spark).count() == 0
+
+
+def test_a_micro_batch_writes_a_file_for_a_prefix_and_none_when_empty(spark, candidates, taxonomy, tmp_path):
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "store", "cp"))
+    candidates.repartition(2).write.parquet(source)
+    run_stream(spark, taxonomy, source, path, checkpoint, within="1 hour")
+    files = io.open_store(spark, path).select("batch_id", "prefix", F.col("_metadata.file_name").alias("f")).distinct()
+    assert {r["n"] for r in files.groupBy("batch_id", "prefix").agg(F.count("f").alias("n")).collect()} == {1}
+    assert len(list((tmp_path / "store").glob("run=stream-*/batch_id=*"))) == 1  # the second batch only clears state
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
