@@ -35,6 +35,12 @@ PREFIX_DIGITS = 1
 FILTER_SCHEMA = "prefix string, level int, bucket long, bits binary, run string, batch_id long"
 #: Bits of a bitmap, as many as Spark's bitmap functions use, bits that a hash sets, and bitmap bits per hash.
 BITMAP_BITS, HASHES, BITS_PER_HASH = 32768, 4, 10
+#: A change deals a partition anew that has more files than this, of fewer bytes than that.
+MOST_FILES, SMALL_FILE = 32, 1_000_000
+#: Bitmaps of 4 kB that go to every executor; more of them only if Spark finds them small.
+MOST_MARKS = 4000
+#: Tasks whose entries one task writes where entries are written as they are dealt.
+TASKS_AT_ONCE = 8
 
 
 def prefix_of(code_hash):
@@ -60,12 +66,13 @@ def read_store(spark, path):
     return opened.select(*ENTRY_SCHEMA.fieldNames())
 
 
-def write_store(entries, path, mode="errorifexists", files_per_prefix=None):
+def write_store(entries, path, mode="errorifexists", files_per_prefix=None, as_dealt=False):
     """Writes entries as a part of their own; ``overwrite`` replaces the whole store.
 
     ``files_per_prefix`` is how many tasks write a prefix; unless given, adaptive
     execution takes one for small parts and more where a sixteenth of the entries
-    is too much for one.
+    is too much for one; without it there is one. ``as_dealt`` moves nothing: a
+    task writes what a few have, of every prefix, which suits many entries.
     """
     part = entries.select(*ENTRY_SCHEMA.fieldNames())
     if mode == "overwrite":
@@ -73,10 +80,10 @@ def write_store(entries, path, mode="errorifexists", files_per_prefix=None):
         mode = "append"
     elif mode == "errorifexists":
         part.limit(0).write.mode(mode).parquet(path)
-    write_part(part, path, new_run("batch"), 0, files_per_prefix)
+    write_part(part, path, new_run("batch"), 0, files_per_prefix, as_dealt)
 
 
-def write_part(entries, path, run, batch_id, files_per_prefix=None):
+def write_part(entries, path, run, batch_id, files_per_prefix=None, as_dealt=False):
     """Writes, or writes again, one part and its filters; returns how many entries it has.
 
     ``entries`` is read once. Filters that the part had go first, and the new ones
@@ -87,8 +94,13 @@ def write_part(entries, path, run, batch_id, files_per_prefix=None):
     spark.createDataFrame([], FILTER_SCHEMA).drop(*PART).write.mode("overwrite").parquet(f"{path}/_filters/run={run}/batch_id={batch_id}")
     seen = Observation("inserted")
     dealt = entries.select(*ENTRY_SCHEMA.fieldNames(), prefix_of(F.col("code_hash")).alias("prefix"))
-    if files_per_prefix is None:
+    if as_dealt:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) // TASKS_AT_ONCE
+        dealt = dealt.coalesce(max(tasks, spark.sparkContext.defaultParallelism))
+    elif files_per_prefix is None and spark.conf.get("spark.sql.adaptive.enabled") == "true":
         dealt = dealt.hint("rebalance", "prefix")
+    elif files_per_prefix is None:  # the hint does nothing without it
+        dealt = dealt.repartition("prefix")
     else:
         dealt = dealt.repartition("prefix", F.pmod(F.xxhash64("code_hash"), F.lit(files_per_prefix)))
     target = f"{path}/run={run}/batch_id={batch_id}"
@@ -144,6 +156,11 @@ def _prefixes(hashes):
     return [r[0] for r in hashes.select(prefix_of(F.col("code_hash")).alias("p")).distinct().collect() if r[0] is not None]
 
 
+def _is_set(bitmap, bit):
+    byte = F.conv(F.hex(F.substring(bitmap, (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(1) == 1
+
+
 def possible_hashes(spark, path, hashes):
     """``code_hash, run, batch_id``: which of ``hashes`` a part may hold, by its filters alone."""
     filters = _filters(spark, path).filter(F.col("prefix").isin(_prefixes(hashes)))
@@ -155,13 +172,9 @@ def possible_hashes(spark, path, hashes):
     asked = asked.withColumn("bucket", F.col("_name") % _power("level"))
     met = filters.join(asked, ["prefix", "level", "bucket"])
 
-    def is_set(bit):
-        byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        return F.call_function("shiftright", byte, (bit % 8).cast("int")).bitwiseAND(1) == 1
-
-    every = is_set(F.col("_bits")[0])
+    every = _is_set(F.col("bits"), F.col("_bits")[0])
     for k in range(1, HASHES):
-        every = every & is_set(F.col("_bits")[k])
+        every = every & _is_set(F.col("bits"), F.col("_bits")[k])
     return met.filter(every).select("code_hash", *PART)
 
 
@@ -251,6 +264,11 @@ def _kept(changed):
 def _change(spark, path, changes, change):
     """Rewrites the partitions that hold an entry of ``changes(entry_id)``, after ``change(touched, opened)``.
 
+    The changes are looked up by identifier and place first. ``touched`` has the
+    entries they name, which alone are moved; the others of a partition are
+    written where they are read, file by file. A partition that has become many
+    small files so is dealt anew.
+
     An entry whose hash changes moves to the partition of its new prefix, which
     is then rewritten as well. A partition that loses all its entries keeps one
     row without identifier, since only partitions that are written are replaced.
@@ -259,22 +277,42 @@ def _change(spark, path, changes, change):
     """
     opened = open_store(spark, path)
     ids = changes.select("entry_id").distinct()
-    parts = settle(opened.select("entry_id", *PARTITION).join(ids, "entry_id", "left_semi").select(*PARTITION).distinct(), "touched")
-    touched = opened.join(parts, list(PARTITION), "left_semi").select(*STORE_SCHEMA.names)
+    place = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+    at = opened.select("entry_id", *PARTITION, *[c.alias(n) for n, c in place.items()])
+    named = settle(at.join(ids, "entry_id", "left_semi"), "named")
+    files = opened.select(*PARTITION, place["_file"].alias("_file"), F.col("_metadata.file_size").alias("_size")).distinct()
+    small = (F.count(F.lit(1)) > MOST_FILES) & (F.avg("_size") < SMALL_FILE)
+    parts = files.join(named.select(*PARTITION).distinct(), list(PARTITION), "left_semi")
+    parts = settle(parts.groupBy(*PARTITION).agg(small.alias("_scattered")), "touched")
+    # A bit for each row of a file: what is named is told from the rest where it is read.
+    block, bit = F.floor(F.col("_row") / BITMAP_BITS).cast("long"), F.col("_row") % BITMAP_BITS
+    marks = settle(named.groupBy("_file", block.alias("_block")).agg(F.bitmap_construct_agg(bit).alias("_bits")), "marks")
+    if marks.count() <= MOST_MARKS:
+        marks = F.broadcast(marks)
+    placed = opened.select("*", *[c.alias(n) for n, c in place.items()]).join(F.broadcast(parts), list(PARTITION))
+    placed = placed.withColumn("_block", block)
+    placed = placed.join(marks, ["_file", "_block"], "left").withColumn(
+        "_named", F.col("_bits").isNotNull() & _is_set(F.col("_bits"), bit))
+    # Kept, so that no join with the changes is moved below the choice of these rows.
+    touched, rest = _kept(placed.filter("_named").select(*STORE_SCHEMA.names)), placed.filter("NOT _named")
     changed, report = change(touched, opened)
     report = settle(report, "changes")
     rows = changed.select(*ENTRY_SCHEMA.names, *PART, prefix_of(F.col("code_hash")).alias("prefix"), F.col("prefix").alias("_was"))
     moved = rows.filter("prefix != _was")
-    extra = moved.select(*PARTITION).distinct().join(parts, list(PARTITION), "left_anti")
-    beside = opened.join(extra, list(PARTITION), "left_semi").select(*STORE_SCHEMA.names)
-    result = rows.select(*STORE_SCHEMA.names).unionByName(beside)
-    emptied = parts.join(rows.select(*PARTITION).distinct(), list(PARTITION), "left_anti")
+    extra = settle(moved.select(*PARTITION).distinct().join(parts, list(PARTITION), "left_anti"), "extra")
+    left = rows.select(*PARTITION).union(rest.select(*PARTITION)).distinct()
+    emptied = parts.select(*PARTITION).join(left, list(PARTITION), "left_anti")
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in ENTRY_SCHEMA.fields]
-    result = result.unionByName(emptied.select(*nothing, *PARTITION))
+    dealt = rows.select(*STORE_SCHEMA.names).unionByName(emptied.select(*nothing, *PARTITION))
+    if not parts.filter("_scattered").isEmpty():
+        dealt, rest = dealt.unionByName(rest.filter("_scattered").select(*STORE_SCHEMA.names)), rest.filter("NOT _scattered")
+    result = dealt.hint("rebalance", *PARTITION).unionByName(rest.select(*STORE_SCHEMA.names))
+    if not extra.isEmpty():
+        result = result.unionByName(opened.join(extra, list(PARTITION), "left_semi").select(*STORE_SCHEMA.names))
     # Filters first: they may hold more than the entries, never less.
     more = _filter_rows(rows.select("code_hash", *PART))
     more.write.mode("append").partitionBy(*PART).parquet(f"{path}/_filters")
-    (result.hint("rebalance", *PARTITION).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITION).parquet(path))
+    result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION).parquet(path)
     changed.unpersist()
+    touched.unpersist()
     return report

@@ -160,3 +160,29 @@ def test_random_changes_equal_the_snapshot_functions(spark, tmp_path):
     got = io.read_store(spark, path)
     assert sorted(got.collect(), key=lambda x: x["entry_id"]) == sorted(snapshot.collect(), key=lambda x: x["entry_id"])
     assert got.filter(F.col("ingest_timestamp") == F.lit(T0)).count() == 60
+
+
+def test_a_change_moves_the_entries_it_names_and_no_others(spark, tmp_path, monkeypatch):
+    path, seen = filled(spark, str(tmp_path / "s"), range(200)), []
+    update = store.update_entries
+    monkeypatch.setattr(store_files.store, "update_entries", lambda t, *a, **b: seen.append((ids(t), plan(t))) or update(t, *a, **b))
+    updates = store.as_update(spark, f"{7:024x}", {"code_fixed": "better"}).union(
+        store.as_update(spark, f"{150:024x}", {"code_hash": sha("moved")}))
+    assert ids(store_files.update_store(spark, path, updates)) == [7, 150]
+    assert seen[0][0] == [7, 150] and "Exchange hashpartitioning" not in seen[0][1]
+    kept = {int(r["entry_id"], 16): r for r in io.read_store(spark, path).collect()}
+    assert sorted(kept) == list(range(200)) and kept[7]["code_fixed"] == "better" and kept[150]["code_hash"] == sha("moved")
+    assert all(r["code_fixed"] == "fixed" for n, r in kept.items() if n != 7)
+
+
+def test_a_partition_of_many_small_files_is_dealt_anew(spark, tmp_path, monkeypatch):
+    path, code_hash = str(tmp_path / "s"), sha("int x7;")
+    rows = entries(spark, *[entry(n, code=f"c{n}")[:3] + (code_hash[:60] + f"{n:04x}",) + entry(n)[4:] for n in range(12)])
+    io.write_store(rows.repartition(4), path, as_dealt=True)
+    assert len(of_prefix(files(path), code_hash)) == 4
+    edits = store.as_edit(spark, f"{3:024x}", add=["memleak"])
+    store_files.patch_store(spark, path, edits)
+    assert 2 <= len(of_prefix(files(path), code_hash)) <= 5 and ids(io.read_store(spark, path)) == list(range(12))
+    monkeypatch.setattr(store_files, "MOST_FILES", 1)
+    store_files.patch_store(spark, path, edits)
+    assert len(of_prefix(files(path), code_hash)) == 1 and ids(io.read_store(spark, path)) == list(range(12))
